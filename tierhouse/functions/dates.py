@@ -23,11 +23,12 @@ def parse_yyyymmdd(column: Column) -> Column:
 def lenient_date(column: Column) -> Column:
     """Like :func:`parse_yyyymmdd`, but text that is not eight digits gets the default date parse.
 
-    The default parse takes a number of five digits for a year; years beyond 9999 give NULL.
+    The default parse also takes a bare number for a year; years outside 1 to 9999 give NULL.
     """
     text = column.cast("string")
     eight_digits = F.when(text.rlike(r"^\d{8}$"), _from_digits(text))
-    parsed = F.when(F.try_to_date(text) <= F.lit(dt.date.max), F.try_to_date(text))
+    parsed = F.try_to_date(text)
+    parsed = F.when(parsed.between(F.expr("DATE '0001-01-01'"), F.expr("DATE '9999-12-31'")), parsed)
     return F.when(~text.isin("", "0"), eight_digits.otherwise(parsed))
 
 

@@ -21,9 +21,6 @@ HOT_SHARE = 0.001
 # ... and it is split only if it holds at least this many rows, into parts of this size.
 HOT_ROWS = 2_000_000
 
-# Allowance for compressed files when their size stands for the size of the rows.
-COMPRESSION = 4
-
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -46,29 +43,21 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
-def _estimate(df: DataFrame) -> int | None:
-    """The planner's size of ``df`` in bytes, from file sizes; None where it can be too low."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if "Generate " in plan.toString():
-        return None
-    return int(plan.stats().sizeInBytes())
+def _looks_small(df: DataFrame, limit: int) -> bool:
+    """Whether the planner's size estimate, taken from file sizes, stays below ``limit``."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether all rows of ``df`` fit into ``limit`` bytes.
+    """Measure whether all rows of ``df`` fit into ``limit`` bytes.
 
-    Known from the file sizes where those are far below the limit (the planner's estimate never
-    counts on filters or join keys). Otherwise the rows are measured: the search for more rows than
-    could ever fit stops at the first partitions of a large input, and only an input with few rows
-    is summed up.
+    An input that may be large is first searched for more rows than could ever fit, which stops at
+    its first partitions. Only an input with few rows, or from small files, is summed up.
     """
     limit = broadcast_limit(df.sparkSession) if limit is None else limit
     if limit <= 0 or any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in df.schema.fields):
         return False
-    known = _estimate(df)
-    if known is not None and known * COMPRESSION <= limit:
-        return True
-    if df.select(F.lit(1)).offset(limit // 16).head(1):
+    if not _looks_small(df, limit) and df.select(F.lit(1)).offset(limit // 16).head(1):
         return False
     return (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= limit
 

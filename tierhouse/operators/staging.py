@@ -11,16 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session may go without the setting; it then gets its own temporary folder.
+    Where that is unset, the checkpoint folder given to the context counts. Only a local session
+    may go without both; it then gets a temporary folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tierhouse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tierhouse-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
