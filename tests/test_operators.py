@@ -66,9 +66,23 @@ def test_lookup_refuses_mixed_types_and_clashes(spark):
 
 def test_hot_keys(spark):
     facts = sales_with_hot_key(spark)
-    assert [n for _, n in op.hot_keys(facts, ["key"], min_rows=1000)] == [10_020]
-    assert sorted(n for _, n in op.hot_keys(facts, ["key"], min_rows=1000, with_null=True)) == [10_000, 10_020]
-    assert op.hot_keys(facts, ["key"]) == []
+    assert sorted(op.hot_keys(facts, ["key"], min_rows=1000).values()) == [10_000, 10_020]
+    assert op.hot_keys(facts, ["key"]) == {}
+    assert op.hot_keys(facts.limit(0), ["key"], min_rows=0) == {}
+
+
+def test_lookup_all_equals_joins(spark):
+    facts = sales_with_hot_key(spark).withColumn("other", F.when(F.col("id") % 2 == 0, F.col("id") % 5))
+    big = spark.range(0, 400).select(F.col("id").alias("natural"), (F.col("id") * 10).alias("surrogate"))
+    small = spark.createDataFrame([(0, "a"), (4, "b")], "o INT, label STRING")
+    steps = [(big, {"key": "natural"}, ["surrogate"]), (small, {"other": "o"}, ["label"])]
+    expected = facts.join(big, facts["key"] == big["natural"], "left").join(small, F.col("other") == F.col("o"), "left")
+    expected = expected.select("id", "key", "other", "surrogate", "label")
+    for limit in (None, 0):
+        got = op.lookup_all(facts, steps, limit=limit, min_rows=1000)
+        assert got.exceptAll(expected).isEmpty() and got.count() == 30_000
+    with pytest.raises(ValueError):
+        op.lookup_all(facts, [steps[0], steps[0]])
 
 
 def test_fits_broadcast(spark):

@@ -8,28 +8,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _from_digits(text: Column) -> Column:
-    """Eight digits to date, by way of the ISO form, whose cast is much cheaper than a pattern."""
-    iso = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
-    return iso.try_cast("date")
+# Eight digits become an ISO date. In the strict form everything else becomes "--", which is no date;
+# in the lenient form only numbers of five and more digits do, as they would pass for years. One
+# expression that names its input once stays small when the planner copies it into filters.
+_STRICT = r"(?s)^(?:(\d{4})(\d{2})(\d{2})|.*)$"
+_LENIENT = r"(?s)^(?:(\d{4})(\d{2})(\d{2})|[+-].*|\d{5,}.*)$"
+_ISO = "$1-$2-$3"
 
 
 def parse_yyyymmdd(column: Column) -> Column:
     """YYYYMMDD number or text to date; 0, other lengths and impossible days give NULL."""
-    text = column.cast("string")
-    return F.when((text != "0") & (F.length(text) == 8), _from_digits(text))
+    return F.regexp_replace(column.cast("string"), _STRICT, _ISO).try_cast("date")
 
 
 def lenient_date(column: Column) -> Column:
     """Like :func:`parse_yyyymmdd`, but text that is not eight digits gets the default date parse.
 
-    The default parse also takes a bare number for a year; years outside 1 to 9999 give NULL.
+    Signed numbers and years beyond 9999 give NULL.
     """
-    text = column.cast("string")
-    eight_digits = F.when(text.rlike(r"^\d{8}$"), _from_digits(text))
-    parsed = F.try_to_date(text)
-    parsed = F.when(parsed.between(F.expr("DATE '0001-01-01'"), F.expr("DATE '9999-12-31'")), parsed)
-    return F.when(~text.isin("", "0"), eight_digits.otherwise(parsed))
+    return F.regexp_replace(column.cast("string"), _LENIENT, _ISO).try_cast("date")
 
 
 def future_to_null(column: Column, today: dt.date | Column | None = None) -> Column:

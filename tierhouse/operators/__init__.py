@@ -1,7 +1,7 @@
 """Operators: frame in, frame out."""
 
 from .layout import cluster, compact, file_summary, files_of, sized_for_write, with_curve_key
-from .lookups import broadcast_limit, fits_broadcast, hot_keys, lookup
+from .lookups import broadcast_limit, fits_broadcast, hot_keys, lookup, lookup_all
 from .merging import delete_where, scd1_upsert, scd2_merge, snapshot_diff
 from .numbering import fill_keys, next_value, surrogate_key
 from .quality import (Rule, RuleViolation, amount_mismatches, apply_rules, dates_in_order, duplicate_keys, enforce,

@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is a candidate for splitting from this share of the rows on; at most 1/share keys are.
-HOT_SHARE = 0.001
-# ... and it is split only if it holds at least this many rows, into parts of this size.
+# A key with more rows than this is split into parts of about this size.
 HOT_ROWS = 2_000_000
+# Keys that the frequency sketch reports, and keys it tracks while it runs: with these every key
+# with at least a thousandth of the rows is found.
+TOP_KEYS, TRACKED_KEYS = 1000, 10_000
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -67,30 +68,30 @@ def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.where(functools.reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
 
 
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+def key_hash(keys: Sequence[str | Column]) -> Column:
+    return F.xxhash64(*[F.col(k) if isinstance(k, str) else k for k in keys])
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-    with_null: bool = False,
-) -> list[tuple[int, int]]:
-    """(key hash, rows) of the keys with at least ``share`` of all rows and at least ``min_rows`` rows.
+def _any_null(keys: Sequence[Column]) -> Column:
+    return functools.reduce(Column.__or__, [k.isNull() for k in keys])
+
+
+def frequent(df: DataFrame, hashes: Sequence[Column], min_rows: int = HOT_ROWS) -> list[dict[int | None, int]]:
+    """For each column the values with more than ``min_rows`` rows, and their approximate row counts.
 
-    One pass over the key columns with a bounded sketch per task, a second one only if there are
-    candidates. The result has at most 1/share entries. It only steers how work is spread:
-    operators give the same rows whatever it contains.
+    One pass for all columns with a sketch of bounded size per task; at most ``TOP_KEYS`` values per
+    column come back. The result only steers how work is spread: operators give the same rows
+    whatever it contains.
     """
-    hashed = df if with_null else not_null(df, keys)
-    hashed = hashed.select(key_hash(keys).alias("h"))
-    candidates = hashed.freqItems(["h"], share).first()[0]
-    if not candidates:
-        return []
-    counts = hashed.where(F.col("h").isin(candidates)).groupBy("h").count()
-    return [(r["h"], r["count"]) for r in counts.where(F.col("count") >= min_rows).collect()]
+    named = df.select(*[h.alias(f"h{i}") for i, h in enumerate(hashes)])
+    sketches = [f"approx_top_k(h{i}, {TOP_KEYS}, {TRACKED_KEYS}) AS h{i}" for i in range(len(hashes))]
+    found = named.agg(*[F.expr(s) for s in sketches]).first()
+    return [{hit["item"]: hit["count"] for hit in hits if hit["count"] > min_rows} for hits in found]
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> dict[int, int]:
+    """Hash and approximate rows of the keys with more than ``min_rows`` rows; NULL counts as a value."""
+    return frequent(df, [key_hash(keys)], min_rows)[0]
 
 
 def spread(df: DataFrame, parts: Column) -> Column:
@@ -116,6 +117,75 @@ def _same_type(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]])
     return ls, rs
 
 
+class _Side:
+    """The looked-up rows, cut down to keys and wanted columns, and how they meet the left rows."""
+
+    def __init__(self, left: DataFrame, right: DataFrame, on, take, how: str, limit: int | None):
+        pairs = list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
+        take = dict(take) if isinstance(take, Mapping) else {c: c for c in take}
+        self.how = how
+        self.added = list(take.values()) if how in ("left", "inner") else []
+        self.left_keys, right_keys = _same_type(left, right, pairs)
+        self.names = [f"__right{i}" for i in range(len(pairs))]
+        rows = right.select(
+            *[k.alias(n) for k, n in zip(right_keys, self.names)], *[F.col(c).alias(n) for c, n in take.items()]
+        )
+        rows = not_null(rows, self.names)
+        self.rows = rows.distinct() if how in ("left_semi", "left_anti") else rows
+        self.small = fits_broadcast(self.rows, limit)
+
+    def match(self) -> Column:
+        return functools.reduce(Column.__and__, [k == F.col(n) for k, n in zip(self.left_keys, self.names)])
+
+    def hash(self) -> Column:
+        """Hash of the left key; NULL for rows without a key."""
+        return F.when(~_any_null(self.left_keys), key_hash(self.left_keys))
+
+    def join(self, left: DataFrame, hot: dict[int | None, int], min_rows: int) -> DataFrame:
+        result = left.columns + self.added
+        if self.small:
+            return left.join(F.broadcast(self.rows), self.match(), self.how).select(*result)
+        parts = {h: math.ceil(n / min_rows) for h, n in hot.items()}
+        without_key = parts.pop(None, 1)
+        keyed, rows, number = left, self.rows, F.lit(1)
+        if parts:
+            # At most TOP_KEYS rows.
+            plan = F.broadcast(left.sparkSession.createDataFrame(list(parts.items()), "__hash bigint, __parts bigint"))
+            keyed = keyed.withColumn("__hash", self.hash()).join(plan, "__hash", "left")
+            rows = rows.withColumn("__hash", key_hash(self.names)).join(plan, "__hash", "left")
+            number = F.coalesce(F.col("__parts"), F.lit(1))
+        # Rows without a key match nothing, so they may go to any part.
+        split = F.when(_any_null(self.left_keys), F.lit(without_key)).otherwise(number)
+        part = F.when(split > 1, spread(left, split)).otherwise(F.lit(0)).cast("bigint")
+        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), number.cast("bigint") - 1))
+        match = self.match() & (F.col("__part") == F.col("__copy"))
+        keyed = keyed.withColumn("__part", part)
+        return keyed.join(rows.select(*self.names, *self.added, copies.alias("__copy")), match, self.how).select(*result)
+
+
+def lookup_all(
+    left: DataFrame,
+    steps: Sequence[tuple],
+    limit: int | None = None,
+    min_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Several lookups into one frame; each step is (right, on, take) or (right, on, take, how).
+
+    All keys are columns of ``left``, so frequent keys of all steps are found in one pass over it
+    (and in none if every looked-up side can be broadcast).
+    """
+    sides = [_Side(left, step[0], step[1], step[2], step[3] if len(step) > 3 else "left", limit) for step in steps]
+    names = [*left.columns, *[c for side in sides for c in side.added]]
+    clash = {n for n in names if names.count(n) > 1}
+    if clash:
+        raise ValueError(f"columns would occur twice: {sorted(clash)}")
+    large = [side for side in sides if not side.small]
+    found = iter(frequent(left, [side.hash() for side in large], min_rows) if large else [])
+    for side in sides:
+        left = side.join(left, {} if side.small else next(found), min_rows)
+    return left
+
+
 def lookup(
     left: DataFrame,
     right: DataFrame,
@@ -123,7 +193,6 @@ def lookup(
     take: Mapping[str, str] | Sequence[str] = (),
     how: str = "left",
     limit: int | None = None,
-    share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join ``right`` to ``left`` on equal keys and add the ``take`` columns.
@@ -132,46 +201,4 @@ def lookup(
     left, inner, left_semi or left_anti. A right key that occurs more than once gives one row each,
     as in any join.
     """
-    pairs = list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
-    take = dict(take) if isinstance(take, Mapping) else {c: c for c in take}
-    clash = set(take.values()) & set(left.columns)
-    if clash:
-        raise ValueError(f"columns already present: {sorted(clash)}")
-
-    left_keys, right_keys = _same_type(left, right, pairs)
-    names = [f"__right{i}" for i in range(len(pairs))]
-    left_names = [f"__left{i}" for i in range(len(pairs))]
-    side = right.select(
-        *[k.alias(n) for k, n in zip(right_keys, names)], *[F.col(c).alias(n) for c, n in take.items()]
-    )
-    side = not_null(side, names)
-    if how in ("left_semi", "left_anti"):
-        side = side.distinct()
-    result = left.columns + (list(take.values()) if how in ("left", "inner") else [])
-
-    if fits_broadcast(side, limit):
-        match = functools.reduce(Column.__and__, [k == F.col(n) for k, n in zip(left_keys, names)])
-        return left.join(F.broadcast(side), match, how).select(*result)
-
-    keyed = left.withColumns(dict(zip(left_names, left_keys)))
-    hot = hot_keys(keyed, left_names, share, min_rows)
-    no_key = functools.reduce(Column.__or__, [F.col(n).isNull() for n in left_names])
-    # Rows without a key match nothing, so they may go anywhere.
-    everywhere = F.lit(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    part = F.when(no_key, spread(left, everywhere))
-    copies = F.array(F.lit(0).cast("bigint"))
-    if hot:
-        # At most 1/share rows.
-        plan = left.sparkSession.createDataFrame(
-            [(h, math.ceil(n / min_rows)) for h, n in hot], "__hash bigint, __parts bigint"
-        )
-        keyed = keyed.withColumn("__hash", key_hash(left_names)).join(F.broadcast(plan), "__hash", "left")
-        side = side.withColumn("__hash", key_hash(names)).join(F.broadcast(plan), "__hash", "left")
-        part = part.when(F.col("__parts").isNotNull(), spread(left, F.col("__parts")))
-        copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__parts"), F.lit(1)) - 1)
-    keyed = keyed.withColumn("__part", part.otherwise(F.lit(0)).cast("bigint"))
-    side = side.select(*names, *take.values(), F.explode(copies).alias("__copy"))
-    match = functools.reduce(
-        Column.__and__, [F.col(l) == F.col(n) for l, n in zip(left_names, names)], F.col("__part") == F.col("__copy")
-    )
-    return keyed.join(side, match, how).select(*result)
+    return lookup_all(left, [(right, on, take, how)], limit, min_rows)

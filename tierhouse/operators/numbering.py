@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .lookups import HOT_ROWS, HOT_SHARE, hot_keys, key_hash
+from .lookups import HOT_ROWS, hot_keys, key_hash
 from .staging import materialize
 
 # monotonically_increasing_id() keeps the row position in its low 33 bits.
@@ -54,7 +54,6 @@ def next_value(
     order: Sequence[str],
     value: str,
     name: str,
-    share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``name``: ``value`` of the next row with the same ``keys`` in ascending ``order``.
@@ -64,7 +63,7 @@ def next_value(
     """
     keys, order = list(keys), list(order)
     window = Window.partitionBy(*keys).orderBy(*order)
-    hot = [h for h, _ in hot_keys(df, keys, share, min_rows, with_null=True)]
+    hot = list(hot_keys(df, keys, min_rows))
     if not hot:
         return df.withColumn(name, F.lead(value).over(window))
 

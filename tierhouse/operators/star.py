@@ -7,14 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookups import lookup
+from .lookups import lookup, lookup_all
 
 
 def conform(master: DataFrame, enrichments: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]]) -> DataFrame:
     """Master rows with columns of other sources: one left lookup per (source, on, take)."""
-    for source, on, take in enrichments:
-        master = lookup(master, source, on, take)
-    return master
+    return lookup_all(master, enrichments)
 
 
 def with_dimension_keys(
@@ -80,8 +78,9 @@ def sales_summary(
     order_number: str = "order_number",
 ) -> DataFrame:
     """Sales by country, category, year and month: total, distinct orders, average; largest first."""
-    joined = lookup(facts, customers, [customer_key], ["country"])
-    joined = lookup(joined, products, [product_key], ["category"])
+    joined = lookup_all(
+        facts, [(customers, [customer_key], ["country"]), (products, [product_key], ["category"])]
+    )
     return top_groups(
         joined,
         {

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .lookups import HOT_ROWS, HOT_SHARE, not_null
+from .lookups import HOT_ROWS, not_null
 from .numbering import next_value
 
 
@@ -57,7 +57,6 @@ def version_ranges(
     end: str = "end_date",
     flag: str | None = "is_current",
     day_before: bool = False,
-    share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Set each version's end to the start of the next one (or the day before it).
@@ -65,7 +64,7 @@ def version_ranges(
     Replaces end dates that do not fit the start dates, as in sources that close a version before
     it began.
     """
-    df = next_value(df.drop(end), keys, [start, *tie_breakers], start, end, share, min_rows)
+    df = next_value(df.drop(end), keys, [start, *tie_breakers], start, end, min_rows)
     if day_before:
         df = df.withColumn(end, F.date_sub(end, 1))
     return with_current_flag(df, end, flag) if flag else df
