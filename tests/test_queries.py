@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import DATA
+from tierhouse.operators import lookups, numbering, versions
 
 SF = str(DATA / "sf0.001")
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
@@ -28,3 +29,20 @@ def test_entry(spark):
     result = contract.entry(spark)
     assert result.count() == 20
     assert result.columns[:4] == ["country", "category", "year", "month"]
+
+
+SPLIT = ["fact_sales", "facts_without_orphans", "orphan_facts", "scd1_upsert", "scd2_merge", "scd2_ranges", "star_sales"]
+
+
+@pytest.mark.parametrize("name", SPLIT)
+def test_query_matches_sql_without_broadcast_and_with_split_keys(spark, db, name, monkeypatch):
+    """The paths for large inputs give the same rows: nothing is broadcast by size, keys are split."""
+    for function in (lookups.lookup, lookups.lookup_all, lookups.frequent, lookups.hot_keys, numbering.next_value,
+                     versions.version_ranges):
+        small = tuple(20 if d == lookups.HOT_ROWS else d for d in function.__defaults__)
+        monkeypatch.setattr(function, "__defaults__", small)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert oracle.differences(QUERIES[name](spark, SF), SQL[name], db) == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

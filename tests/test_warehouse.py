@@ -5,8 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierhouse import operators as op
-from tierhouse.plans import gold, silver, warehouse
-from tierhouse.sources import SOURCES, read_csv, source
+from tierhouse.operators import expect_or_fail
+from tierhouse.plans import checked, gold, silver, warehouse
+from tierhouse.sources import SOURCES, init_layers, read_csv, source, write_table
+
+
+def with_ingest_time(df):
+    return df.withColumn("_ingest_timestamp", F.current_timestamp())
+
 
 
 def write_csv(path, name, text):
@@ -104,22 +110,23 @@ def test_sources_are_complete():
     assert {source for source, _ in silver.BUILDERS.values()} == {s.table for s in SOURCES}
 
 
-GOLDEN = os.environ.get("BIKE_SHOP_DATA")
+GOLDEN = os.environ.get("GOLDEN_PRODUCTS")
+SOURCE_FOLDER = os.environ.get("GOLDEN_SOURCES")
 
 
-@pytest.mark.skipif(not GOLDEN, reason="BIKE_SHOP_DATA does not name a folder with the bike-shop files")
+@pytest.mark.skipif(not (GOLDEN and SOURCE_FOLDER), reason="GOLDEN_PRODUCTS and GOLDEN_SOURCES are not set")
 def test_golden_products(spark, rows):
-    """The product dimension equals the analysts' file, all columns and rows.
+    """The product dimension equals a given product file, all columns and rows.
 
-    BIKE_SHOP_DATA names a folder that holds, at any depth, the two product source files and the
-    analysts' product file.
+    GOLDEN_SOURCES names a folder with the product and category source files at any depth,
+    GOLDEN_PRODUCTS the expected dimension as CSV.
     """
 
-    def find(name):
-        return str(next(pathlib.Path(GOLDEN).rglob(name)))
+    def read(table):
+        found = next(pathlib.Path(SOURCE_FOLDER).rglob(source(table).file))
+        return read_csv(spark, str(found), source(table).schema)
 
-    products = silver.crm_products(read_csv(spark, find("prd_info.csv"), source("crm_prd_info").schema))
-    categories = silver.erp_categories(read_csv(spark, find("PX_CAT_G1V2.csv"), source("erp_px_cat_g1v2").schema))
+    products, categories = silver.crm_products(read("crm_prd_info")), silver.erp_categories(read("erp_px_cat_g1v2"))
     built = gold.dim_products(products, categories, extra=("product_cost",))
     built = built.withColumns(
         {
@@ -128,9 +135,34 @@ def test_golden_products(spark, rows):
         }
     )
     golden = read_csv(
-        spark, find("dim_products.csv"),
+        spark, GOLDEN,
         "product_key INT, product_id INT, product_number STRING, product_name STRING, category_id STRING,"
         " category STRING, subcategory STRING, maintenance STRING, cost INT, product_line STRING, start_date DATE",
     )
-    assert golden.count() == 295
+    assert golden.count() > 0
     assert rows(built, *golden.columns) == rows(golden)
+
+
+def test_checked_refresh(spark, shop, rows):
+    sources = {t: read_csv(spark, f"{shop[source(t).system]}/{source(t).file}", source(t).schema) for t in checked.BRONZE}
+    init_layers(spark, {"chk_bronze": "", "chk_silver": "", "chk_gold": ""})
+    for table, df in sources.items():
+        write_table(with_ingest_time(df), f"chk_bronze.{table}")
+    counts = checked.refresh(spark, "chk_bronze", "chk_silver", "chk_gold")
+    assert counts["crm_customers"] == {"rows": 4, "valid_customer_id": 0, "customer_id_not_empty": 0, "valid_firstname": 0}
+    assert counts["sales"]["valid_quantity"] == 1 and counts["fact_sales"]["rows"] == 2
+    assert "_ingest_timestamp" in spark.table("chk_silver.sales").columns
+    customers = spark.table("chk_gold.dim_customers")
+    assert rows(customers, "customer_key", "customer_id", "gender", "country") == [
+        (1, "AW00011000", "Male", "Australia"), (2, "AW00011001", "Female", "DE"),
+        (3, "AW00011002", "Female", None), (4, "AW00011003", None, None),
+    ]
+    assert spark.table("chk_gold.dim_products").where("is_current").count() == 2
+
+
+def test_a_failed_rule_leaves_the_table(spark):
+    init_layers(spark, {"kept": ""})
+    checked.publish(spark.range(3), "kept.t", [expect_or_fail("few", "id < 3")], comment="three rows")
+    with pytest.raises(Exception, match="rule few violated"):
+        checked.publish(spark.range(9), "kept.t", [expect_or_fail("few", "id < 3")])
+    assert spark.table("kept.t").count() == 3

@@ -94,13 +94,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_ROWS) -> di
     return frequent(df, [key_hash(keys)], min_rows)[0]
 
 
-def spread(df: DataFrame, parts: Column) -> Column:
-    """A part number below ``parts`` per row that also separates exact copies of a row.
+def spread(columns: Sequence[Column], parts: Column) -> Column:
+    """A part number below ``parts`` per row, from its input partition and the given columns.
 
-    It depends on the row and on the input partition only, so a repeated task gives it again.
+    The partition separates even exact copies of a row. A repeated task gives the same numbers
+    again, whatever order its rows arrive in.
     """
-    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), parts)
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), parts)
 
 
 def _same_type(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> tuple[list[Column], list[Column]]:
@@ -141,10 +141,13 @@ class _Side:
         """Hash of the left key; NULL for rows without a key."""
         return F.when(~_any_null(self.left_keys), key_hash(self.left_keys))
 
-    def join(self, left: DataFrame, hot: dict[int | None, int], min_rows: int) -> DataFrame:
+    def join(
+        self, left: DataFrame, hot: dict[int | None, int], min_rows: int, spread_by: Sequence[Column]
+    ) -> DataFrame:
         result = left.columns + self.added
-        if self.small:
-            return left.join(F.broadcast(self.rows), self.match(), self.how).select(*result)
+        if self.small or not hot:
+            rows = F.broadcast(self.rows) if self.small else self.rows
+            return left.join(rows, self.match(), self.how).select(*result)
         parts = {h: math.ceil(n / min_rows) for h, n in hot.items()}
         without_key = parts.pop(None, 1)
         keyed, rows, number = left, self.rows, F.lit(1)
@@ -156,7 +159,7 @@ class _Side:
             number = F.coalesce(F.col("__parts"), F.lit(1))
         # Rows without a key match nothing, so they may go to any part.
         split = F.when(_any_null(self.left_keys), F.lit(without_key)).otherwise(number)
-        part = F.when(split > 1, spread(left, split)).otherwise(F.lit(0)).cast("bigint")
+        part = F.when(split > 1, spread(spread_by, split)).otherwise(F.lit(0)).cast("bigint")
         copies = F.explode(F.sequence(F.lit(0).cast("bigint"), number.cast("bigint") - 1))
         match = self.match() & (F.col("__part") == F.col("__copy"))
         keyed = keyed.withColumn("__part", part)
@@ -168,11 +171,14 @@ def lookup_all(
     steps: Sequence[tuple],
     limit: int | None = None,
     min_rows: int = HOT_ROWS,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Several lookups into one frame; each step is (right, on, take) or (right, on, take, how).
 
     All keys are columns of ``left``, so frequent keys of all steps are found in one pass over it
-    (and in none if every looked-up side can be broadcast).
+    (and in none if every looked-up side can be broadcast). Rows of a frequent key are spread by
+    their input partition, the keys of all steps and the ``spread_by`` columns; further columns
+    would have to be read for nothing where the result does not use them.
     """
     sides = [_Side(left, step[0], step[1], step[2], step[3] if len(step) > 3 else "left", limit) for step in steps]
     names = [*left.columns, *[c for side in sides for c in side.added]]
@@ -181,8 +187,9 @@ def lookup_all(
         raise ValueError(f"columns would occur twice: {sorted(clash)}")
     large = [side for side in sides if not side.small]
     found = iter(frequent(left, [side.hash() for side in large], min_rows) if large else [])
+    columns = [k for side in sides for k in side.left_keys] + [F.col(c) for c in spread_by]
     for side in sides:
-        left = side.join(left, {} if side.small else next(found), min_rows)
+        left = side.join(left, {} if side.small else next(found), min_rows, columns)
     return left
 
 

@@ -8,6 +8,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from ..operators import lookup
 from ..operators import require_not_null as keep_known
 from .registry import query, table
 
@@ -99,8 +100,9 @@ def map_codes(spark, folder):
 )
 def map_country(spark, folder):
     """Known codes become names, blanks and NULL the missing label, other values stay."""
-    named = table(spark, folder, "customer").join(
-        table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey")
+    named = lookup(
+        table(spark, folder, "customer"), table(spark, folder, "nation"), {"c_nationkey": "n_nationkey"}, ["n_name"],
+        how="inner",
     )
     raw = named.selectExpr(
         "c_custkey",
