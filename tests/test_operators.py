@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tierhouse import operators as op
+from tierhouse.operators import numbering
 
 DAY = dt.date(2024, 6, 1)
 
@@ -100,7 +101,7 @@ def test_fits_broadcast(spark):
 
 def test_surrogate_key_equals_global_row_number(spark):
     df = spark.range(5000).select("id", F.when(F.col("id") % 50 != 0, F.hash("id") % 1000).alias("v"))
-    got = op.surrogate_key(df, ["v", "id"], "k").select("k", "id", "v")
+    got = op.surrogate_key(df, ["v", "id"], "k", task_rows=400).select("k", "id", "v")
     plain = df.select(F.row_number().over(Window.orderBy("v", "id")).cast("bigint").alias("k"), "id", "v")
     assert got.exceptAll(plain).isEmpty() and got.count() == 5000
 
@@ -111,9 +112,18 @@ def test_surrogate_key_descending_and_start(spark):
     assert got.where("k + id = 110").count() == 100
 
 
-def test_surrogate_key_of_copies_is_dense_and_spread(spark):
+def test_surrogate_key_of_copies_is_dense_and_spread(spark, monkeypatch):
+    staged = []
+
+    def keep(df, label):
+        staged.append(op.materialize(df, label))
+        return staged[-1]
+
+    monkeypatch.setattr(numbering, "materialize", keep)
     df = spark.range(0, 20_000, 1, 16).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(1).alias("v"))
-    got = op.surrogate_key(df, ["v"], "k")
+    got = op.surrogate_key(df, ["v"], "k", task_rows=1000)
+    # Two thirds of the rows are copies, and no partition of the sort holds more than a few of them.
+    assert staged[0].groupBy("__part").count().agg(F.max("count")).first()[0] < 4000
     stats = got.agg(F.min("k"), F.max("k"), F.countDistinct("k")).first()
     assert tuple(stats) == (1, 20_000, 20_000)
     assert got.select("v").exceptAll(df).isEmpty()
@@ -126,7 +136,8 @@ def test_surrogate_key_of_nothing(spark):
 
 def test_surrogate_key_repeats(spark, rows):
     df = spark.range(1000).select((F.col("id") % 10).alias("v"), "id")
-    assert rows(op.surrogate_key(df, ["v"])) == rows(op.surrogate_key(df.repartition(5), ["v"]))
+    again = op.surrogate_key(df.repartition(5), ["v"], task_rows=90)
+    assert rows(op.surrogate_key(df, ["v"])) == rows(again)
 
 
 def test_next_value_same_with_and_without_splitting(spark):

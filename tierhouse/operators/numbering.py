@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,22 +12,37 @@ from pyspark.sql import types as T
 from .lookups import HOT_ROWS, hot_keys, key_hash
 from .staging import materialize
 
+# Rows that one task sorts and writes.
+TASK_ROWS = 500_000
 # monotonically_increasing_id() keeps the row position in its low 33 bits.
 _POSITION = (1 << 33) - 1
 
 
-def surrogate_key(df: DataFrame, order: Sequence[str | Column], name: str = "surrogate_key", start: int = 1) -> DataFrame:
+def surrogate_key(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    name: str = "surrogate_key",
+    start: int = 1,
+    rows: int | None = None,
+    task_rows: int = TASK_ROWS,
+) -> DataFrame:
     """Add ``name``: ``start``, ``start + 1``, ... over the global ``order``.
 
     Same numbers as ``row_number()`` over an unpartitioned window. The rows are range-partitioned
     and sorted once, written with their position in the partition, and shifted by the row counts of
     the partitions before. Rows that tie are ordered by a hash of the whole row; exact copies are
     told apart by their input partition, so that even those spread over many partitions.
+
+    ``rows`` is the approximate row count where it is known; otherwise the rows are counted, which
+    for a table reads file footers only. The count and the sampling for the sort read the input
+    again, so write an expensive one first (``materialize``).
     """
+    # A fixed number of partitions: merging them by size would put well-compressed copies together.
+    parts = max(1, math.ceil((df.count() if rows is None else rows) / task_rows))
     hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     tagged = df.withColumns({"__tie": F.xxhash64(*hashable), "__source": F.spark_partition_id()})
     placed = (
-        tagged.repartitionByRange(*order, "__tie", "__source")
+        tagged.repartitionByRange(parts, *order, "__tie", "__source")
         .sortWithinPartitions(*order, "__tie")
         .select(
             *[F.col(f"`{c}`") for c in df.columns],
@@ -63,13 +79,13 @@ def next_value(
     """
     keys, order = list(keys), list(order)
     window = Window.partitionBy(*keys).orderBy(*order)
-    hot = list(hot_keys(df, keys, min_rows))
+    hot = hot_keys(df, keys, min_rows)
     if not hot:
         return df.withColumn(name, F.lead(value).over(window))
 
-    is_hot = key_hash(keys).isin(hot)
+    is_hot = key_hash(keys).isin(list(hot))
     usual = df.where(~is_hot).withColumn(name, F.lead(value).over(window))
-    numbered = surrogate_key(df.where(is_hot), [*keys, *order], "__n")
+    numbered = surrogate_key(df.where(is_hot), [*keys, *order], "__n", rows=sum(hot.values()))
     following = numbered.select(
         (F.col("__n") - 1).alias("__m"), F.col(value).alias(name), *[F.col(k).alias(f"__k_{k}") for k in keys]
     )

@@ -30,7 +30,7 @@ def _typed(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             VERSION: F.col(VERSION).cast("bigint"),
-            COMMITTED: F.to_timestamp(F.col(COMMITTED), _STAMP_SPARK).cast("timestamp_ntz"),
+            COMMITTED: F.to_timestamp_ntz(F.col(COMMITTED), F.lit(_STAMP_SPARK)),
         }
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import prefer
 from ..operators.numbering import surrogate_key
+from ..operators.staging import materialize
 from ..operators.star import conform, with_dimension_keys
 from ..operators.versions import current_rows, latest_version
 from . import labels
@@ -32,7 +33,7 @@ def dim_customers(customers: DataFrame, erp_customers: DataFrame, erp_locations:
         "birthdate",
         F.col("created_date").alias("create_date"),
     )
-    return surrogate_key(shaped, ["customer_id", "customer_number"], "customer_key")
+    return surrogate_key(materialize(shaped), ["customer_id", "customer_number"], "customer_key")
 
 
 def dim_products(
@@ -64,7 +65,7 @@ def dim_products(
         "product_line",
         "start_date",
     )
-    return surrogate_key(shaped, ["start_date", "product_number", "product_id"], "product_key")
+    return surrogate_key(materialize(shaped), ["start_date", "product_number", "product_id"], "product_key")
 
 
 def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
