@@ -1,7 +1,7 @@
 """Bronze-shaped views of the given tables.
 
-The given tables are clean, so dirt (padding, odd codes, zero dates, missing amounts) is derived
-from the keys. The expressions are plain SQL that Spark and DuckDB both run; every row of the
+The given tables are clean, so dirt (padding, odd codes, zero dates, missing amounts, keys without a
+partner) is derived from the keys. The expressions are plain SQL that Spark and DuckDB both run; every row of the
 underlying tables takes part.
 """
 
@@ -27,18 +27,19 @@ SHAPES: dict[str, tuple[str, dict[str, str]]] = {
         },
     ),
     "erp_cust_az12": (
-        "(SELECT * FROM customer WHERE c_custkey % 11 <> 3) AS c",
+        "customer",
         {
-            "CID": "concat(CASE WHEN c_custkey % 2 = 0 THEN 'NASAW' ELSE 'AW' END, CAST(c_custkey AS string), ' ')",
+            "CID": "concat(CASE WHEN c_custkey % 11 = 3 THEN 'NASXX' WHEN c_custkey % 2 = 0 THEN 'NASAW' ELSE 'AW' END,"
+            " CAST(c_custkey AS string), ' ')",
             "BDATE": "DATE '1950-01-01' + CAST((c_custkey * 37) % 40000 AS int)",
             "GEN": "CASE c_custkey % 6 WHEN 0 THEN 'F' WHEN 1 THEN 'male' WHEN 2 THEN 'FEMALE ' WHEN 3 THEN ''"
             " WHEN 4 THEN ' M' END",
         },
     ),
     "erp_loc_a101": (
-        "(SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 13 <> 5) AS c",
+        "(SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey) AS c",
         {
-            "CID": "concat('AW-', CAST(c_custkey AS string))",
+            "CID": "concat(CASE WHEN c_custkey % 13 = 5 THEN 'XX-' ELSE 'AW-' END, CAST(c_custkey AS string))",
             "CNTRY": "CASE n_nationkey % 6 WHEN 0 THEN 'DE' WHEN 1 THEN 'USA' WHEN 2 THEN ' US' WHEN 3 THEN ' '"
             " WHEN 4 THEN concat(' ', n_name, ' ') END",
         },
@@ -59,9 +60,10 @@ SHAPES: dict[str, tuple[str, dict[str, str]]] = {
         },
     ),
     "erp_px_cat_g1v2": (
-        "(SELECT DISTINCT p_type FROM part WHERE p_type <> 'PROMO') AS p",
+        "(SELECT DISTINCT p_type FROM part) AS p",
         {
-            "ID": "concat(substring(p_type, 1, 2), '_', substring(p_type, 3, 2))",
+            "ID": "CASE WHEN p_type = 'PROMO' THEN 'XX_XX'"
+            " ELSE concat(substring(p_type, 1, 2), '_', substring(p_type, 3, 2)) END",
             "CAT": "concat(p_type, ' ')",
             "SUBCAT": "lower(p_type)",
             "MAINTENANCE": "CASE length(p_type) WHEN 5 THEN 'Yes' WHEN 6 THEN 'NO ' WHEN 7 THEN 'maybe' END",
@@ -96,18 +98,15 @@ _ORDER_COLUMNS = ["o_custkey", "o_orderdate"]
 
 
 def _base(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    if name == "crm_cust_info":
+    if name in ("crm_cust_info", "erp_cust_az12"):
         return table(spark, folder, "customer")
-    if name == "erp_cust_az12":
-        return table(spark, folder, "customer").where("c_custkey % 11 <> 3")
     if name == "erp_loc_a101":
-        kept = table(spark, folder, "customer").where("c_custkey % 13 <> 5")
-        nation = table(spark, folder, "nation")
-        return lookup(kept, nation, {"c_nationkey": "n_nationkey"}, ["n_nationkey", "n_name"], how="inner")
+        customer, nation = table(spark, folder, "customer"), table(spark, folder, "nation")
+        return lookup(customer, nation, {"c_nationkey": "n_nationkey"}, ["n_nationkey", "n_name"], how="inner")
     if name == "crm_prd_info":
         return table(spark, folder, "part")
     if name == "erp_px_cat_g1v2":
-        return table(spark, folder, "part").where("p_type <> 'PROMO'").select("p_type").distinct()
+        return table(spark, folder, "part").select("p_type").distinct()
     return lookup(
         table(spark, folder, "lineitem"), table(spark, folder, "orders"), {"l_orderkey": "o_orderkey"}, _ORDER_COLUMNS
     )

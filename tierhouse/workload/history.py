@@ -69,18 +69,19 @@ _PARTS = """WITH target AS (
     SELECT p_partkey, p_name, CAST(p_retailprice AS decimal(10, 2)) AS cost, p_size,
       CASE WHEN p_partkey % 10 = 9 THEN DATE '2024-06-01' ELSE DATE '2020-01-01' END AS start_date,
       CASE WHEN p_partkey % 7 = 0 THEN DATE '2021-01-01' END AS end_date, p_partkey % 7 <> 0 AS is_current
-    FROM part WHERE p_partkey % 3 <> 0),
+    FROM part),
   source AS (
-    SELECT p_partkey, concat(p_name, CASE WHEN p_partkey % 8 = 0 THEN ' new' ELSE '' END) AS p_name,
+    SELECT CASE WHEN p_partkey % 5 < 3 THEN p_partkey ELSE -1 - p_partkey END AS p_partkey,
+      concat(p_name, CASE WHEN p_partkey % 8 = 0 THEN ' new' ELSE '' END) AS p_name,
       CAST(CASE p_partkey % 4 WHEN 0 THEN p_retailprice + 1 WHEN 1 THEN NULL ELSE p_retailprice END
         AS decimal(10, 2)) AS cost, p_size
-    FROM part WHERE p_partkey % 5 < 3) """
+    FROM part) """
 
 
 def _parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """A dimension and a batch of changes to it."""
+    """A dimension and a batch of changes to it; two fifths of the batch are new products."""
     part = table(spark, folder, "part")
-    target = part.where("p_partkey % 3 <> 0").selectExpr(
+    target = part.selectExpr(
         "p_partkey",
         "p_name",
         "CAST(p_retailprice AS decimal(10, 2)) AS cost",
@@ -89,8 +90,8 @@ def _parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
         "CASE WHEN p_partkey % 7 = 0 THEN DATE '2021-01-01' END AS end_date",
         "p_partkey % 7 <> 0 AS is_current",
     )
-    source = part.where("p_partkey % 5 < 3").selectExpr(
-        "p_partkey",
+    source = part.selectExpr(
+        "CASE WHEN p_partkey % 5 < 3 THEN p_partkey ELSE -1 - p_partkey END AS p_partkey",
         "concat(p_name, CASE WHEN p_partkey % 8 = 0 THEN ' new' ELSE '' END) AS p_name",
         "CAST(CASE p_partkey % 4 WHEN 0 THEN p_retailprice + 1 WHEN 1 THEN NULL ELSE p_retailprice END"
         " AS decimal(10, 2)) AS cost",

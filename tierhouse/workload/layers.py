@@ -252,14 +252,15 @@ def customers_by_gender(spark, folder):
 _TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _TABLES))
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _TABLES), "table_counts")
 def table_row_counts(spark, folder):
     return table_counts({name: table(spark, folder, name) for name in _TABLES})
 
 
 @query(
     """SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS order_key, o_orderkey, o_custkey,
-    o_orderpriority FROM orders"""
+    o_orderpriority FROM orders""",
+    "surrogate_key",
 )
 def dense_surrogate_key(spark, folder):
     numbered = surrogate_key(table(spark, folder, "orders"), ["o_orderdate", "o_orderkey"], "order_key")

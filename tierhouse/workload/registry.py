@@ -11,16 +11,16 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name, with the SQL that must give the same rows."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function, with the SQL that must give the same rows, under ``name`` or its own name."""
 
     def register(function: Query) -> Query:
-        name = function.__name__
-        if name in QUERIES:
-            raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = function
+        key = name or function.__name__
+        if key in QUERIES:
+            raise ValueError(f"query {key} is registered twice")
+        QUERIES[key] = function
         if sql is not None:
-            ORACLES[name] = sql
+            ORACLES[key] = sql
         return function
 
     return register
