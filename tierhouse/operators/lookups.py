@@ -45,8 +45,9 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def _looks_small(df: DataFrame, limit: int) -> bool:
-    """Whether the planner's size estimate, taken from file sizes, stays below ``limit``."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+    """Whether the files and frames that ``df`` is made from stay below ``limit`` bytes together."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())) <= limit
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:

@@ -37,6 +37,8 @@ def surrogate_key(
     for a table reads file footers only. The count and the sampling for the sort read the input
     again, so write an expensive one first (``materialize``).
     """
+    if name in df.columns:
+        raise ValueError(f"column {name} is already present")
     # A fixed number of partitions: merging them by size would put well-compressed copies together.
     parts = max(1, math.ceil((df.count() if rows is None else rows) / task_rows))
     hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
