@@ -6,9 +6,10 @@ import pytest
 import __spark_entry__ as contract
 from conftest import DATA
 from tierhouse.operators import lookups, numbering, versions
+from tierhouse.workload import ORACLES as SQL
+from tierhouse.workload import QUERIES
 
 SF = str(DATA / "sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,8 @@ def db():
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
