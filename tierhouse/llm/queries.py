@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import pyspark.sql.functions as F
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from . import line_dedup, sharding, url_filter
+from . import bpe, language_id, line_dedup, sharding, toxicity, url_filter
 from .registry import query, table
 
 SHARDS = 16
+HELD_OUT_LANGUAGE, HELD_OUT_TOXICITY = 5, 4
 # Fixed values of the task: verdict, host, start of the path.
 URL_RULES = (
     ("allow", "com", "/"),
@@ -18,6 +19,15 @@ URL_RULES = (
     ("block", "net", "/fr/"),
 )
 
+
+
+def tokenizer_path() -> str:
+    """The word-level BPE vocabulary among the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 LINE_DEDUP_SQL = f"""
 WITH parts AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
@@ -66,6 +76,37 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def _remainder(parts: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % parts
+
+
+@query()
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.coalesce(_remainder(HELD_OUT_TOXICITY) == 2, F.lit(False))
+    labels = table(spark, folder, "labels").filter(~held_out)
+    docs = table(spark, folder, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return toxicity.score_toxicity(docs, labels.select("doc_id", F.col("toxic").alias("label")))
+
+
+@query()
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(_remainder(HELD_OUT_LANGUAGE) == 0, F.lit(False))
+    learned = language_id.fit(docs.filter(~held_out & F.col("lang").isNotNull()), "text", "lang")
+    told = learned.predict(docs.select("doc_id", "text", held_out.alias("held_out")), "text")
+    return told.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@query()
+def op5_bpe(spark: SparkSession, folder: str, tokenizer: str | None = None) -> DataFrame:
+    codec = bpe.Codec(spark, tokenizer or tokenizer_path())
+    docs = table(spark, folder, "documents")
+    ids = docs.select("doc_id", codec.encode(F.col("text")).alias("ids"))
+    both = ids.withColumn("decoded", codec.decode(F.col("ids")))
+    return both.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 @query()
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Law: rows. The numbers of rows of any two shards differ by one at most."""
