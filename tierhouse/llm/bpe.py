@@ -24,8 +24,10 @@ import pyspark.sql.functions as F
 import regex
 from pyspark.sql import Column, SparkSession
 
-# Words and arcs that a worker remembers; beyond that it forgets them all and starts again.
-REMEMBERED = 400_000
+from .common import small_batches
+
+# Words, and arcs, that a worker remembers; beyond that it forgets them all and starts again.
+REMEMBERED = 120_000
 START = -1
 
 
@@ -36,28 +38,44 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def labels_of(read: dict) -> list[str]:
+    """The label of each id in a tokenizer file."""
+    known = read["model"]["vocab"] | {t["content"]: t["id"] for t in read["added_tokens"]}
+    labels = [""] * (max(known.values()) + 1)
+    for label, number in known.items():
+        labels[number] = label
+    return labels
+
+
+def decode_ids(labels: list[str], packed: bytes) -> str:
+    """The labels along a path, with spaces between."""
+    ids = array("I")
+    ids.frombytes(packed)
+    return " ".join(map(labels.__getitem__, ids))
+
+
 class MergeAutomaton:
     """States and arcs by token. A token that two merges make is refused."""
 
     def __init__(self, tokens: int, merges: list[tuple[int, int, int]], final: set[int]) -> None:
         self.left, self.right = array("i", [-1]) * tokens, array("i", [-1]) * tokens
         self.born = array("i", [-1]) * tokens
-        self.cut: dict[tuple[int, int], int] = {}
+        self.cut: dict[int, int] = {}
         self.final = final
         self.table: dict[int, bool] = {}
         for rank, (a, b, ab) in enumerate(merges):
             self._gadget(rank, a, b, ab)
 
     def _gadget(self, rank: int, a: int, b: int, ab: int) -> None:
-        if self.born[ab] >= 0 or (a, b) in self.cut:
+        if self.born[ab] >= 0 or a << 32 | b in self.cut:
             raise ValueError(f"token {ab} is made by more than one merge")
         self.left[ab], self.right[ab], self.born[ab] = a, b, rank
-        self.cut[a, b] = rank
+        self.cut[a << 32 | b] = rank
 
     def _has_arc(self, state: int, label: int, time: int) -> bool:
         """Whether the arc leaves the state before the merge number ``time``."""
         while True:
-            if state in self.final or self.cut.get((state, label), time) < time:
+            if state in self.final or self.cut.get(state << 32 | label, time) < time:
                 return False
             born = self.born[label]
             if born >= 0 and self.left[label] == self.right[label] == state:
@@ -75,7 +93,7 @@ class MergeAutomaton:
         key = state << 32 | label
         known = self.table.get(key)
         if known is None:
-            if len(self.table) >= 4 * REMEMBERED:
+            if len(self.table) >= REMEMBERED:
                 self.table.clear()
             known = self.table[key] = self._has_arc(state, label, len(self.born))
         return known
@@ -88,24 +106,19 @@ class Tokenizer(dict):
         super().__init__()
         read = json.loads(spec)
         model, suffix = read["model"], read["model"]["end_of_word_suffix"]
-        self.labels = [""] * (max(model["vocab"].values()) + 1)
         self.inner: dict[bytes, int] = {}
         self.last: dict[bytes, int] = {}
         letters = byte_letters()
         for token, number in model["vocab"].items():
-            self.labels[number] = token
             ends = token.endswith(suffix)
             spelled = bytes(letters[c] for c in (token.removesuffix(suffix) if ends else token))
             (self.last if ends else self.inner)[spelled] = number
         self.begun = {spelled[:n]: -1 for spelled in self.inner for n in range(1, len(spelled))} | self.inner
         vocab = model["vocab"]
         merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in model["merges"]]
-        self.automaton = MergeAutomaton(len(self.labels), merges, set(self.last.values()))
+        self.automaton = MergeAutomaton(max(vocab.values()) + 1, merges, set(self.last.values()))
         self.longest = max(map(len, [*self.inner, *self.last]))
         self.special = {t["content"]: t["id"] for t in read["added_tokens"]}
-        for content, number in self.special.items():
-            self.labels.extend([""] * (number + 1 - len(self.labels)))
-            self.labels[number] = content
         steps = read["pre_tokenizer"]["pretokenizers"]
         self.word = regex.compile(steps[0]["pattern"]["Regex"])
         self.marker = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
@@ -159,11 +172,6 @@ class Tokenizer(dict):
         parts.append(self.encode_plain(text[done:]))
         return b"".join(parts)
 
-    def decode(self, packed: bytes) -> str:
-        ids = array("I")
-        ids.frombytes(packed)
-        return " ".join(map(self.labels.__getitem__, ids))
-
 
 def _compiled(shared: dict) -> Tokenizer:
     """The tokenizer of a broadcast file. It stays with the worker process's copy, for all tasks that run there."""
@@ -180,7 +188,10 @@ class Codec:
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         with open(path, encoding="utf-8") as file:
-            self._shared = spark.sparkContext.broadcast({"spec": file.read(), "tokenizer": None})
+            spec = file.read()
+        small_batches(spark)
+        self._shared = spark.sparkContext.broadcast({"spec": spec, "tokenizer": None})
+        self._labels = spark.sparkContext.broadcast(labels_of(json.loads(spec)))
 
     def encode(self, text: Column) -> Column:
         """Token ids as packed little-endian unsigned 32-bit integers; empty for an empty text or NULL.
@@ -199,13 +210,12 @@ class Codec:
 
     def decode(self, packed: Column) -> Column:
         """The labels of the ids with spaces between; empty for no ids or NULL."""
-        shared = self._shared
+        labels = self._labels
 
         @F.pandas_udf("string")
         def label_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            tokenizer = _compiled(shared.value)
-            for ids in batches:
-                yield pd.Series([tokenizer.decode(i) if i else "" for i in ids], dtype=object)
+            for packs in batches:
+                yield pd.Series([decode_ids(labels.value, p) if p else "" for p in packs], dtype=object)
 
         return label_text(packed)
 

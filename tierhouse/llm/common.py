@@ -6,12 +6,23 @@ from collections.abc import Callable
 from functools import reduce
 
 import pyspark.sql.functions as F
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 WORD_BREAK = "[ \\t-\\r]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+# Rows of a batch that goes to a Python worker; documents can be long, and a batch is held whole.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to ``BATCH_ROWS`` unless it is lower already."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once, also where ``body`` uses it within a lambda."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

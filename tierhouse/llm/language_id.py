@@ -17,6 +17,8 @@ import pandas as pd
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
+from .common import small_batches
+
 # n-grams are hashed to so many features per length.
 FEATURES = 1 << 13
 LENGTHS = (1, 2, 3)
@@ -96,6 +98,7 @@ class Model:
         A text that is NULL or has no letter gets ``und`` with score 0 and counts as ambiguous; so does every text if
         no language was learned. Columns of these names are replaced. Each text counts whole.
         """
+        small_batches(docs.sparkSession)
         told = docs.withColumn("__told", self.column(F.col(text_col)))
         kept = [c for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
         return told.select(*kept, F.col("__told.lang").alias("lang_pred"), F.col("__told.score").alias("score"),
@@ -154,6 +157,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     how much likelier it is in the languages with a 1, each language counting alike. A bit's trust is the share of its
     languages' mean vectors that it tells right, weighted by their margins.
     """
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
     parts = rows.mapInPandas(_language_counts, "lang string, n long, counts binary")
     found = parts.groupBy("lang").applyInPandas(_added, "lang string, n long, counts binary")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from . import bpe, language_id, line_dedup, sharding, toxicity, url_filter
+from . import bpe, language_id, line_dedup, near_dedup, sharding, toxicity, url_filter
 from .registry import query, table
 
 SHARDS = 16
@@ -123,3 +123,39 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, folder, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "verdict_by")
+
+
+NEAR_DEDUP_SQL = """
+WITH RECURSIVE parts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 OR w IS NULL THEN [] WHEN len(w) = 1 THEN [[w[1]]]
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: [w[i], w[i + 1]])) END AS s
+  FROM parts
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS c
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id < b.doc_id AND a.n * 100 >= b.n * 80 AND b.n * 100 >= a.n * 80
+  GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM common WHERE 100 * c >= 80 * (nx + ny - c)
+  UNION ALL SELECT y, x FROM common WHERE 100 * c >= 80 * (nx + ny - c)
+), reach AS (
+  SELECT DISTINCT x, x AS y FROM links
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), least AS (
+  SELECT x, min(y) AS y FROM reach GROUP BY x
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(y, doc_id) AS component_id, coalesce(y, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN least ON doc_id = x
+"""
+
+
+@query(NEAR_DEDUP_SQL)
+def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Two-word shingles, as the contract of the query has it."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs, width=2).select("doc_id", "n_shingles", "component_id", "kept")

@@ -18,6 +18,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
 from ..operators.staging import materialize
+from .common import small_batches
 
 # Labelled documents learned from, of each label at most, by hash order.
 EXAMPLES_PER_LABEL = 8192
@@ -218,6 +219,7 @@ def score_toxicity(
     rate (0.5 without labels). ``evidence`` holds the three nearest examples. Columns of these names are replaced.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     known = (
         labels.select(F.col(id_col).cast("bigint").alias("key"), F.col("label").cast("int").alias("label")).dropna()
         .groupBy("key").agg(F.max("label").alias("label"))
