@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from . import bpe, language_id, line_dedup, near_dedup, sharding, toxicity, url_filter
+from . import bpe, decontamination, language_id, line_dedup, near_dedup, sharding, toxicity, url_filter
 from .registry import query, table
 
 SHARDS = 16
@@ -159,3 +159,29 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Two-word shingles, as the contract of the query has it."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return near_dedup.near_duplicates(docs, width=2).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+DECONTAMINATION_SQL = """
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
+), parts AS (
+  SELECT kind, id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') AS w
+  FROM texts
+), sets AS (
+  SELECT kind, id, CASE WHEN len(w) = 0 OR w IS NULL THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4])) END AS s
+  FROM parts
+), items AS (
+  SELECT kind, id, len(s) AS n, unnest(s) AS item FROM sets
+)
+SELECT d.id AS doc_id, i.id AS item_id, any_value(i.n)::INTEGER AS n_item, count(*)::INTEGER AS n_common
+FROM items d JOIN items i ON d.item = i.item AND d.kind = 'd' AND i.kind = 'i'
+GROUP BY 1, 2 HAVING count(*) * 100 >= any_value(i.n) * 80
+"""
+
+
+@query(DECONTAMINATION_SQL)
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontamination.contained_items(docs, table(spark, folder, "benchmark"))
