@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from . import bpe, decontamination, language_id, line_dedup, near_dedup, sharding, toxicity, url_filter
+from . import bpe, decontamination, language_id, line_dedup, near_dedup, sharding, surrogates, toxicity, url_filter
 from .registry import query, table
 
 SHARDS = 16
@@ -185,3 +185,9 @@ GROUP BY 1, 2 HAVING count(*) * 100 >= any_value(i.n) * 80
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontamination.contained_items(docs, table(spark, folder, "benchmark"))
+
+
+@query()
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.pseudonymize(docs, "a key of the query")
