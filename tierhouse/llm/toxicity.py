@@ -72,67 +72,75 @@ def vector(text: str | None, numbers: _TermNumbers) -> dict[int, int]:
 
 @dataclass
 class BlockMaxIndex:
-    """Examples as unit vectors, their postings in blocks of ``BLOCK`` examples, and each block's largest weight."""
+    """Unit vectors of the examples, their postings in blocks of ``BLOCK`` vectors, and each block's largest weights.
 
-    ids: np.ndarray
-    labels: np.ndarray
-    weights: np.ndarray  # of the examples, in votes
+    Examples with equal vectors share one; as ties go to the smaller id, only the first ``NEIGHBOURS + 1`` of them can
+    be among the nearest.
+    """
+
+    members: list[list[tuple[int, int]]]  # by vector: ids and labels of its examples
+    weight: dict[int, float]  # by label: what an example counts in votes
     idf: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # by term: examples, weights, where each block begins
+    postings: list[tuple[np.ndarray, np.ndarray]]  # by term: vectors and weights
     largest: np.ndarray  # terms x blocks
 
     @classmethod
-    def build(cls, examples: list[tuple], idf: np.ndarray, class_weight: dict[int, float]) -> BlockMaxIndex:
-        """From ``(id, label, term numbers, counts)``. Examples with the same strongest term are neighbours."""
+    def build(cls, examples: list[tuple], idf: np.ndarray, weight: dict[int, float]) -> BlockMaxIndex:
+        """From ``(id, label, term numbers, counts)``. Vectors with the same strongest term are neighbours."""
+        same: dict[tuple, list[tuple[int, int]]] = {}
+        for key, label, terms, counts in sorted(examples, key=lambda e: e[0]):
+            same.setdefault(tuple(sorted(zip(terms, counts, strict=True))), []).append((key, label))
         units = []
-        for key, label, terms, counts in examples:
-            w = cls.unit(np.asarray(terms), np.asarray(counts), idf)
-            units.append((int(terms[int(np.argmax(w))]), key, label, np.asarray(terms), w))
+        for held, members in same.items():
+            terms, counts = np.array(held).T
+            w = cls.unit(terms, counts, idf)
+            units.append((int(terms[int(np.argmax(w))]), held, members[: NEIGHBOURS + 1], terms, w))
         units.sort(key=lambda u: u[:2])
-        blocks = -(-len(units) // BLOCK)
-        largest = np.zeros((len(idf), max(blocks, 1)))
+        largest = np.zeros((len(idf), -(-len(units) // BLOCK)))
         lists: list[list[tuple[int, float]]] = [[] for _ in idf]
         for at, (_, _, _, terms, w) in enumerate(units):
+            np.maximum.at(largest, (terms, at // BLOCK), w)
             for t, x in zip(terms.tolist(), w.tolist(), strict=True):
                 lists[t].append((at, x))
-                largest[t, at // BLOCK] = max(largest[t, at // BLOCK], x)
-        postings = []
-        for held in lists:
-            at = np.array([h[0] for h in held], dtype=np.int64)
-            postings.append((at, np.array([h[1] for h in held]), np.searchsorted(at, np.arange(blocks + 1) * BLOCK)))
-        labels = np.array([u[2] for u in units], dtype=float)
-        return cls(np.array([u[1] for u in units]), labels,
-                   np.array([class_weight[int(y)] for y in labels]), idf, postings, largest)
+        postings = [(np.array([h[0] for h in held], dtype=int), np.array([h[1] for h in held])) for held in lists]
+        return cls([u[2] for u in units], weight, idf, postings, largest)
 
     @staticmethod
     def unit(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
         w = (1.0 + np.log(counts)) * idf[terms]
         return w / np.sqrt((w * w).sum())
 
-    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, leave_out=None) -> list[tuple[float, int]]:
-        """The k examples with the highest cosine above 0, ties to the smaller id, as (cosine, place)."""
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS, leave_out: int | None = None
+                ) -> list[tuple[float, int, int]]:
+        """The k examples with the highest cosine above 0, ties to the smaller id, as (cosine, id, label)."""
         q = self.unit(terms, counts, self.idf)
-        bounds = (q[:, None] * self.largest[terms]).sum(axis=0) + 1e-9
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 2e-9 or len(best) == k and bounds[block] < best[-1][0]:
-                break
-            first = int(block) * BLOCK
-            scores = np.zeros(BLOCK)
+        bounds = q @ self.largest[terms]
+        scores = np.zeros(len(self.members))
+        unread = bounds > 0
+        read = np.zeros_like(unread)
+        # First the two most promising blocks; then all that can beat the worst of the k best found there.
+        read[np.argsort(-bounds, kind="stable")[:2]] = True
+        for _ in range(2):
+            read &= unread
             for t, x in zip(terms, q, strict=True):
-                at, w, begins = self.postings[t]
-                a, b = begins[block], begins[block + 1]
-                scores[at[a:b] - first] += x * w[a:b]
-            found = [(float(scores[j]), first + int(j)) for j in np.nonzero(scores)[0]]
-            found = [f for f in found if leave_out is None or self.ids[f[1]] != leave_out]
-            best = sorted(best + found, key=lambda f: (-round(f[0], 12), self.ids[f[1]]))[:k]
-        return best
-
-    def vote(self, near: list[tuple[float, int]]) -> float:
+                at, w = self.postings[t]
+                here = read[at // BLOCK]
+                scores[at[here]] += x * w[here]
+            unread &= ~read
+            wanted = k + (leave_out is not None)
+            found = scores[scores > 0]
+            worst = np.partition(found, len(found) - wanted)[len(found) - wanted] if len(found) >= wanted else 0.0
+            read = bounds >= worst - 1e-9
+        best = []
+        for at in np.nonzero((scores > 0) & (scores >= worst - 1e-9))[0]:
+            cosine = round(float(scores[at]), 12)
+            best += [(-cosine, key, label) for key, label in self.members[at] if key != leave_out]
+        return [(-c, key, label) for c, key, label in sorted(best)[:k]]
+
+    def vote(self, near: list[tuple[float, int, int]]) -> float:
         """Weighted share of toxic examples; the nearer, the more an example counts."""
-        at = np.array([n for _, n in near])
-        w = self.weights[at] / (1.05 - np.minimum([s for s, _ in near], 1.0))
-        return float((w * self.labels[at]).sum() / w.sum())
+        w = np.array([self.weight[label] / (1.05 - min(cosine, 1.0)) for cosine, _, label in near])
+        return float((w * np.array([label for _, _, label in near])).sum() / w.sum())
 
 
 def rising(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[list[float], list[float]]:
@@ -158,11 +166,11 @@ class Scorer:
     def score(self, terms: list[int], counts: list[int]) -> tuple[float, list[tuple[int, float, int]]]:
         if self.index is None or not len(terms):
             return self.otherwise, []
-        near = self.index.nearest(np.asarray(terms), np.asarray(counts), NEIGHBOURS)
+        near = self.index.nearest(np.asarray(terms), np.asarray(counts))
         if not near:
             return self.otherwise, []
         score = float(np.interp(self.index.vote(near), *self.scale))
-        return score, [(int(self.index.ids[n]), s, int(self.index.labels[n])) for s, n in near[:3]]
+        return score, [(key, cosine, label) for cosine, key, label in near[:3]]
 
 
 def _with_terms(docs: DataFrame, text_col: str, vocabulary: dict[str, int]) -> DataFrame:
@@ -287,7 +295,7 @@ def _learn(held: DataFrame, sample: DataFrame, vocabulary: dict[str, int], total
     otherwise = (sum(weight[y] * y for y in none) + overall) / (blank + 1)
     votes, toxic, weights = [], [], []
     for r in rows:
-        near = r.terms and index.nearest(np.asarray(r.terms), np.asarray(r.counts), NEIGHBOURS, leave_out=r.key)
+        near = r.terms and index.nearest(np.asarray(r.terms), np.asarray(r.counts), leave_out=r.key)
         if near:
             votes.append(index.vote(near))
             toxic.append(r.label)
