@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from . import bpe, decontamination, language_id, line_dedup, near_dedup, sharding, surrogates, toxicity, url_filter
+from . import bpe, cover_tree, decontamination, language_id, line_dedup, near_dedup, sharding, surrogates, toxicity, url_filter
 from .registry import query, table
 
 SHARDS = 16
@@ -191,3 +191,29 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return surrogates.pseudonymize(docs, "a key of the query")
+
+
+TOP_K_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place, vec_id, score
+  FROM pairs
+)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
+
+@query(TOP_K_SQL)
+def op3_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """Queries: vectors whose id is divisible by 50. Components become floor(256 * x)."""
+    whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    scaled = F.when(whole, F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)))
+    vectors = table(spark, folder, "embeddings").select("vec_id", scaled.alias("vector"))
+    return cover_tree.nearest(vectors, 5, F.col("vec_id") % 50 == 0)
