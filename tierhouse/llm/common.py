@@ -70,6 +70,34 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+# Bits of a row filter: per row looked for, and at most (32 MB).
+BITS_PER_ROW, MOST_BITS = 16, 1 << 28
+_PAGE = 32_768  # bits of one bitmap of Spark's bitmap functions
+
+
+def possibly_in(rows: DataFrame, keys: list[str], wanted: DataFrame, wanted_keys: list[str]) -> DataFrame:
+    """The rows whose keys may be among the wanted ones: all that are, and some others.
+
+    A bitmap of hashed keys is broadcast, so that a join with few of many rows need not shuffle them all. Its size
+    follows the number of wanted rows up to ``MOST_BITS``; beyond, more and more other rows pass.
+    """
+    count = wanted.count()
+    bits = 1 << max(16, (BITS_PER_ROW * count).bit_length())
+    bits = min(bits, MOST_BITS)
+    place = F.pmod(F.xxhash64(*wanted_keys), F.lit(bits))
+    bitmaps = (
+        wanted.select(place.alias("place"))
+        .groupBy(F.floor(F.col("place") / _PAGE).alias("page"))
+        .agg(F.bitmap_construct_agg(F.pmod("place", F.lit(_PAGE))).alias("bitmap"))
+    )
+    own = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    spot = F.pmod(own, F.lit(_PAGE))
+    byte = F.conv(F.hex(F.substring("bitmap", F.floor(spot / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.getbit(byte, F.pmod(spot, F.lit(8)).cast("int")) == 1
+    met = rows.join(F.broadcast(bitmaps), F.floor(own / _PAGE) == F.col("page"))
+    return met.filter(held).select(*rows.columns)
+
+
 def all_equal(left: list[Column], right: list[Column]) -> Column:
     """Null-safe equality of several columns."""
     return reduce(lambda a, b: a & b, (x.eqNullSafe(y) for x, y in zip(left, right, strict=True)))

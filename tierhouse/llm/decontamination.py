@@ -16,7 +16,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, Window
 
 from ..operators.staging import materialize
-from .common import all_equal, packed, shingles, small_batches, text_hash
+from .common import all_equal, packed, possibly_in, shingles, small_batches, text_hash
 from .near_dedup import mixed
 
 WIDTH, CONTAINMENT = 5, 80
@@ -121,7 +121,7 @@ def contained_items(
     rows = docs.select(packed(docs), F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("hash"))
     met_docs = materialize(pairs.select("own_id", "own_hash").distinct(), "met-documents")
     full = materialize(
-        rows.join(met_docs, all_equal([F.col("id"), F.col("hash")], [F.col("own_id"), F.col("own_hash")]))
+        possibly_in(rows, ["id", "hash"], met_docs, ["own_id", "own_hash"]).join(met_docs, all_equal([F.col("id"), F.col("hash")], [F.col("own_id"), F.col("own_hash")]))
         .select("row", "id", "hash", shingles(F.col("row").getField(text_col), width).alias("found")), "met-sets",
     )
     both = full.join(pairs, all_equal([F.col("id"), F.col("hash")], [F.col("own_id"), F.col("own_hash")])).join(

@@ -15,7 +15,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
 from ..operators.staging import materialize
-from .common import all_equal, packed, shingles, small_batches, text_hash, unpacked
+from .common import all_equal, packed, possibly_in, shingles, small_batches, text_hash, unpacked
 from .components import components
 
 # 45 bands of 6 registers miss a pair of similarity 0.8 with probability 1e-6 at most.
@@ -24,8 +24,8 @@ REGISTERS = BANDS * ROWS
 # Of 270 registers, 216 agree on average at similarity 0.8; fewer than this many do with probability below 1e-9.
 LEAST_AGREEING = 173
 WIDTH, SIMILARITY = 5, 80
-# Shingles ranked at a time; bounds a task's memory to some 40 MB for permutations.
-CHUNK = 60_000
+# Shingles ranked at a time; bounds a task's memory to some 10 MB for permutations.
+CHUNK = 20_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -198,8 +198,9 @@ class _Search:
             .select("node", F.col("id").alias("own_id"), F.col("hash").alias("own_hash")), "needed",
         )
         same = all_equal([F.col("id"), F.col("hash")], [F.col("own_id"), F.col("own_hash")])
+        texts = possibly_in(self.texts, ["id", "hash"], wanted, ["own_id", "own_hash"])
         sets = materialize(
-            self.texts.join(wanted, same).select("node", shingles(F.col("text"), self.width).alias("items")), "sets"
+            texts.join(wanted, same).select("node", shingles(F.col("text"), self.width).alias("items")), "sets"
         )
         one, two = sets.toDF("na", "x"), sets.toDF("nb", "y")
         both = pairs.join(one, F.col("a") == F.col("na")).join(two, F.col("b") == F.col("nb"))

@@ -37,7 +37,7 @@ def path_of(url: Column) -> Column:
 def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
     """The longest rule ``(verdict, host, path)`` whose host is the URL's or a parent of it and whose path begins the
     URL's, as a struct of ``rule`` (host and path) and ``verdict``; NULL if none fits."""
-    found = F.lit(None)
+    found = F.lit(None).cast("struct<rule: string, verdict: string>")
     for verdict, on, start in sorted(rules, key=lambda r: len(r[1] + r[2])):
         fits = ((host == on) | host.endswith("." + on)) & path.startswith(start)
         found = F.when(fits, F.struct(F.lit(on + start).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(found)
