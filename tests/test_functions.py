@@ -149,7 +149,9 @@ def test_bucket_of(spark):
     assert [r[0] for r in df.select(fn.bucket_of("v", [0.0, 1.0, 2.0])).collect()] == [0, 0, 1, 2, 3, 3]
 
 
-def test_text_rank_sorts_like_text(spark):
-    words = ["", "a", "ab", "b", "zebra", "zebrafish", "é", None]
-    ranks = column(spark, "STRING", words, fn.text_rank)
-    assert ranks[:-1] == sorted(ranks[:-1]) and ranks[-1] is None
+def test_bucket_of_texts_and_odd_numbers(spark):
+    words = ["", "a", "AW0001", "AW0002", "AW00021", "zebra", None]
+    df = spark.createDataFrame([(w,) for w in words], "v STRING")
+    assert [r[0] for r in df.select(fn.bucket_of("v", ["AW0001", "AW0002", "it's"])).collect()] == [0, 2, 1, 2, 2, 3, 0]
+    odd = spark.createDataFrame([(v,) for v in (float("nan"), float("inf"), float("-inf"), 1.0)], "v DOUBLE")
+    assert [r[0] for r in odd.select(fn.bucket_of("v", [0.0, float("inf")])).collect()] == [2, 2, 0, 1]

@@ -32,6 +32,37 @@ def test_read_csv(spark, tmp_path):
     assert typed.where("id = 2").first()["name"] is None
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    write_csv(tmp_path / "a", "loc.csv", "CNTRY,extra,cid", "Germany,1,AW1", "1x,2,AW2")
+    found = sources.read_csv(spark, str(tmp_path / "a"), "CID STRING, CNTRY STRING")
+    assert [tuple(r) for r in found.orderBy("CID").collect()] == [("AW1", "Germany"), ("AW2", "1x")]
+    with pytest.raises(ValueError, match="no column name"):
+        sources.read_csv(spark, str(tmp_path / "a"), "CID STRING, name STRING")
+    write_csv(tmp_path / "a", "more.csv", "cid,CNTRY,extra", "AW3,France,3")
+    with pytest.raises(Exception, match="(?i)header"):
+        sources.read_csv(spark, str(tmp_path / "a"), "CID STRING, CNTRY STRING").collect()
+
+
+def test_bad_rows_are_kept_or_fail(spark, tmp_path):
+    write_csv(tmp_path, "a.csv", "id,name", "1,a", "1x,b", "3,c,surplus", "4")
+    kept = sources.read_csv(spark, str(tmp_path), "name STRING, id INT", bad_records="keep").cache()
+    assert sorted((r["id"], r["name"], r["_bad_record"]) for r in kept.where("id IS NOT NULL").collect()) == [
+        (1, "a", None), (3, "c", "3,c,surplus"), (4, None, "4")
+    ]
+    assert [(r["name"], r["_bad_record"]) for r in kept.where("id IS NULL").collect()] == [("b", "1x,b")]
+    assert sources.bad_records(kept).count() == 3
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        sources.read_csv(spark, str(tmp_path), "name STRING, id INT").collect()
+
+
+def test_stream_finds_columns_by_name_and_keeps_bad_rows(spark, tmp_path):
+    write_csv(tmp_path / "in", "a.csv", "name,id", "x,1", "y,z")
+    stream = streaming.stream_csv(spark, str(tmp_path / "in"), "id INT, name STRING")
+    streaming.ingest_new_files(stream, str(tmp_path / "memory"), path=str(tmp_path / "out"))
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted((r["name"], r["id"], r["_bad_record"]) for r in found.collect()) == [("x", 1, None), ("y", None, "y,z")]
+
+
 def test_ingest_all(spark, tmp_path):
     write_csv(tmp_path, "a.csv", "id", "1", "2")
     write_csv(tmp_path, "b.csv", "id", "3")
@@ -173,6 +204,35 @@ def test_compact(spark, folder):
     assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
 
 
+def test_compact_keeps_columns_and_folders(spark, folder):
+    small, large = f"{folder}/by=x/small", f"{folder}/large"
+    ids = spark.range(40).withColumn("part", F.concat(F.lit("00"), F.col("id") % 3))
+    ids.repartition(5).write.partitionBy("part").parquet(small)
+    ids.withColumn("extra", F.lit("e")).repartition(5).write.mode("append").partitionBy("part").parquet(small)
+    op.compact(spark, small, large)
+    found = spark.read.option("basePath", large).parquet(*[f"{large}/part=00{k}" for k in range(3)])
+    assert found.count() == 80 and found.where("extra = 'e'").count() == 40
+    assert op.file_summary(spark, large).first()["files"] == 3
+    spark.range(3).withColumn("id", F.lit("text")).write.mode("append").parquet(f"{folder}/mixed")
+    spark.range(3).write.mode("append").parquet(f"{folder}/mixed")
+    with pytest.raises(Exception, match="(?i)merge"):
+        op.compact(spark, f"{folder}/mixed", f"{folder}/never")
+
+
+def test_cluster_by_texts_with_one_beginning(spark):
+    rows = spark.range(20_000).withColumn("name", F.format_string("AW%010d", "id")).repartition(7)
+    keyed = op.with_curve_key(rows, ["name"], "curve", bits=6)
+    assert keyed.select("curve").distinct().count() == 64
+    odd = spark.createDataFrame([(x, None if x == 1.0 else "a") for x in (float("nan"), float("inf"), 1.0, -5.0)], "x DOUBLE, t STRING")
+    assert op.cluster(odd, ["x", "t"]).count() == 4
+
+
+def test_row_hash_of_nested_maps(spark):
+    rows = spark.sql("SELECT id, array(map('k', id % 3)) AS m, map('a', 1, 'b', id) AS n FROM range(6)")
+    numbered = op.surrogate_key(rows, ["id"])
+    assert [r["surrogate_key"] for r in numbered.orderBy("id").collect()] == [1, 2, 3, 4, 5, 6]
+
+
 def test_cluster_narrows_the_ranges_of_files(spark, folder):
     df = spark.range(40_000).select(
         (F.hash("id") % 1000).alias("a"), (F.hash(F.col("id") + 7) % 1000).alias("b"), F.col("id").cast("string").alias("s")

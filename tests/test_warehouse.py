@@ -144,20 +144,38 @@ def test_golden_products(spark, rows):
 
 
 def test_checked_refresh(spark, shop, rows):
-    sources = {t: read_csv(spark, f"{shop[source(t).system]}/{source(t).file}", source(t).schema) for t in checked.BRONZE}
+    sources = {
+        t: read_csv(spark, f"{shop[source(t).system]}/{source(t).file}", source(t).schema)
+        for t in (*checked.BRONZE, "crm_prd_info")
+    }
     init_layers(spark, {"chk_bronze": "", "chk_silver": "", "chk_gold": ""})
     for table, df in sources.items():
         write_table(with_ingest_time(df), f"chk_bronze.{table}")
     counts = checked.refresh(spark, "chk_bronze", "chk_silver", "chk_gold")
     assert counts["crm_customers"] == {"rows": 4, "valid_customer_id": 0, "customer_id_not_empty": 0, "valid_firstname": 0}
     assert counts["sales"]["valid_quantity"] == 1 and counts["fact_sales"]["rows"] == 2
+    facts = spark.table("chk_gold.fact_sales")
+    assert rows(facts, "sales_order_number", "sales_order_qty", "revenue") == [("SO1", 2, 70), ("SO2", 1, 0)]
+    assert rows(spark.table("chk_gold.dim_products"), "product_key", "product_id", "category") == [
+        ("FR-R92B-58", "R92B", "Components"), ("HL-U509-R", "U509", "Accessories"), ("PD-M282", "", None),
+    ]
     assert "_ingest_timestamp" in spark.table("chk_silver.sales").columns
     customers = spark.table("chk_gold.dim_customers")
     assert rows(customers, "customer_key", "customer_id", "gender", "country") == [
         (1, "AW00011000", "Male", "Australia"), (2, "AW00011001", "Female", "DE"),
         (3, "AW00011002", "Female", None), (4, "AW00011003", None, None),
     ]
-    assert spark.table("chk_gold.dim_products").where("is_current").count() == 2
+    assert spark.table("chk_gold.dim_products").where("is_current").count() == 3
+
+
+def test_a_key_that_occurs_twice_stops_the_refresh(spark, shop):
+    path = pathlib.Path(shop["crm"]) / "cust_info.csv"
+    path.write_text(path.read_text() + "11000,AW00011009,Twice,Yang,M,M,2025-10-06\n")
+    with pytest.raises(op.RuleViolation, match="unique"):
+        warehouse.refresh(spark, shop, prefix="twice_")
+    init_layers(spark, {"two_silver": "", "two_gold": ""})
+    with pytest.raises(op.RuleViolation, match="unique"):
+        checked.refresh(spark, "twice_bronze", "two_silver", "two_gold")
 
 
 def test_a_failed_rule_leaves_the_table(spark):

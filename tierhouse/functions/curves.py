@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,30 +21,18 @@ def interleave_bits(buckets: Sequence[Column], bits: int) -> Column:
     return key
 
 
-def _literal(value) -> str:
-    if isinstance(value, float):
-        return f"{value!r}D"
-    return f"{value}BD" if isinstance(value, Decimal) else str(value)
-
-
 def bucket_of(column: str, bounds: Sequence) -> Column:
-    """Number of sorted numeric ``bounds`` that are <= the column, as a balanced tree of comparisons.
+    """Number of sorted ``bounds`` that are <= the column, as a balanced tree of comparisons.
 
     The tree stays inside generated code and costs log2(len(bounds)) comparisons per row. NULL
     falls into bucket 0.
     """
 
-    def search(low: int, high: int) -> str:
+    def search(low: int, high: int) -> Column:
         if low == high:
-            return str(low)
+            return F.lit(low)
         middle = (low + high) // 2
-        reached = f"`{column}` >= {_literal(bounds[middle])}"
-        return f"CASE WHEN {reached} THEN {search(middle + 1, high)} ELSE {search(low, middle)} END"
-
-    return F.expr(search(0, len(bounds)))
-
+        reached = F.col(f"`{column}`") >= F.lit(bounds[middle])
+        return F.when(reached, search(middle + 1, high)).otherwise(search(low, middle))
 
-def text_rank(column: Column) -> Column:
-    """Integer that sorts like the first six bytes of the text."""
-    head = F.rpad(F.hex(F.encode(column, "UTF-8")), 12, "0")
-    return F.conv(F.substring(head, 1, 12), 16, 10).cast("bigint")
+    return search(0, len(bounds))

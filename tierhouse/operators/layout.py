@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.curves import bucket_of, interleave_bits, text_rank
+from ..functions.curves import bucket_of, interleave_bits
+from .staging import row_hash
 
 # Fixed value: compaction aims at files of about 1 GB.
 TARGET_FILE_BYTES = 1 << 30
@@ -33,21 +34,34 @@ def file_summary(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
 def compact(spark: SparkSession, source: str, target: str, file_bytes: int = TARGET_FILE_BYTES) -> None:
     """Rewrite many small parquet files as few large ones at a new path.
 
-    The scan packs files up to ``file_bytes`` into one task and each task writes one file, so
-    nothing is shuffled. A second session holds the settings, the caller's stays as it is.
+    Files of different schemas are merged (columns that a file lacks are NULL; types that conflict are an error), and
+    partition folders stay as they are named. The scan packs files up to ``file_bytes`` into one task and each task
+    writes one file, so nothing is shuffled, unless there are partition folders: then the rows are brought together by
+    folder. A second session holds the settings, the caller's stays as it is.
     """
     session = spark.newSession()
+    session.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
     session.conf.set("spark.sql.files.maxPartitionBytes", str(file_bytes))
     session.conf.set("spark.sql.files.openCostInBytes", "0")
     session.conf.set("spark.sql.files.minPartitionNum", "1")
-    session.read.parquet(source).write.parquet(target)
+    reader = session.read.option("mergeSchema", "true")
+    rows = reader.parquet(source)
+    stored = reader.option("recursiveFileLookup", "true").parquet(source).columns  # without those of folders
+    folders = [c for c in rows.columns if c not in stored]
+    if folders:
+        sized_for_write(rows, *folders).write.partitionBy(*folders).parquet(target)
+    else:
+        rows.write.parquet(target)
+
+
+# Values of a text column that its bucket bounds are taken from.
+SAMPLED_TEXTS = 10_000
 
 
 def _rankable(df: DataFrame, name: str) -> Column:
-    """A number that sorts like the column."""
+    """The column, or a number that sorts like it."""
     kind = df.schema[name].dataType
-    if isinstance(kind, T.StringType):
-        return text_rank(F.col(name))
     if isinstance(kind, T.DateType):
         return F.unix_date(F.col(name))
     if isinstance(kind, T.TimestampNTZType):
@@ -62,15 +76,23 @@ def _rankable(df: DataFrame, name: str) -> Column:
 def with_curve_key(df: DataFrame, columns: Sequence[str], name: str, bits: int = 8) -> DataFrame:
     """Add a z-order key of the columns, each cut into at most 2**bits buckets of about equal size.
 
-    The bucket bounds are approximate quantiles from one aggregate over those columns; at most
-    2**bits numbers per column come to the driver.
+    The bucket bounds are approximate quantiles from one aggregate over those columns, for text
+    those of a random sample of ``SAMPLED_TEXTS`` whole values; 2**bits numbers per column, or that
+    sample, come to the driver.
     """
     ranks = {f"__rank_{c}": _rankable(df, c) for c in columns}
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
     ranked = df.withColumns(ranks)
-    found = ranked.agg(*[F.percentile_approx(r, steps, 10_000).alias(r) for r in ranks]).first()
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    numbers = [f"__rank_{c}" for c in columns if c not in texts]
+    found = ranked.agg(*[F.percentile_approx(r, steps, 10_000).alias(r) for r in numbers]).first() if numbers else {}
+    found = {r: [b for b in found[r] or [] if b == b] for r in numbers}  # NaN sorts last and bounds nothing
+    for c in texts:
+        values = ranked.select(F.col(f"`{c}`").alias("v")).where("v IS NOT NULL")
+        drawn = sorted(r.v for r in values.orderBy(F.rand(7)).limit(SAMPLED_TEXTS).collect())
+        found[f"__rank_{c}"] = [drawn[int(s * len(drawn))] for s in steps] if drawn else []
     # The buckets are columns of their own, as the key uses each of them once per bit.
-    buckets = {f"__bucket{r}": bucket_of(r, sorted(set(found[r] or []))) for r in ranks}
+    buckets = {f"__bucket{r}": bucket_of(r, sorted(set(found[r]))) for r in ranks}
     keyed = ranked.withColumns(buckets).withColumn(name, interleave_bits([F.col(b) for b in buckets], bits))
     return keyed.drop(*ranks, *buckets)
 
@@ -82,9 +104,8 @@ def cluster(df: DataFrame, columns: Sequence[str], bits: int = 8) -> DataFrame:
     with one curve key are separated by the columns themselves and a row hash: a frequent
     combination does not end up in one file.
     """
-    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     keyed = with_curve_key(df, columns, "__curve", bits).withColumns(
-        {"__row": F.xxhash64(*hashable), "__source": F.spark_partition_id()}
+        {"__row": row_hash(df), "__source": F.spark_partition_id()}
     )
     placed = keyed.repartitionByRange("__curve", *columns, "__row", "__source")
     return placed.sortWithinPartitions("__curve", *columns).drop("__curve", "__row", "__source")

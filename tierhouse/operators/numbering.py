@@ -7,10 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .lookups import HOT_ROWS, hot_keys, key_hash
-from .staging import materialize
+from .staging import materialize, row_hash
 
 # Rows that one task sorts and writes.
 TASK_ROWS = 500_000
@@ -41,8 +40,7 @@ def surrogate_key(
         raise ValueError(f"column {name} is already present")
     # A fixed number of partitions: merging them by size would put well-compressed copies together.
     parts = max(1, math.ceil((df.count() if rows is None else rows) / task_rows))
-    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    tagged = df.withColumns({"__tie": F.xxhash64(*hashable), "__source": F.spark_partition_id()})
+    tagged = df.withColumns({"__tie": row_hash(df), "__source": F.spark_partition_id()})
     placed = (
         tagged.repartitionByRange(parts, *order, "__tie", "__source")
         .sortWithinPartitions(*order, "__tie")
@@ -53,7 +51,7 @@ def surrogate_key(
         )
     )
     staged = materialize(placed, "numbered")
-    # One row per partition of the sort: this window and the broadcast stay small at any data size.
+    # One row per partition of the sort.
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         staged.groupBy("__part")
@@ -61,7 +59,7 @@ def surrogate_key(
         .select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__shift"))
     )
     number = (F.col("__shift") + F.col("__position") + F.lit(start)).cast("bigint")
-    return staged.join(F.broadcast(shifts), "__part").select(
+    return staged.join(shifts, "__part").select(
         number.alias(name), *[F.col(f"`{c}`") for c in df.columns]
     )
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,6 +30,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tierhouse/{label}-{uuid.uuid4().hex}"
 
 
+def row_hash(df: DataFrame) -> Column:
+    """Hash of all columns. Maps, which have no order, count as their sorted entries as text."""
+
+    def hashable(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if not _has_map(field.dataType):
+            return column
+        if isinstance(field.dataType, T.MapType):
+            return F.array_sort(F.transform(F.map_entries(column), lambda e: e.cast("string")))
+        return F.to_json(F.struct(column))
+
+    return F.xxhash64(*(hashable(f) for f in df.schema.fields))
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)

@@ -69,7 +69,10 @@ def dim_products(
 
 
 def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
-    """Sales lines with surrogate keys; a line without a matching dimension row keeps NULL."""
+    """Sales lines with surrogate keys; a line without a matching dimension row keeps NULL.
+
+    The dimensions need one row per looked-up key; the refresh checks that when it publishes them.
+    """
     keyed = with_dimension_keys(
         sales,
         [

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from ..operators.quality import require_unique
 from ..sources.catalog import LAYERS, init_layers, write_table
-from ..sources.files import ingest_all
+from ..sources.files import BAD_RECORD, ingest_all
 from ..sources.schemas import SOURCES
 from . import gold, silver
 
@@ -19,19 +20,24 @@ def ingestion_items(folders: dict[str, str]) -> list[dict[str, str]]:
     ]
 
 
-def refresh_bronze(spark: SparkSession, folders: dict[str, str], bronze: str = "bronze") -> None:
-    ingest_all(spark, ingestion_items(folders), bronze)
+def refresh_bronze(spark: SparkSession, folders: dict[str, str], bronze: str = "bronze") -> dict[str, str]:
+    """Load all sources; rows that do not fit their columns are kept with the original line."""
+    return ingest_all(spark, ingestion_items(folders), bronze)
 
 
 def refresh_silver(spark: SparkSession, bronze: str = "bronze", silver_schema: str = "silver") -> None:
     for table, (source, build) in silver.BUILDERS.items():
-        write_table(build(spark.table(f"{bronze}.{source}")), f"{silver_schema}.{table}")
+        rows = spark.table(f"{bronze}.{source}").drop(BAD_RECORD)
+        write_table(build(rows), f"{silver_schema}.{table}", sized=True)
 
 
 def refresh_gold(
     spark: SparkSession, silver_schema: str = "silver", gold_schema: str = "gold", versions: str = "latest"
 ) -> None:
-    """Customers, products, then facts, which look up the keys just written."""
+    """Customers, products, then facts, which look up the keys just written.
+
+    Raises if a dimension holds a looked-up key twice, as facts would then be doubled.
+    """
 
     def read(table: str):
         return spark.table(f"{silver_schema}.{table}")
@@ -40,10 +46,13 @@ def refresh_gold(
     write_table(customers, f"{gold_schema}.dim_customers")
     products = gold.dim_products(read("crm_products"), read("erp_product_category"), versions)
     write_table(products, f"{gold_schema}.dim_products")
+    if versions == "latest":
+        require_unique(spark.table(f"{gold_schema}.dim_products"), ["product_number"])
+    require_unique(spark.table(f"{gold_schema}.dim_customers"), ["customer_id"])
     facts = gold.fact_sales(
         read("crm_sales"), spark.table(f"{gold_schema}.dim_products"), spark.table(f"{gold_schema}.dim_customers")
     )
-    write_table(facts, f"{gold_schema}.fact_sales")
+    write_table(facts, f"{gold_schema}.fact_sales", sized=True)
 
 
 def refresh(spark: SparkSession, folders: dict[str, str], prefix: str = "") -> None:

@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 
 from ..operators.layout import file_summary, sized_for_write
 
-# The layers and their comments.
 LAYERS = {
-    "bronze": "Bronze layer: raw ingested data",
-    "silver": "Silver layer: cleaned and transformed data",
-    "gold": "Gold layer: business-ready data",
+    "bronze": "Source rows as they were delivered",
+    "silver": "One cleaned table per source table",
+    "gold": "Dimensions and facts for reports",
 }
 
 

@@ -4,19 +4,77 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .catalog import write_table
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None, file_glob: str | None = None) -> DataFrame:
-    """CSV with a header row. Without a schema the types are inferred, at the price of a further scan."""
+BAD_RECORD = "_bad_record"
+
+
+def columns_by_header(spark: SparkSession, path: str, schema: str, file_glob: str | None = None) -> StructType:
+    """The columns of ``schema`` in the order of the first file's header, others as text.
+
+    Without any file it is ``schema`` itself. Names match without regard to case.
+    """
+    wanted = _parsed(schema)
     reader = spark.read.option("header", "true")
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", "true")
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    return reader.csv(path)
+    try:
+        header = reader.csv(path).columns
+    except AnalysisException as error:
+        if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        return wanted
+    by_name = {f.name.lower(): f for f in wanted.fields}
+    missing = [f.name for f in wanted.fields if f.name.lower() not in {h.lower() for h in header}]
+    if header and missing:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
+    return StructType([by_name.get(h.lower(), StructField(h, StringType())) for h in header]) if header else wanted
+
+
+def _parsed(schema: str) -> StructType:
+    return StructType.fromDDL(schema)
+
+
+def with_bad_records(columns: StructType, bad_records: str) -> tuple[StructType, dict[str, str]]:
+    """Read schema and reader options for a choice of what happens to rows that do not fit."""
+    # Every file's header is compared with the columns: a file with other columns is an error, not misread.
+    options = {"header": "true", "enforceSchema": "false"}
+    if bad_records == "fail":
+        return columns, options | {"mode": "FAILFAST"}
+    if bad_records != "keep":
+        raise ValueError("bad_records must be fail or keep")
+    return columns.add(BAD_RECORD, StringType()), options | {"columnNameOfCorruptRecord": BAD_RECORD}
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: str | None = None, file_glob: str | None = None, bad_records: str = "fail"
+) -> DataFrame:
+    """CSV with a header row, read by column name into the columns of ``schema``.
+
+    A header without one of the columns, or files whose headers differ, are errors; further columns are left out.
+    Rows with a value that does not fit, or with too many or too few fields, fail the read, or with
+    ``bad_records="keep"`` have the whole line in ``_bad_record`` (NULL in good rows). Without a schema the types are
+    inferred, at the price of a further scan.
+    """
+    reader = spark.read
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    if not schema:
+        return reader.option("header", "true").option("inferSchema", "true").csv(path)
+    columns, options = with_bad_records(columns_by_header(spark, path, schema, file_glob), bad_records)
+    kept = [f.name for f in _parsed(schema).fields] + [BAD_RECORD] * (bad_records == "keep")
+    return reader.options(**options).schema(columns).csv(path).select(*kept)
+
+
+def bad_records(df: DataFrame) -> DataFrame:
+    """The rows of a stored table that did not fit their columns."""
+    return df.where(F.col(BAD_RECORD).isNotNull())
 
 
 def with_ingest_metadata(df: DataFrame) -> DataFrame:
@@ -31,11 +89,12 @@ def ingest_all(
 ) -> dict[str, str]:
     """Load every item into a full-refresh table of ``database``; returns table name by item.
 
-    Items have ``source``, ``path`` and ``table``, and may have a ``schema``.
+    Items have ``source``, ``path`` and ``table``, and may have a ``schema`` and ``bad_records`` (default ``keep``:
+    rows that do not fit stay in the table with their line in ``_bad_record``).
     """
     written = {}
     for item in items:
-        df = read_csv(spark, item["path"], item.get("schema"))
+        df = read_csv(spark, item["path"], item.get("schema"), bad_records=item.get("bad_records", "keep"))
         if metadata:
             df = with_ingest_metadata(df)
         name = f"{database}.{item['table']}"

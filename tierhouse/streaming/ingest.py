@@ -5,24 +5,30 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from ..sources.files import with_ingest_metadata
+from ..sources.files import BAD_RECORD, columns_by_header, with_bad_records, with_ingest_metadata
 from ..sources.schemas import SOURCES, Source
 
 
 def stream_csv(
-    spark: SparkSession, folder: str, schema: str, file_glob: str | None = None, files_per_batch: int | None = None
+    spark: SparkSession, folder: str, schema: str, file_glob: str | None = None, files_per_batch: int | None = None,
+    bad_records: str = "keep",
 ) -> DataFrame:
     """Stream of the CSV files in ``folder``, with load time and source file.
 
-    ``file_glob`` keeps matching file names only; ``files_per_batch`` bounds the size of a batch.
+    Columns are found by name, rows that do not fit are kept with their line or fail the batch, as in ``read_csv``;
+    the header of the first file there holds for all. ``file_glob`` keeps matching file names only;
+    ``files_per_batch`` bounds the size of a batch.
     """
-    reader = spark.readStream.option("header", "true").schema(schema)
+    columns, options = with_bad_records(columns_by_header(spark, folder, schema, file_glob), bad_records)
+    reader = spark.readStream.options(**options).schema(columns)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-    return with_ingest_metadata(reader.csv(folder))
+    kept = [f.name for f in StructType.fromDDL(schema).fields] + [BAD_RECORD] * (bad_records == "keep")
+    return with_ingest_metadata(reader.csv(folder)).select(*kept, "_ingest_timestamp", "_source_file")
 
 
 def ingest_new_files(stream: DataFrame, checkpoint: str, table: str | None = None, path: str | None = None) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions import interleave_bits
-from ..sources import read_csv, with_ingest_metadata
+from ..sources import bad_records, read_csv, with_ingest_metadata
 from ..streaming import ingest_new_files, stream_csv
 from .registry import query, table
 
@@ -19,36 +19,75 @@ _ORDERS = (
 )
 
 
-@query("SELECT *, TRUE AS has_file, TRUE AS has_time FROM customer")
+@query(
+    """SELECT * REPLACE (CASE WHEN c_custkey % 10 <> 3 THEN c_nationkey END AS c_nationkey),
+    c_custkey % 10 = 3 AS is_bad, (SELECT count(*) FROM customer WHERE c_custkey % 10 = 3) AS bad_rows,
+    TRUE AS has_file, TRUE AS has_time FROM customer"""
+)
 def csv_ingest(spark, folder):
-    """Customers through CSV files and a batch read with a schema and ingest columns."""
+    """Customers through CSV files with other columns in another order, some rows with a malformed number."""
     path = op.scratch_path(spark, "customer-csv")
-    table(spark, folder, "customer").write.option("header", "true").csv(path)
-    loaded = with_ingest_metadata(read_csv(spark, path, _CUSTOMER, "*.csv"))
-    return loaded.withColumns(
-        {"has_file": F.col("_source_file").contains("customer-csv"), "has_time": F.col("_ingest_timestamp").isNotNull()}
-    ).drop("_source_file", "_ingest_timestamp")
+    customers = table(spark, folder, "customer")
+    odd = F.col("c_custkey") % 10 == 3
+    written = customers.withColumn("c_nationkey", F.when(odd, "1x").otherwise(F.col("c_nationkey").cast("string")))
+    written.select(*reversed(customers.columns), F.lit("s").alias("surplus")).write.option("header", "true").csv(path)
+    loaded = with_ingest_metadata(read_csv(spark, path, _CUSTOMER, bad_records="keep"))
+    stored = op.materialize(loaded, "customers")
+    return stored.select(
+        *customers.columns, F.col("_bad_record").isNotNull().alias("is_bad"),
+        F.lit(bad_records(stored).count()).alias("bad_rows"),
+        F.col("_source_file").contains("customer-csv").alias("has_file"), F.col("_ingest_timestamp").isNotNull().alias("has_time"),
+    )
 
 
-@query("SELECT * REPLACE (CAST(o_orderdate AS date) AS o_orderdate) FROM orders")
+@query(
+    """SELECT * REPLACE (CAST(o_orderdate AS date) AS o_orderdate,
+      CASE WHEN o_orderkey % 7 <> 3 THEN o_totalprice END AS o_totalprice), o_orderkey % 7 = 3 AS is_bad FROM orders"""
+)
 def stream_ingest(spark, folder):
-    """Orders through CSV files and two runs of the incremental load: each file counts once."""
+    """Orders through CSV files in another column order and two runs of the incremental load: each file counts once.
+
+    Rows with a malformed price are kept with their line.
+    """
     files, target, memory = (op.scratch_path(spark, f"orders-{part}") for part in ("csv", "table", "checkpoint"))
     orders = table(spark, folder, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
     early = F.col("o_orderdate") < dt.date(1998, 1, 1)
+    price = F.when(F.col("o_orderkey") % 7 == 3, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    shown = orders.withColumn("o_totalprice", price).select(*reversed(orders.columns))
     for delivery in (early, ~early):
-        orders.where(delivery).write.mode("append").option("header", "true").csv(files)
+        shown.where(delivery).write.mode("append").option("header", "true").csv(files)
         ingest_new_files(stream_csv(spark, files, _ORDERS, "*.csv"), memory, path=target)
-    return spark.read.parquet(target).drop("_ingest_timestamp", "_source_file")
+    loaded = spark.read.parquet(target)
+    return loaded.select(*orders.columns, F.col("_bad_record").isNotNull().alias("is_bad"))
 
 
-@query("SELECT * FROM orders")
+@query(
+    """SELECT * REPLACE (CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority),
+    TRUE AS fewer_files FROM orders"""
+)
 def compacted(spark, folder):
-    """Orders in many small files, rewritten as few large ones."""
+    """Orders in partition folders of many small files of two schemas, rewritten as few large ones."""
     small, large = op.scratch_path(spark, "small"), op.scratch_path(spark, "large")
-    table(spark, folder, "orders").repartition(64).write.parquet(small)
+    orders = table(spark, folder, "orders")
+    for rows in (orders.where("o_orderkey % 2 = 0").drop("o_orderpriority"), orders.where("o_orderkey % 2 = 1")):
+        rows.repartition(16).write.mode("append").partitionBy("o_orderstatus").parquet(small)
     op.compact(spark, small, large)
-    return spark.read.parquet(large)
+    before, after = (op.file_summary(spark, path).first()["files"] for path in (small, large))
+    return spark.read.parquet(large).select(*orders.columns, F.lit(after < before / 8).alias("fewer_files"))
+
+
+@query("SELECT c_custkey, c_name, TRUE AS narrow FROM customer")
+def clustered_text(spark, folder):
+    """Customers laid out by name, whose values share a long beginning: no two files overlap."""
+    path = op.scratch_path(spark, "clustered-names")
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name")
+    op.cluster(customers, ["c_name"]).write.option("maxRecordsPerFile", max(1, customers.count() // 8)).parquet(path)
+    stored = spark.read.parquet(path)
+    ranges = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("c_name").alias("low"), F.max("c_name").alias("high"))
+    other = ranges.toDF("other", "other_low", "other_high")
+    met = (F.col("file") < F.col("other")) & (F.col("low") < F.col("other_high")) & (F.col("other_low") < F.col("high"))
+    narrow = ranges.count() >= 8 and ranges.join(other, met).isEmpty()  # a row per file
+    return stored.withColumn("narrow", F.lit(narrow))
 
 
 @query("SELECT * FROM orders")
