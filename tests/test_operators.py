@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tierhouse import operators as op
+from tierhouse.sources import plan_text
 from tierhouse.operators import numbering
 
 DAY = dt.date(2024, 6, 1)
@@ -296,8 +297,21 @@ def test_snapshot_diff(spark, rows):
     assert rows(op.snapshot_diff(old, new, ["k"])) == [
         ("delete", 3, None), ("insert", 4, "d"), ("update_postimage", 2, "c"), ("update_preimage", 2, "b"),
     ]
-    with pytest.raises(op.RuleViolation):
-        op.snapshot_diff(old.union(old), new, ["k"])
+    for sides in ((old.union(old), new), (old, new.union(new))):
+        with pytest.raises(Exception, match="unique"):
+            op.snapshot_diff(*sides, ["k"]).collect()
+
+
+def test_snapshot_diff_of_other_columns(spark, rows):
+    old = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "k INT, v STRING, gone INT")
+    new = spark.createDataFrame([("a", 1, "x"), ("c", 3, None)], "v STRING, k INT, added STRING")
+    assert rows(op.snapshot_diff(old, new, ["k"]), "change_type", "k", "v", "gone", "added") == [
+        ("delete", 2, "b", 6, None), ("insert", 3, "c", None, None),
+        ("update_postimage", 1, "a", None, "x"), ("update_preimage", 1, "a", 5, None),
+    ]
+    same = op.snapshot_diff(old.drop("gone"), old.drop("gone").select("v", "k"), ["k"])
+    assert same.isEmpty()
+    assert plan_text(op.snapshot_diff(old, new, ["k"]), "simple").count("Exchange") == 1
 
 
 # --- star ----------------------------------------------------------------------------------

@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,10 +173,16 @@ def test_snapshots(spark, folder, rows):
     assert op.restore(spark, path, 1, dt.datetime(2024, 1, 4)) == 3
     assert op.read_version(spark, path).count() == 8
     assert [tuple(r) for r in op.history(spark, path).collect()] == [
-        (3, dt.datetime(2024, 1, 4), 8), (2, T2, 0), (1, T1, 8), (0, T0, 5),
+        (3, dt.datetime(2024, 1, 4), "RESTORE", 8), (2, T2, "WRITE", 0), (1, T1, "WRITE", 8), (0, T0, "WRITE", 5),
     ]
+    with pytest.raises(ValueError, match="not before"):
+        op.append_snapshot(spark.range(1), path, dt.datetime(2024, 1, 3))
+    with pytest.raises(LookupError):
+        op.read_version(spark, path, 9)
+    assert not (pathlib.Path(path) / "_version=3").exists()  # a restore copies nothing
     assert rows(op.expired_versions(spark, path, "2024-01-10 00:00:00"), "_version") == [(0,)]
-    assert rows(op.expired_versions(spark, path, "2024-01-10 00:00:00", 24), "_version") == [(0,), (1,), (2,)]
+    # Version 3 holds on to the files of version 1.
+    assert rows(op.expired_versions(spark, path, "2024-01-10 00:00:00", 24), "_version") == [(0,), (2,)]
     assert op.expired_versions(spark, path, "2024-01-04 00:00:00").isEmpty()
     assert op.read_version(spark, path, 0).count() == 5
 

@@ -139,21 +139,33 @@ def delete_where(df: DataFrame, condition: str | Column) -> DataFrame:
     return df.where(~F.coalesce(condition, F.lit(False)))
 
 
-def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], check: bool = True) -> DataFrame:
+def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Row-level changes from ``old`` to ``new`` with a ``change_type`` column.
 
-    insert and delete give one row; a change gives update_preimage and update_postimage. ``keys``
-    must identify the rows of both sides.
+    insert and delete give one row; a change gives update_preimage and update_postimage. Columns that only one side
+    has are NULL on the other. ``keys`` must identify the rows of both sides: running the result raises if they do not.
+    Both sides are shuffled once, by key.
     """
-    if check:
-        require_unique(old, keys)
-        require_unique(new, keys)
-    columns = old.columns
-    before = old.select(F.struct(*columns).alias("o"), *[F.col(k).alias(f"__o{i}") for i, k in enumerate(keys)])
-    after = new.select(F.struct(*columns).alias("n"), *[F.col(k).alias(f"__n{i}") for i, k in enumerate(keys)])
-    match = functools.reduce(
-        Column.__and__, [F.col(f"__o{i}").eqNullSafe(F.col(f"__n{i}")) for i in range(len(keys))]
-    )
+    columns = [*old.columns, *(c for c in new.columns if c not in old.columns)]
+    types = {f.name: f.dataType for f in [*new.schema.fields, *old.schema.fields]}
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        whole = [
+            (F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns
+        ]
+        return df.select(
+            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.lit(name).alias("__side"),
+            F.struct(*whole).alias("__row"),
+        )
+
+    def row_of(name: str) -> Column:
+        mine = F.col("__side") == name
+        found = F.any_value(F.when(mine, F.col("__row")), ignoreNulls=True)
+        twice = F.raise_error(F.lit(f"unique({', '.join(keys)}) violated")).cast("boolean")
+        return F.when(F.count_if(mine) > 1, twice).alias(f"{name}_check"), found.alias(name)
+
+    both = side(old, "o").unionByName(side(new, "n"))
+    keyed = both.groupBy(*[f"__k{i}" for i in range(len(keys))]).agg(*row_of("o"), *row_of("n"))
 
     def change(kind: str, row: str) -> Column:
         return F.struct(F.lit(kind).alias("change_type"), F.col(row).alias("row"))
@@ -166,4 +178,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], check: bo
             F.array(change("update_preimage", "o"), change("update_postimage", "n")),
         )
     )
-    return before.join(after, match, "full_outer").select(F.explode(kinds).alias("c")).select("c.change_type", "c.row.*")
+    unchecked = F.coalesce("o_check", "n_check", F.lit(False))
+    return (
+        keyed.where(~unchecked).select(F.explode(kinds).alias("c")).select("c.change_type", "c.row.*")
+    )

@@ -1,23 +1,22 @@
-"""Versioned tables: every version is a full snapshot in its own folder below one path.
+"""Versioned tables: every version is a full snapshot in its own folder, listed in a small log.
 
-The folders are ordinary partitions (``_version=3/_committed_at=20260507T000000000000``), so version
-numbers and commit times come from the file listing and a read touches the files of one version.
-An empty table is a version like any other. One writer at a time is assumed: there is no commit
-protocol beyond the one of the file writer.
+The log (``_log`` below the table's path) has one row per commit: version number, commit time, operation, the version
+whose files hold the rows, and their number. Finding a version reads the log alone, and restoring one adds a row that
+points to the old files. An empty table is a version like any other. One writer at a time is assumed: there is no
+commit protocol beyond the one of the file writer.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .staging import folder_exists
-
-VERSION, COMMITTED = "_version", "_committed_at"
-# How commit times are written into folder names, in Python and in Spark notation.
-_STAMP, _STAMP_SPARK = "%Y%m%dT%H%M%S%f", "yyyyMMdd'T'HHmmssSSSSSS"
+VERSION, COMMITTED, OPERATION = "_version", "_committed_at", "_operation"
+_STORED, _ROWS = "_stored_in", "row_count"
+_LOG = f"{VERSION} BIGINT, {COMMITTED} TIMESTAMP_NTZ, {OPERATION} STRING, {_STORED} BIGINT, {_ROWS} BIGINT"
 # Fixed value: default number of hours a replaced version is kept.
 RETENTION_HOURS = 168
 
@@ -26,40 +25,75 @@ def _moment(value: dt.datetime | str) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
-def _typed(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            VERSION: F.col(VERSION).cast("bigint"),
-            COMMITTED: F.to_timestamp_ntz(F.col(COMMITTED), F.lit(_STAMP_SPARK)),
-        }
-    )
+def _log(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(_LOG).parquet(f"{path}/_log")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _files(path: str, version: int) -> str:
+    return f"{path}/{VERSION}={version}"
+
+
+def _last(spark: SparkSession, path: str):
+    known = _log(spark, path)
+    return known.orderBy(F.desc(VERSION)).first() if known is not None else None
+
+
+def _commit(spark: SparkSession, path: str, lines: DataFrame) -> None:
+    lines.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in _LOG.split(", ")]).coalesce(1).write.mode(
+        "append"
+    ).parquet(f"{path}/_log")
+
+
+def _entry(
+    spark: SparkSession, path: str, committed_at: dt.datetime, operation: str, stored: int | None = None,
+    df: DataFrame | None = None,
+) -> int:
+    last = _last(spark, path)
+    if last and committed_at <= last[COMMITTED]:
+        raise ValueError(f"version {last[VERSION]} was committed at {last[COMMITTED]}, not before {committed_at}")
+    version = last[VERSION] + 1 if last else 0
+    if df is not None:
+        df.write.parquet(_files(path, version))
+        stored = version
+    rows = spark.read.parquet(_files(path, stored)).count()  # from file footers
+    _commit(spark, path, spark.createDataFrame([(version, committed_at, operation, stored, rows)], _LOG))
+    return version
 
 
 def versions(spark: SparkSession, path: str) -> DataFrame:
-    """Version numbers and commit times, from the file listing alone."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    return _typed(files.select(VERSION, COMMITTED).distinct())
+    """Version numbers and commit times."""
+    return spark.read.schema(_LOG).parquet(f"{path}/_log").select(VERSION, COMMITTED)
 
 
 def latest_number(spark: SparkSession, path: str) -> int | None:
     """Number of the newest version, or None if there is none yet."""
-    if not folder_exists(spark, path):
-        return None
-    return versions(spark, path).agg(F.max(VERSION)).first()[0]
+    last = _last(spark, path)
+    return last[VERSION] if last else None
 
 
-def append_snapshot(df: DataFrame, path: str, committed_at: dt.datetime) -> int:
-    """Write ``df`` as the next version and return its number (0 for the first)."""
-    last = latest_number(df.sparkSession, path)
-    version = 0 if last is None else last + 1
-    df.write.parquet(f"{path}/{VERSION}={version}/{COMMITTED}={committed_at.strftime(_STAMP)}")
-    return version
+def append_snapshot(df: DataFrame, path: str, committed_at: dt.datetime, operation: str = "WRITE") -> int:
+    """Write ``df`` as the next version and return its number (0 for the first).
+
+    A commit time that is not later than that of the newest version is refused.
+    """
+    return _entry(df.sparkSession, path, committed_at, operation, df=df)
 
 
-def append_snapshots(df: DataFrame, path: str) -> None:
-    """Write rows that already carry their version number and commit time."""
-    stamped = df.withColumn(COMMITTED, F.date_format(COMMITTED, _STAMP_SPARK))
-    stamped.write.partitionBy(VERSION, COMMITTED).mode("append").parquet(path)
+def append_snapshots(df: DataFrame, path: str, operation: str = "WRITE") -> None:
+    """Write rows that carry their version number and commit time as versions of a new table."""
+    spark = df.sparkSession
+    if _log(spark, path) is not None:
+        raise ValueError(f"{path} already has versions")
+    df.write.partitionBy(VERSION).parquet(path)
+    found = spark.read.parquet(path).groupBy(VERSION).agg(
+        F.min(COMMITTED).alias(COMMITTED), F.count("*").alias(_ROWS)
+    )
+    _commit(spark, path, found.withColumns({OPERATION: F.lit(operation), _STORED: F.col(VERSION)}))
 
 
 def version_as_of(spark: SparkSession, path: str, moment: dt.datetime | str) -> int:
@@ -73,9 +107,12 @@ def version_as_of(spark: SparkSession, path: str, moment: dt.datetime | str) ->
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One version of the table, the newest unless a number is given."""
-    if version is None:
-        version = latest_number(spark, path)
-    return spark.read.parquet(f"{path}/{VERSION}={version}").drop(COMMITTED)
+    known = spark.read.schema(_LOG).parquet(f"{path}/_log")
+    chosen = known if version is None else known.where(F.col(VERSION) == version)
+    entry = chosen.orderBy(F.desc(VERSION)).first()
+    if entry is None:
+        raise LookupError(f"no version {version}")
+    return spark.read.parquet(_files(path, entry[_STORED])).drop(COMMITTED)
 
 
 def read_as_of(spark: SparkSession, path: str, moment: dt.datetime | str) -> DataFrame:
@@ -84,15 +121,17 @@ def read_as_of(spark: SparkSession, path: str, moment: dt.datetime | str) -> Dat
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
-    """Versions with commit time and row count, newest first."""
-    rows = _typed(spark.read.parquet(path).groupBy(VERSION, COMMITTED).agg(F.count("*").alias("row_count")))
-    known = versions(spark, path).join(rows, [VERSION, COMMITTED], "left")
-    return known.fillna(0, ["row_count"]).orderBy(F.desc(VERSION))
+    """Versions with commit time, operation and row count, newest first."""
+    known = spark.read.schema(_LOG).parquet(f"{path}/_log")
+    return known.select(VERSION, COMMITTED, OPERATION, _ROWS).orderBy(F.desc(VERSION))
 
 
 def restore(spark: SparkSession, path: str, version: int, committed_at: dt.datetime) -> int:
-    """Make an old version the current one by adding it as a new version."""
-    return append_snapshot(read_version(spark, path, version), path, committed_at)
+    """Make an old version the current one: a new version that points to the old files."""
+    known = spark.read.schema(_LOG).parquet(f"{path}/_log").where(F.col(VERSION) == version).first()
+    if known is None:
+        raise LookupError(f"no version {version}")
+    return _entry(spark, path, committed_at, "RESTORE", stored=known[_STORED])
 
 
 def expired_versions(
@@ -100,10 +139,16 @@ def expired_versions(
 ) -> DataFrame:
     """Versions a clean-up would remove; lists them and deletes nothing.
 
-    A version expires when it was replaced more than ``retention_hours`` ago; the newest never does.
+    A version expires when it was replaced more than ``retention_hours`` ago; the newest never does, nor does one whose
+    files a version that stays points to.
     """
     cutoff = _moment(now) - F.expr(f"INTERVAL '{int(retention_hours)}' HOUR")
     # One row per version: small whatever the size of the table.
     by_number = Window.orderBy(VERSION)
-    replaced = versions(spark, path).withColumn("replaced_at", F.lead(COMMITTED).over(by_number))
-    return replaced.where(F.col("replaced_at") < cutoff)
+    known = spark.read.schema(_LOG).parquet(f"{path}/_log")
+    marked = known.withColumn("replaced_at", F.lead(COMMITTED).over(by_number)).withColumn(
+        "old", F.coalesce(F.col("replaced_at") < cutoff, F.lit(False))
+    )
+    needed = marked.where(~F.col("old")).select(F.col(_STORED).alias("needed")).distinct()
+    gone = marked.where("old").join(needed, F.col(VERSION) == F.col("needed"), "left_anti")
+    return gone.select(VERSION, COMMITTED, "replaced_at")

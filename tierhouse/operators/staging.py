@@ -50,11 +50,6 @@ def _has_map(kind: T.DataType) -> bool:
     return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
-
-
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write the rows once and read them back: cuts lineage and survives lost executors.
 

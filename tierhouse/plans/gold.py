@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import prefer
-from ..operators.numbering import surrogate_key
+from ..operators.merging import scd2_merge
+from ..operators.numbering import fill_keys, surrogate_key
 from ..operators.staging import materialize
 from ..operators.star import conform, with_dimension_keys
 from ..operators.versions import current_rows, latest_version
@@ -68,6 +72,19 @@ def dim_products(
     return surrogate_key(materialize(shaped), ["start_date", "product_number", "product_id"], "product_key")
 
 
+def product_history(
+    dimension: DataFrame, products: DataFrame, effective: dt.date, keys: Sequence[str] = ("product_number",),
+    tracked: Sequence[str] = ("product_name", "product_cost", "product_line"), number: str = "product_key",
+) -> DataFrame:
+    """The versioned product dimension after a batch that takes effect on one day.
+
+    Changed products get a new version, which is numbered after the highest number in use, so that facts can look it
+    up; earlier versions keep their numbers.
+    """
+    merged = materialize(scd2_merge(dimension, products, keys, tracked, effective), "versions")
+    return fill_keys(merged, number, [*keys])
+
+
 def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Sales lines with surrogate keys; a line without a matching dimension row keeps NULL.
 

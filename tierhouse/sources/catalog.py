@@ -6,7 +6,7 @@ import contextlib
 import io
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.layout import file_summary, sized_for_write
@@ -113,7 +113,7 @@ def register_view(df: DataFrame, name: str, everywhere: bool = False) -> None:
     df.createOrReplaceGlobalTempView(name) if everywhere else df.createOrReplaceTempView(name)
 
 
-def preview(df: DataFrame, rows: int = 10, order: Sequence[str] = ()) -> DataFrame:
+def preview(df: DataFrame, rows: int = 10, order: Sequence[str | Column] = ()) -> DataFrame:
     """A few rows; with ``order`` always the same ones."""
     return (df.orderBy(*order) if order else df).limit(rows)
 

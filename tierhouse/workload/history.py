@@ -8,29 +8,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
+from ..plans import gold
 from .registry import query, table
 
 _DAY = dt.date(2024, 6, 1)
 
 
 @query(
-    """SELECT event_id, ts, user_id, event_type, value FROM events
+    """SELECT * FROM events
   QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1"""
 )
 def latest_version(spark, folder):
-    events = table(spark, folder, "events").drop("props")
+    events = table(spark, folder, "events")
     return op.latest_version(events, ["user_id", "event_type"], ["ts", "event_id"])
 
 
 def _event_versions(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select(
-        "event_id", "user_id", "event_type", "value", F.col("ts").alias("start_ts")
+        "event_id", "user_id", "event_type", "value", "props", F.col("ts").alias("start_ts")
     )
     return op.version_ranges(events, ["user_id"], "start_ts", ["event_id"], end="end_ts")
 
 
 _EVENT_VERSIONS = """WITH versions AS (
-    SELECT event_id, user_id, event_type, value, ts AS start_ts,
+    SELECT event_id, user_id, event_type, value, props, ts AS start_ts,
       lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS end_ts,
       lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS is_current
     FROM events) """
@@ -138,6 +139,42 @@ def scd2_merge(spark, folder):
     return op.scd2_merge(target, source, ["p_partkey"], ["p_name", "cost"], _DAY)
 
 
+_VERSIONED = _PARTS + """, changed AS (
+    SELECT s.*, row_number() OVER (ORDER BY s.p_partkey) + (SELECT count(*) FROM target) AS product_sk
+    FROM source s LEFT JOIN target t ON s.p_partkey = t.p_partkey AND t.is_current
+    WHERE t.p_partkey IS NULL OR (t.start_date < DATE '2024-06-01'
+      AND (t.p_name IS DISTINCT FROM s.p_name OR t.cost IS DISTINCT FROM s.cost)))
+  SELECT row_number() OVER (ORDER BY t.p_partkey) AS product_sk, t.p_partkey,
+    CASE WHEN s.p_partkey IS NOT NULL AND t.start_date = DATE '2024-06-01' THEN s.p_name ELSE t.p_name END AS p_name,
+    CASE WHEN s.p_partkey IS NOT NULL AND t.start_date = DATE '2024-06-01' THEN s.cost ELSE t.cost END AS cost,
+    t.p_size, t.start_date,
+    CASE WHEN c.p_partkey IS NOT NULL THEN DATE '2024-05-31' ELSE t.end_date END AS end_date,
+    t.is_current AND c.p_partkey IS NULL AS is_current
+  FROM target t LEFT JOIN source s ON t.p_partkey = s.p_partkey AND t.is_current
+    LEFT JOIN changed c ON t.p_partkey = c.p_partkey AND t.is_current
+  UNION ALL SELECT product_sk, p_partkey, p_name, cost, p_size, DATE '2024-06-01', NULL, TRUE FROM changed"""
+
+
+@query(_VERSIONED)
+def scd2_refresh(spark, folder):
+    """A versioned product dimension after a batch, new versions numbered after the known ones."""
+    target, source = _parts(spark, folder)
+    known = op.surrogate_key(target, ["p_partkey"], "product_sk")
+    return gold.product_history(known, source, _DAY, ["p_partkey"], ["p_name", "cost"], "product_sk")
+
+
+@query(
+    _PARTS
+    + """SELECT p_partkey, count(*) AS current_versions FROM (
+    SELECT p_partkey FROM target WHERE is_current UNION ALL SELECT p_partkey FROM source) GROUP BY 1 HAVING count(*) > 1"""
+)
+def dimension_conflicts(spark, folder):
+    """Products with two current versions, after a batch was appended instead of merged."""
+    target, source = _parts(spark, folder)
+    appended = target.unionByName(source.withColumn("is_current", F.lit(True)), allowMissingColumns=True)
+    return op.versions_in_conflict(appended, ["p_partkey"])
+
+
 @query(
     """SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_size END AS size FROM part
   WHERE p_partkey % 3 = 0 OR NOT p_size > 25"""
@@ -153,18 +190,16 @@ def delete_where(spark, folder):
 @query(
     _PARTS
     + """, before AS (SELECT p_partkey, p_name, cost FROM target),
-  after AS (SELECT p_partkey, p_name, cost FROM source)
-  SELECT 'delete' AS change_type, * FROM before WHERE p_partkey NOT IN (SELECT p_partkey FROM after)
+  after AS (SELECT p_partkey, p_name, cost, p_size FROM source)
+  SELECT 'delete' AS change_type, *, NULL AS p_size FROM before WHERE p_partkey NOT IN (SELECT p_partkey FROM after)
   UNION ALL SELECT 'insert', * FROM after WHERE p_partkey NOT IN (SELECT p_partkey FROM before)
-  UNION ALL SELECT 'update_preimage', b.* FROM before b JOIN after a ON a.p_partkey = b.p_partkey
-    WHERE a.p_name IS DISTINCT FROM b.p_name OR a.cost IS DISTINCT FROM b.cost
-  UNION ALL SELECT 'update_postimage', a.* FROM before b JOIN after a ON a.p_partkey = b.p_partkey
-    WHERE a.p_name IS DISTINCT FROM b.p_name OR a.cost IS DISTINCT FROM b.cost"""
+  UNION ALL SELECT 'update_preimage', b.*, NULL FROM before b JOIN after a ON a.p_partkey = b.p_partkey
+  UNION ALL SELECT 'update_postimage', a.* FROM before b JOIN after a ON a.p_partkey = b.p_partkey"""
 )
 def snapshot_diff(spark, folder):
-    columns = ["p_partkey", "p_name", "cost"]
+    """Changes between two states, the later of which has a column more."""
     target, source = _parts(spark, folder)
-    return op.snapshot_diff(target.select(columns), source.select(columns), ["p_partkey"])
+    return op.snapshot_diff(target.select("p_partkey", "p_name", "cost"), source, ["p_partkey"])
 
 
 def _order_versions(spark: SparkSession, folder: str) -> str:
@@ -195,7 +230,8 @@ def read_as_of(spark, folder):
 
 @query(
     _ORDER_VERSIONS
-    + "SELECT _version, _committed_at, count(*) AS row_count FROM versions GROUP BY ALL ORDER BY _version DESC"
+    + """SELECT _version, _committed_at, 'WRITE' AS _operation, count(*) AS row_count FROM versions GROUP BY ALL
+    ORDER BY _version DESC"""
 )
 def snapshot_history(spark, folder):
     return op.history(spark, _order_versions(spark, folder))

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+import uuid
 
 from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions import interleave_bits
-from ..sources import bad_records, read_csv, with_ingest_metadata
+from ..plans import warehouse
+from ..sources import (SOURCES, bad_records, describe, detail, drop_table, field_types, get_properties, plan_text,
+                       preview, read_csv, read_table, unset_properties, with_ingest_metadata, write_table)
 from ..streaming import ingest_new_files, stream_csv
+from .bronze import bronze, with_layers
 from .registry import query, table
 
 _CUSTOMER = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
@@ -133,3 +138,74 @@ def snapshot_roundtrip(spark, folder):
     op.append_snapshot(op.delete_where(op.read_version(spark, path), "c_custkey >= 0"), path, dt.datetime(2024, 1, 2))
     op.append_snapshot(op.delete_where(op.read_version(spark, path, 0), "c_acctbal < 0"), path, dt.datetime(2024, 1, 3))
     return op.read_version(spark, path)
+
+
+@query(with_layers("SELECT * FROM gold_sales"))
+def full_refresh(spark, folder):
+    """The fact table after all sources were ingested from CSV files and the three layers rebuilt."""
+    files, prefix = op.scratch_path(spark, "sources"), f"r{uuid.uuid4().hex}_"
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "header": "true"}
+    for known in SOURCES:
+        rows = bronze(spark, folder, known.table)
+        rows.write.options(**spaces).csv(f"{files}/{known.system}/{known.file}")
+    warehouse.refresh(spark, {system: f"{files}/{system}" for system in ("crm", "erp")}, prefix)
+    return read_table(spark, f"{prefix}gold.fact_sales")
+
+
+@query(
+    """SELECT c_custkey, c_name, 'EXTERNAL' AS kind, 'parquet' AS format, 'customers' AS topic, TRUE AS topic_unset,
+    TRUE AS described, TRUE AS counted, TRUE AS dropped FROM customer"""
+)
+def table_metadata(spark, folder):
+    """Customers as an external table: its properties, description, detail, and the files after it is dropped."""
+    name, path = f"meta_{uuid.uuid4().hex}", op.scratch_path(spark, "external")
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name")
+    write_table(customers, name, path=path, comment="All customers", properties={"topic": "customers"})
+    topic = get_properties(spark, name)["topic"]
+    unset_properties(spark, name, ["topic"])
+    facts = detail(spark, name).first()
+    lines = {r["col_name"]: r["data_type"] for r in describe(spark, name).collect()}
+    described = field_types(read_table(spark, name)) == field_types(customers) and lines["Comment"] == "All customers"
+    topic_unset = "topic" not in get_properties(spark, name)
+    drop_table(spark, name)
+    return spark.read.parquet(path).withColumns(
+        {
+            "kind": F.lit(facts["type"]), "format": F.lit(facts["format"]), "topic": F.lit(topic),
+            "topic_unset": F.lit(topic_unset), "described": F.lit(described),
+            "counted": F.lit(facts["num_files"] > 0 and facts["size_in_bytes"] > 0),
+            "dropped": F.lit(not spark.catalog.tableExists(name)),
+        }
+    )
+
+
+@query("SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
+def ordered_preview(spark, folder):
+    """The first rows in an order: the limit is the feature."""
+    return preview(table(spark, folder, "orders"), 10, [F.desc("o_totalprice"), "o_orderkey"])
+
+
+@query("SELECT l_orderkey, l_linenumber, TRUE AS pushed, TRUE AS pruned FROM lineitem WHERE l_quantity > 40")
+def plan_facts(spark, folder):
+    """A filtered projection, and whether its plan hands filter and columns to the scan."""
+    rows = table(spark, folder, "lineitem").where("l_quantity > 40").select("l_orderkey", "l_linenumber")
+    text = plan_text(rows, "formatted")
+    pushed = re.search(r"PushedFilters: \[.*GreaterThan\(l_quantity", text) is not None
+    scan = re.search(r"ReadSchema: struct<(.*)>", text)[1]
+    return rows.withColumns({"pushed": F.lit(pushed), "pruned": F.lit(scan.count(":") == 3)})
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, (SELECT count(*) FROM lineitem WHERE l_quantity > 45) AS violations,
+    TRUE AS stopped FROM lineitem"""
+)
+def fail_rule(spark, folder):
+    """Line items under a fail rule that does not hold: how many rows violate it, and that it stops the run."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    rule = op.expect_or_fail("few_pieces", "l_quantity <= 45")
+    found = op.rule_report(lines, [rule]).first()["violations"]
+    try:
+        op.enforce(lines, [rule])
+        stopped = False
+    except op.RuleViolation as violation:
+        stopped = violation.counts == {"few_pieces": found}
+    return lines.select("l_orderkey", "l_linenumber", F.lit(found).alias("violations"), F.lit(stopped).alias("stopped"))
