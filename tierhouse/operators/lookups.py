@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .staging import materialize
+
 # A key with more rows than this is split into parts of about this size.
 HOT_ROWS = 2_000_000
 # Keys that the frequency sketch reports, and keys it tracks while it runs: with these every key
@@ -50,16 +52,27 @@ def _looks_small(df: DataFrame, limit: int) -> bool:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())) <= limit
 
 
+def _steps(df: DataFrame) -> set[str]:
+    """Names of the operations that the optimized plan of ``df`` consists of."""
+    return set(re.findall(r"^[\s:+-]*(\w+)", df._jdf.queryExecution().optimizedPlan().toString(), re.MULTILINE))
+
+
+def is_computed(df: DataFrame) -> bool:
+    """Whether evaluating ``df`` takes more than reading, filtering and projecting one input."""
+    return bool(_steps(df) & {"Join", "Aggregate", "Window", "Generate", "Sort", "Distinct", "Union", "Deduplicate",
+                              "RepartitionByExpression", "Repartition", "Expand", "MapInArrow", "MapInPandas"})
+
+
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """Measure whether all rows of ``df`` fit into ``limit`` bytes.
 
-    An input that may be large is first searched for more rows than could ever fit, which stops at
-    its first partitions. Only an input with few rows, or from small files, is summed up.
+    An input of large files that is read as it is does not, by their sizes. Anything else is summed up on the
+    executors in one pass.
     """
     limit = broadcast_limit(df.sparkSession) if limit is None else limit
     if limit <= 0 or any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in df.schema.fields):
         return False
-    if not _looks_small(df, limit) and df.select(F.lit(1)).offset(limit // 16).head(1):
+    if not _looks_small(df, limit) and not is_computed(df) and not _steps(df) & {"Filter", "GlobalLimit", "Sample"}:
         return False
     return (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= limit
 
@@ -132,7 +145,9 @@ class _Side:
             *[k.alias(n) for k, n in zip(right_keys, self.names)], *[F.col(c).alias(n) for c, n in take.items()]
         )
         rows = not_null(rows, self.names)
-        self.rows = rows.distinct() if how in ("left_semi", "left_anti") else rows
+        limit = broadcast_limit(left.sparkSession) if limit is None else limit
+        # Joins and aggregates are not run twice, for measuring and for the join.
+        self.rows = materialize(rows, "looked-up") if limit > 0 and is_computed(rows) else rows
         self.small = fits_broadcast(self.rows, limit)
 
     def match(self) -> Column:
@@ -176,8 +191,9 @@ def lookup_all(
 ) -> DataFrame:
     """Several lookups into one frame; each step is (right, on, take) or (right, on, take, how).
 
-    All keys are columns of ``left``, so frequent keys of all steps are found in one pass over it
-    (and in none if every looked-up side can be broadcast). Rows of a frequent key are spread by
+    All keys are columns of ``left``, so frequent keys of all steps are found in one pass over its key
+    columns (and in none if every looked-up side can be broadcast). A ``left`` that is itself joined or
+    aggregated is then written first, as it would otherwise run twice. Rows of a frequent key are spread by
     their input partition, the keys of all steps and the ``spread_by`` columns; further columns
     would have to be read for nothing where the result does not use them.
     """
@@ -187,6 +203,8 @@ def lookup_all(
     if clash:
         raise ValueError(f"columns would occur twice: {sorted(clash)}")
     large = [side for side in sides if not side.small]
+    if large and is_computed(left):
+        left = materialize(left, "left")  # the sketch then reads the key columns alone
     found = iter(frequent(left, [side.hash() for side in large], min_rows) if large else [])
     columns = [k for side in sides for k in side.left_keys] + [F.col(c) for c in spread_by]
     for side in sides:
