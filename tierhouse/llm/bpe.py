@@ -27,7 +27,7 @@ from pyspark.sql import Column, SparkSession
 from .common import small_batches
 
 # Words, and arcs, that a worker remembers; beyond that it forgets them all and starts again.
-REMEMBERED = 120_000
+REMEMBERED = 250_000
 START = -1
 
 
@@ -62,7 +62,8 @@ class MergeAutomaton:
         self.born = array("i", [-1]) * tokens
         self.cut: dict[int, int] = {}
         self.final = final
-        self.table: dict[int, bool] = {}
+        self.table: dict[int, dict[int, bool]] = {}
+        self.stored = 0
         for rank, (a, b, ab) in enumerate(merges):
             self._gadget(rank, a, b, ab)
 
@@ -87,17 +88,21 @@ class MergeAutomaton:
             else:
                 state, time = self.right[state], self.born[state]
 
-    def follows(self, state: int, label: int) -> bool:
-        if state == START:
-            return True
-        key = state << 32 | label
-        known = self.table.get(key)
+    def row(self, state: int) -> dict[int, bool]:
+        """The part of the table of one state that is known by now."""
+        known = self.table.get(state)
         if known is None:
-            if len(self.table) >= REMEMBERED:
-                self.table.clear()
-            known = self.table[key] = self._has_arc(state, label, len(self.born))
+            known = self.table[state] = {}
         return known
 
+    def follows(self, state: int, label: int) -> bool:
+        if self.stored > REMEMBERED:
+            self.table.clear()
+            self.stored = 0
+        self.stored += 1
+        found = self.row(state)[label] = state == START or self._has_arc(state, label, len(self.born))
+        return found
+
 
 class Tokenizer(dict):
     """Encodes pre-split words; as a mapping it holds the packed ids of the words seen."""
@@ -106,43 +111,61 @@ class Tokenizer(dict):
         super().__init__()
         read = json.loads(spec)
         model, suffix = read["model"], read["model"]["end_of_word_suffix"]
-        self.inner: dict[bytes, int] = {}
-        self.last: dict[bytes, int] = {}
+        # Spellings of tokens as a tree: next nodes by byte, and the token within and at the end of a word by node.
+        self.nexts: list[dict[int, int]] = [{}]
+        self.inner, self.last = [-1], [-1]
         letters = byte_letters()
         for token, number in model["vocab"].items():
             ends = token.endswith(suffix)
-            spelled = bytes(letters[c] for c in (token.removesuffix(suffix) if ends else token))
-            (self.last if ends else self.inner)[spelled] = number
-        self.begun = {spelled[:n]: -1 for spelled in self.inner for n in range(1, len(spelled))} | self.inner
+            node = 0
+            for letter in token.removesuffix(suffix) if ends else token:
+                node = self._next(node, letters[letter])
+            (self.last if ends else self.inner)[node] = number
         vocab = model["vocab"]
         merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in model["merges"]]
-        self.automaton = MergeAutomaton(max(vocab.values()) + 1, merges, set(self.last.values()))
-        self.longest = max(map(len, [*self.inner, *self.last]))
+        self.automaton = MergeAutomaton(max(vocab.values()) + 1, merges, {t for t in self.last if t >= 0})
         self.special = {t["content"]: t["id"] for t in read["added_tokens"]}
         steps = read["pre_tokenizer"]["pretokenizers"]
         self.word = regex.compile(steps[0]["pattern"]["Regex"])
         self.marker = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
 
+    def _next(self, node: int, byte: int) -> int:
+        known = self.nexts[node].get(byte)
+        if known is None:
+            known = self.nexts[node][byte] = len(self.nexts)
+            self.nexts.append({})
+            self.inner.append(-1)
+            self.last.append(-1)
+        return known
+
     def word_ids(self, word: str) -> list[int]:
         """Tokens of one word, by the automaton."""
         spelled = word.encode()
-        size, longest = len(spelled), self.longest
-        begun, arcs, follows = self.begun.get, self.automaton.table.get, self.automaton.follows
+        size = len(spelled)
+        nexts, inner, last, row, follows = self.nexts, self.inner, self.last, self.automaton.row, self.automaton.follows
+        final = size - 1
         tokens, back = [START] * (size + 1), [-1] * (size + 1)
         for begin in range(size):
-            state = tokens[begin]
-            for end in range(begin + 1, min(size, begin + longest + 1)):
-                token = begun(spelled[begin:end])
-                if token is None:
+            state, node, at = tokens[begin], 0, begin
+            arcs = row(state).get
+            while True:
+                node = nexts[node].get(spelled[at])
+                if node is None:
                     break  # no token begins like that
-                if token >= 0 and back[end] < 0:
-                    arc = arcs(state << 32 | token)
-                    if follows(state, token) if arc is None else arc:
-                        tokens[end], back[end] = token, begin
-            if back[size] < 0 and size - begin <= longest:
-                token = self.last.get(spelled[begin:])
-                if token is not None and follows(state, token):
-                    tokens[size], back[size] = token, begin
+                if at == final:
+                    token = last[node]
+                    if token >= 0 and back[size] < 0:
+                        arc = arcs(token)
+                        if follows(state, token) if arc is None else arc:
+                            tokens[size], back[size] = token, begin
+                    break
+                at += 1
+                if back[at] < 0:
+                    token = inner[node]
+                    if token >= 0:
+                        arc = arcs(token)
+                        if follows(state, token) if arc is None else arc:
+                            tokens[at], back[at] = token, begin
         found, end = [], size
         while end > 0:
             found.append(tokens[end])
