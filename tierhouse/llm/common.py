@@ -23,6 +23,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+# Documents, and rows of small tables such as links, that a task writes at least where it can.
+TASK_DOCUMENTS, TASK_ROWS = 5_000, 200_000
+
+
+def few_files(df: DataFrame, rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``df``, which has some ``rows`` rows, in no more partitions than tasks of ``task_rows`` rows make.
+
+    Small tables that are written between steps then have few files, however many partitions a shuffle has.
+    """
+    return df.coalesce(max(1, -(-rows // task_rows)))
+
+
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is computed once, also where ``body`` uses it within a lambda."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

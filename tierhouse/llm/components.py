@@ -9,6 +9,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
 from ..operators.staging import materialize
+from .common import few_files
 
 # Nodes that a task's union-find holds before it hands on what it has.
 MOST_NODES = 500_000
@@ -46,20 +47,21 @@ def _linked(edges: DataFrame, least: DataFrame) -> DataFrame:
     return edges.join(least, edges["u"] == least["node"]).select("u", "v", "least")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, count: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = materialize(
-        both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m"))
-        .select("node", F.least("node", "m").alias("least")), "large-star"
+    least = both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select(
+        "node", F.least("node", "m").alias("least")
     )
+    least = materialize(few_files(least, 2 * count), "large-star")
     return (
         _linked(both, least).filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
         .filter("u <> v").distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = materialize(edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("least")), "small-star")
+def _small_star(edges: DataFrame, count: int) -> DataFrame:
+    least = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("least"))
+    least = materialize(few_files(least, 2 * count), "small-star")
     found = _linked(edges, least)
     moved = found.select(F.explode(F.array("u", "v")).alias("u"), F.col("least").alias("v"))
     return moved.filter("u <> v").distinct()
@@ -75,10 +77,13 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has two longs ``a`` and ``b``; loops and repeated edges do no harm. Edges are stored after each round in
     the shared folder. The rounds grow with the logarithm of the number of nodes, not with the length of paths.
     """
-    stars = materialize(edges.mapInPandas(_forest, "u long, v long").distinct(), "forest")
+    given = edges.count()
+    stars = edges.mapInPandas(_forest, "u long, v long").distinct()
+    stars = materialize(few_files(stars, 2 * given), "forest")
     state = _state(stars)
     while state[0]:
-        stars = materialize(_small_star(_large_star(stars)), "stars")
+        moved = _small_star(_large_star(stars, state[0]), state[0])
+        stars = materialize(few_files(moved, 2 * state[0]), "stars")
         before, state = state, _state(stars)
         if state == before:
             break

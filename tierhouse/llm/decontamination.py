@@ -16,7 +16,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, Window
 
 from ..operators.staging import materialize
-from .common import all_equal, packed, possibly_in, shingles, small_batches, text_hash
+from .common import TASK_DOCUMENTS, all_equal, few_files, packed, possibly_in, shingles, small_batches, text_hash
 from .near_dedup import mixed
 
 WIDTH, CONTAINMENT = 5, 80
@@ -101,7 +101,8 @@ def contained_items(
         .select("item_id", F.size("items").alias("n"), "items", F.monotonically_increasing_id().alias("item")),
         "items",
     )
-    keys = materialize(_search_keys(sets, containment), "item-keys")
+    documents, listed = docs.count(), sets.count()
+    keys = materialize(few_files(_search_keys(sets, containment), listed, TASK_DOCUMENTS), "item-keys")
     texts = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("hash"), F.col(text_col).alias("text"))
     found = texts.select("id", "hash", shingles(F.col("text"), width).alias("items"))
     distinct = keys.groupBy("key").agg(F.max("small").alias("small"))
@@ -114,12 +115,13 @@ def contained_items(
     else:
         traces = found.select("id", "hash", F.explode("items").alias("key"))
     met = traces.join(keys.select(F.col("key").alias("of"), "item"), F.col("key") == F.col("of"))
-    pairs = materialize(
-        met.select(F.col("id").alias("own_id"), F.col("hash").alias("own_hash"), F.col("item").alias("own_item"))
-        .distinct(), "item-candidates",
-    )
+    pairs = met.select(
+        F.col("id").alias("own_id"), F.col("hash").alias("own_hash"), F.col("item").alias("own_item")
+    ).distinct()
+    pairs = materialize(few_files(pairs, documents, TASK_DOCUMENTS), "item-candidates")
     rows = docs.select(packed(docs), F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("hash"))
-    met_docs = materialize(pairs.select("own_id", "own_hash").distinct(), "met-documents")
+    met_docs = pairs.select("own_id", "own_hash").distinct()
+    met_docs = materialize(few_files(met_docs, documents, TASK_DOCUMENTS), "met-documents")
     full = materialize(
         possibly_in(rows, ["id", "hash"], met_docs, ["own_id", "own_hash"]).join(met_docs, all_equal([F.col("id"), F.col("hash")], [F.col("own_id"), F.col("own_hash")]))
         .select("row", "id", "hash", shingles(F.col("row").getField(text_col), width).alias("found")), "met-sets",
@@ -139,7 +141,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """The documents that hold no item; ``search`` as for ``contained_items``."""
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), text_hash(F.col(text_col)).alias("hash"))
     pairs = contained_items(own, items, id_col="id", **search)
-    hit = materialize(pairs.select(F.col("id").alias("own_id"), F.col("hash").alias("own_hash")).distinct(), "hit")
+    hit = pairs.select(F.col("id").alias("own_id"), F.col("hash").alias("own_hash")).distinct()
+    documents = docs.count()
+    hit = materialize(few_files(hit, documents, TASK_DOCUMENTS), "hit")
     rows = docs.select(packed(docs), F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("hash"))
     same = all_equal([F.col("id"), F.col("hash")], [F.col("own_id"), F.col("own_hash")])
-    return rows.join(hit, same, "left_anti").select("row.*")
+    return few_files(rows.join(hit, same, "left_anti").select("row.*"), documents, TASK_DOCUMENTS)

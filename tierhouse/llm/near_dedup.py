@@ -15,7 +15,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
 from ..operators.staging import materialize
-from .common import all_equal, packed, possibly_in, shingles, small_batches, text_hash, unpacked
+from .common import TASK_DOCUMENTS, all_equal, few_files, packed, possibly_in, shingles, small_batches, text_hash, unpacked
 from .components import components
 
 # 45 bands of 6 registers miss a pair of similarity 0.8 with probability 1e-6 at most.
@@ -136,29 +136,34 @@ class _Search:
             "id long, hash long, n long, set_a long, set_b long, bands array<long>, sketch binary",
         )
         self.signed = materialize(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+        self.documents = self.signed.count()
         # One node per set of shingles: the number of one of its rows.
-        self.classes = materialize(
+        self.classes = self._kept(
             self.signed.filter("n > 0").groupBy("set_a", "set_b", "n")
             .agg(F.min("row").alias("node"), F.min("id").alias("least_id")), "classes",
         )
         nodes = self.classes.select("node")
-        self.nodes = materialize(
+        self.nodes = self._kept(
             self.signed.join(nodes, F.col("row") == F.col("node"))
             .select("node", "id", "hash", "n", "bands", "sketch"), "nodes",
         )
 
+    def _kept(self, df: DataFrame, label: str) -> DataFrame:
+        """Stored rows, in files of which there are no more than the number of documents asks for."""
+        return materialize(few_files(df, self.documents, TASK_DOCUMENTS), label)
+
     def labels(self) -> DataFrame:
         """Components of all links between nodes: ``node, label``, without the nodes that are alone."""
         self.buckets = self.nodes.select("node", F.explode("bands").alias("band"))
-        shared = materialize(
+        shared = self._kept(
             self.buckets.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("size"))
             .filter("size > 1").select(F.col("band").alias("in_band"), "leader"), "buckets",
         )
-        self.members = materialize(
+        self.members = self._kept(
             self.buckets.join(shared, F.col("band") == F.col("in_band")).select("node", "band", "leader"), "members"
         )
         stars = self.members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        pairs = materialize(self._likely(stars.distinct()), "star-pairs")
+        pairs = self._kept(self._likely(stars.distinct()), "star-pairs")
         # First the likeliest partner of each node, then the other pairs that could still connect components.
         best = pairs.groupBy("b").agg(F.max(F.struct("agreeing", "a")).alias("best"))
         edges = self._verified(best.select(F.col("best.a").alias("a"), "b"))
@@ -171,7 +176,7 @@ class _Search:
         return labels
 
     def _labels(self, edges: DataFrame) -> DataFrame:
-        return materialize(components(edges), "labels")
+        return self._kept(components(edges), "labels")
 
     def _between(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs of different components. ``labels`` lacks the nodes that are alone."""
@@ -189,17 +194,17 @@ class _Search:
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar enough."""
-        pairs = materialize(pairs, "pairs")
+        pairs = self._kept(pairs, "pairs")
         if pairs.isEmpty():
             return pairs.select("a", "b")
         needed = pairs.select(F.explode(F.array("a", "b")).alias("need")).distinct()
-        wanted = materialize(
+        wanted = self._kept(
             self.nodes.join(needed, F.col("node") == F.col("need"))
             .select("node", F.col("id").alias("own_id"), F.col("hash").alias("own_hash")), "needed",
         )
         same = all_equal([F.col("id"), F.col("hash")], [F.col("own_id"), F.col("own_hash")])
         texts = possibly_in(self.texts, ["id", "hash"], wanted, ["own_id", "own_hash"])
-        sets = materialize(
+        sets = self._kept(
             texts.join(wanted, same).select("node", shingles(F.col("text"), self.width).alias("items")), "sets"
         )
         one, two = sets.toDF("na", "x"), sets.toDF("nb", "y")
@@ -207,7 +212,7 @@ class _Search:
         common = F.size(F.array_intersect("x", "y")).cast("bigint")
         sized = both.select("a", "b", common.alias("common"), F.size("x").alias("n_x"), F.size("y").alias("n_y"))
         linked = F.col("common") * 100 >= (F.col("n_x") + F.col("n_y") - F.col("common")) * self.similarity
-        return materialize(sized.filter(linked).select("a", "b"), "links")
+        return self._kept(sized.filter(linked).select("a", "b"), "links")
 
     def _open_pairs(self, labels: DataFrame) -> DataFrame:
         """Likely pairs in buckets that hold more than one component.
@@ -227,8 +232,8 @@ class _Search:
             .filter("kinds > 1 and all > 2")
             .select(F.col("band").alias("open_band"), F.col("most.label").alias("main"))
         )
-        open_members = materialize(
-            member.join(materialize(most, "open-buckets"), F.col("band") == F.col("open_band"))
+        open_members = self._kept(
+            member.join(self._kept(most, "open-buckets"), F.col("band") == F.col("open_band"))
             .filter("node <> leader")
             .join(self.nodes.select(F.col("node").alias("own"), "n", "bands", "sketch"), F.col("node") == F.col("own"))
             .select("node", "band", "label", "main", "n", "bands", "sketch"),
@@ -267,21 +272,21 @@ def near_duplicates(
     search = _Search(docs, id_col, text_col, width, similarity)
     labels = search.labels().toDF("own", "label")
     classes = search.classes
-    labelled = materialize(
+    labelled = search._kept(
         classes.join(labels, F.col("node") == F.col("own"), "left")
         .withColumn("label", F.coalesce("label", "node")).select("set_a", "set_b", "n", "label", "least_id"),
         "labelled-classes",
     )
-    least = materialize(
+    least = search._kept(
         labelled.groupBy(F.col("label").alias("of")).agg(F.min("least_id").alias("component")), "least-ids"
     )
-    settled = materialize(
+    settled = search._kept(
         labelled.join(least, F.col("label") == F.col("of")).select(
             F.col("set_a").alias("a"), F.col("set_b").alias("b"), F.col("n").alias("size"), "component"
         ), "components",
     )
     same = (F.col("set_a") == F.col("a")) & (F.col("set_b") == F.col("b")) & (F.col("n") == F.col("size"))
-    found = materialize(
+    found = search._kept(
         search.signed.select("id", "hash", "n", "set_a", "set_b").join(settled, same, "left")
         .select(F.col("id").alias("own_id"), F.col("hash").alias("own_hash"), "n", "component")
         .dropDuplicates(["own_id", "own_hash"]), "found",
@@ -290,6 +295,6 @@ def near_duplicates(
     told = rows.join(found, all_equal([F.col("id"), F.col("hash")], [F.col("own_id"), F.col("own_hash")]), "left")
     component = F.coalesce(F.when(F.col("n") > 0, F.col("component")), F.col("id"))
     return unpacked(
-        told, docs.columns,
+        few_files(told, search.documents, TASK_DOCUMENTS), docs.columns,
         replaced={"n_shingles": F.col("n"), "component_id": component, "kept": F.col("id").eqNullSafe(component)},
     )
