@@ -114,16 +114,34 @@ GOLDEN = os.environ.get("GOLDEN_PRODUCTS")
 SOURCE_FOLDER = os.environ.get("GOLDEN_SOURCES")
 
 
-@pytest.mark.skipif(not (GOLDEN and SOURCE_FOLDER), reason="GOLDEN_PRODUCTS and GOLDEN_SOURCES are not set")
-def test_golden_products(spark, rows):
+@pytest.fixture(params=["own", "given"])
+def golden_files(request, shop, tmp_path):
+    """Folder with source files, and the expected product dimension: small ones of our own, and given ones if set."""
+    if request.param == "given":
+        if not (GOLDEN and SOURCE_FOLDER):
+            pytest.skip("GOLDEN_PRODUCTS and GOLDEN_SOURCES are not set")
+        return SOURCE_FOLDER, GOLDEN
+    expected = tmp_path / "dim_products.csv"
+    expected.write_text(
+        "product_key,product_id,product_number,product_name,category_id,category,subcategory,maintenance,cost,"
+        "product_line,start_date\n"
+        "1,3,FR-R92B-58,Frame,CO_RF,Components,Road Frames,No,0,Road,2003-07-01\n"
+        "2,2,HL-U509-R,Helmet,AC_HE,Accessories,Helmets,Yes,14,Other Sales,2012-07-01\n"
+        "3,4,PD-M282,Pedal,CO_PE,,,,30,n/a,2013-07-01\n"
+    )
+    return str(tmp_path), str(expected)
+
+
+def test_golden_products(spark, rows, golden_files):
     """The product dimension equals a given product file, all columns and rows.
 
     GOLDEN_SOURCES names a folder with the product and category source files at any depth,
     GOLDEN_PRODUCTS the expected dimension as CSV.
     """
+    folder, golden_file = golden_files
 
     def read(table):
-        found = next(pathlib.Path(SOURCE_FOLDER).rglob(source(table).file))
+        found = next(pathlib.Path(folder).rglob(source(table).file))
         return read_csv(spark, str(found), source(table).schema)
 
     products, categories = silver.crm_products(read("crm_prd_info")), silver.erp_categories(read("erp_px_cat_g1v2"))
@@ -135,7 +153,7 @@ def test_golden_products(spark, rows):
         }
     )
     golden = read_csv(
-        spark, GOLDEN,
+        spark, golden_file,
         "product_key INT, product_id INT, product_number STRING, product_name STRING, category_id STRING,"
         " category STRING, subcategory STRING, maintenance STRING, cost INT, product_line STRING, start_date DATE",
     )
@@ -168,6 +186,13 @@ def test_checked_refresh(spark, shop, rows):
     assert spark.table("chk_gold.dim_products").where("is_current").count() == 3
 
 
+def test_a_refresh_leaves_no_scratch_files(spark, shop):
+    scratch = pathlib.Path(spark.conf.get("spark.checkpoint.dir")) / "tierhouse"
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    warehouse.refresh(spark, shop, prefix="neat_")
+    assert set(scratch.iterdir()) == before and spark.table("neat_gold.fact_sales").count() == 3
+
+
 def test_a_key_that_occurs_twice_stops_the_refresh(spark, shop):
     path = pathlib.Path(shop["crm"]) / "cust_info.csv"
     path.write_text(path.read_text() + "11000,AW00011009,Twice,Yang,M,M,2025-10-06\n")

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from .lookups import HOT_ROWS, hot_keys, key_hash
 from .staging import materialize, row_hash
 
-# Rows that one task sorts and writes.
-TASK_ROWS = 500_000
+# Rows that one task sorts and writes, unless that made more tasks than this.
+TASK_ROWS, MOST_TASKS = 500_000, 20_000
 # monotonically_increasing_id() keeps the row position in its low 33 bits.
 _POSITION = (1 << 33) - 1
 
@@ -39,7 +39,7 @@ def surrogate_key(
     if name in df.columns:
         raise ValueError(f"column {name} is already present")
     # A fixed number of partitions: merging them by size would put well-compressed copies together.
-    parts = max(1, math.ceil((df.count() if rows is None else rows) / task_rows))
+    parts = min(MOST_TASKS, max(1, math.ceil((df.count() if rows is None else rows) / task_rows)))
     tagged = df.withColumns({"__tie": row_hash(df), "__source": F.spark_partition_id()})
     placed = (
         tagged.repartitionByRange(parts, *order, "__tie", "__source")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +28,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_RUN: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("run", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/tierhouse/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tierhouse/{label}-{uuid.uuid4().hex}"
+    if (paths := _RUN.get()) is not None:
+        paths.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def removed_afterwards(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch paths that are handed out within the block at its end.
+
+    Only for jobs whose results are tables by then: a frame that still reads such a path would break.
+    """
+    token = _RUN.set([])
+    try:
+        yield
+    finally:
+        paths = _RUN.get()
+        _RUN.reset(token)
+        for path in paths:
+            location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def row_hash(df: DataFrame) -> Column:

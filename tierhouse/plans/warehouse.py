@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..operators.quality import require_unique
+from ..operators.staging import removed_afterwards
 from ..sources.catalog import LAYERS, init_layers, write_table
 from ..sources.files import BAD_RECORD, ingest_all
 from ..sources.schemas import SOURCES
@@ -59,5 +60,6 @@ def refresh(spark: SparkSession, folders: dict[str, str], prefix: str = "") -> N
     """Create the layers and rebuild all tables; ``prefix`` goes before the schema names."""
     init_layers(spark, {prefix + name: comment for name, comment in LAYERS.items()})
     refresh_bronze(spark, folders, f"{prefix}bronze")
-    refresh_silver(spark, f"{prefix}bronze", f"{prefix}silver")
-    refresh_gold(spark, f"{prefix}silver", f"{prefix}gold")
+    with removed_afterwards(spark):
+        refresh_silver(spark, f"{prefix}bronze", f"{prefix}silver")
+        refresh_gold(spark, f"{prefix}silver", f"{prefix}gold")
