@@ -17,6 +17,8 @@ from ..operators.staging import materialize
 from .common import packed
 
 BUCKET_ROWS = 50_000
+# Spark seeds each partition with the seed plus its number: two keys need seeds that far apart.
+FAR_SEED = 1 << 40
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
@@ -71,7 +73,7 @@ def shuffle_into_shards(
     keyed = materialize(
         rows.select(
             packed(rows), F.spark_partition_id().alias("part"), F.rand(seed).alias("local"),
-            F.rand(seed + 1).alias("final"), F.monotonically_increasing_id().alias("place"),
+            F.rand(seed + FAR_SEED).alias("final"), F.monotonically_increasing_id().alias("place"),
         ),
         "shuffle",
     )
