@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .staging import folder_exists
+
 VERSION, COMMITTED, OPERATION = "_version", "_committed_at", "_operation"
 _STORED, _ROWS = "_stored_in", "row_count"
 _LOG = f"{VERSION} BIGINT, {COMMITTED} TIMESTAMP_NTZ, {OPERATION} STRING, {_STORED} BIGINT, {_ROWS} BIGINT"
@@ -26,12 +27,7 @@ def _moment(value: dt.datetime | str) -> Column:
 
 
 def _log(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(_LOG).parquet(f"{path}/_log")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    return spark.read.schema(_LOG).parquet(f"{path}/_log") if folder_exists(spark, f"{path}/_log") else None
 
 
 def _files(path: str, version: int) -> str:

@@ -39,6 +39,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def _located(spark: SparkSession, path: str):
+    """File system and location of a path."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, location = _located(spark, path)
+    return files.exists(location)
+
+
 @contextlib.contextmanager
 def removed_afterwards(spark: SparkSession) -> Iterator[None]:
     """Delete the scratch paths that are handed out within the block at its end.
@@ -52,8 +63,8 @@ def removed_afterwards(spark: SparkSession) -> Iterator[None]:
         paths = _RUN.get()
         _RUN.reset(token)
         for path in paths:
-            location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(location, True)
+            files, location = _located(spark, path)
+            files.delete(location, True)
 
 
 def row_hash(df: DataFrame) -> Column:
