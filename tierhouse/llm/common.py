@@ -28,11 +28,14 @@ TASK_DOCUMENTS, TASK_ROWS = 5_000, 200_000
 
 
 def few_files(df: DataFrame, rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
-    """``df``, which has some ``rows`` rows, in no more partitions than tasks of ``task_rows`` rows make.
+    """``df``, which has some ``rows`` rows, dealt to as few tasks as tasks of ``task_rows`` rows make.
 
-    Small tables that are written between steps then have few files, however many partitions a shuffle has.
+    Small tables that are written between steps then have few files, however many partitions a shuffle has. Where that
+    would be no fewer than a shuffle's, nothing is dealt anew. (Merging partitions without a shuffle would keep the
+    memory of all their sorts and joins until the one task ends.)
     """
-    return df.coalesce(max(1, -(-rows // task_rows)))
+    tasks = max(1, -(-rows // task_rows))
+    return df.repartition(tasks) if tasks < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -13,7 +13,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
 from ..operators.staging import materialize
-from .common import TASK_DOCUMENTS, all_equal, bound, few_files, packed, text_hash, unpacked
+from .common import all_equal, bound, packed, text_hash, unpacked
 
 MIN_LINES, MIN_CHARS = 3, 60
 
@@ -71,9 +71,7 @@ def _agreeing(pairs: list[tuple[Column, Column]]) -> Column:
     return count
 
 
-def repeated_lines(
-    docs: DataFrame, documents: int, min_lines: int, min_chars: int, id_col: str, text_col: str
-) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_lines: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
     """Numbers (from 0, blank lines not counted) of the lines to delete: ``id, hash, gone`` per document with any."""
     cut = bound(_lines(F.col(text_col)), lambda lines: _windows(lines, min_lines, min_chars))
     windows = (
@@ -89,7 +87,7 @@ def repeated_lines(
         .filter("copies > 1")
         .select(F.col("fingerprint").alias("f"), F.col("content").alias("c"), "first")
     )
-    first = materialize(few_files(repeated, documents, TASK_DOCUMENTS), "first-windows")
+    first = materialize(repeated, "first-windows")
     met = windows.join(first, (F.col("fingerprint") == F.col("f")) & (F.col("content") == F.col("c")))
     later = met.filter(F.struct("id", "hash", "i") > F.struct("first.id", "first.hash", "first.i"))
     left, right = (_agreeing([(F.col(x), F.col(f"first.{x}")) for x in side]) for side in sides)
@@ -112,8 +110,7 @@ def dedup_lines(
     most) match nothing and stay. Rows equal in id and text count as one document and get the same result. A NULL text
     stays NULL with 0 lines; an empty one stays empty. An empty table gives an empty one.
     """
-    documents = docs.count()
-    gone = repeated_lines(docs, documents, min_lines, min_chars, id_col, text_col)
+    gone = repeated_lines(docs, min_lines, min_chars, id_col, text_col)
     text = F.col("row").getField(text_col)
     rows = docs.select(packed(docs), F.col(id_col).alias("own_id"), text_hash(F.col(text_col)).alias("own_hash"))
     joined = rows.join(gone, all_equal([F.col("own_id"), F.col("own_hash")], [F.col("id"), F.col("hash")]), "left")
@@ -126,7 +123,7 @@ def dedup_lines(
 
     lines = F.split(text, "\n", -1)
     return unpacked(
-        few_files(joined, documents, TASK_DOCUMENTS),
+        joined,
         docs.columns,
         replaced={
             text_col: F.when(F.col("gone").isNull(), text).otherwise(bound(lines, shortened)),

@@ -295,6 +295,6 @@ def near_duplicates(
     told = rows.join(found, all_equal([F.col("id"), F.col("hash")], [F.col("own_id"), F.col("own_hash")]), "left")
     component = F.coalesce(F.when(F.col("n") > 0, F.col("component")), F.col("id"))
     return unpacked(
-        few_files(told, search.documents, TASK_DOCUMENTS), docs.columns,
+        told, docs.columns,
         replaced={"n_shingles": F.col("n"), "component_id": component, "kept": F.col("id").eqNullSafe(component)},
     )
