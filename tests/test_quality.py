@@ -88,8 +88,8 @@ def test_dates_in_order(spark):
 
 def test_catalogue_covers_all_tables():
     declared = [r for table in checked.RULES.values() for r in table]
-    assert len(declared) == 22
-    assert sum(r.action == "drop" for r in declared) == 6
+    assert len(declared) == 25
+    assert sum(r.action == "drop" for r in declared) == 7
     assert sum(r.action == "fail" for r in declared) == 3
     assert rules.FACT_SALES[0].name == "has_dimension_keys"
 
