@@ -68,19 +68,20 @@ def test_same_components_as_all_pairs(spark, width):
     assert len(found) == len(rows)
 
 
-def test_open_buckets_are_searched(spark, monkeypatch):
-    """With a star round that finds nothing, the pairs of open buckets alone connect everything but the leaders."""
+@pytest.mark.parametrize("idle", [1, 3])
+def test_later_rounds_make_up_for_earlier_ones(spark, monkeypatch, idle):
+    """Where the first rounds find no link, the later ones connect everything but what only a leader connects."""
     rows = corpus(9)
     verified, calls = near_dedup._Search._verified, []
 
     def later_only(self, pairs):
         calls.append(pairs)
-        return verified(self, pairs.limit(0) if len(calls) < 3 else pairs)
+        return verified(self, pairs.limit(0) if len(calls) <= idle else pairs)
 
     monkeypatch.setattr(near_dedup._Search, "_verified", later_only)
     found = near_duplicates(spark.createDataFrame(rows, SCHEMA), width=2).collect()
     exact = brute_force(rows, 2)
-    assert len(calls) == 3
+    assert len(calls) == 4
     assert len({r.component_id for r in found}) < len({r[0] for r in rows}) - 20
     assert all(exact[r.component_id][1] == exact[r.doc_id][1] for r in found)
 

@@ -24,6 +24,8 @@ REGISTERS = BANDS * ROWS
 # Of 270 registers, 216 agree on average at similarity 0.8; fewer than this many do with probability below 1e-9.
 LEAST_AGREEING = 173
 WIDTH, SIMILARITY = 5, 80
+# Rounds in which each node's likeliest partner is verified before all pairs that are left.
+BEST_ROUNDS = 2
 # Shingles ranked at a time; bounds a task's memory to some 10 MB for permutations.
 CHUNK = 20_000
 
@@ -155,25 +157,41 @@ class _Search:
     def labels(self) -> DataFrame:
         """Components of all links between nodes: ``node, label``, without the nodes that are alone."""
         self.buckets = self.nodes.select("node", F.explode("bands").alias("band"))
+        # Every bucket has a leader of its own, the smallest number after mixing with the band's hash: a node of a
+        # large group then meets many leaders, and is alone only if it is far from all of them.
+        mixed_least = F.min(F.col("node").bitwiseXOR(F.col("band")))
         shared = self._kept(
-            self.buckets.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("size"))
-            .filter("size > 1").select(F.col("band").alias("in_band"), "leader"), "buckets",
+            self.buckets.groupBy("band").agg(mixed_least.alias("least"), F.count("*").alias("size"))
+            .filter("size > 1")
+            .select(F.col("band").alias("in_band"), F.col("least").bitwiseXOR(F.col("band")).alias("leader")), "buckets",
         )
         self.members = self._kept(
             self.buckets.join(shared, F.col("band") == F.col("in_band")).select("node", "band", "leader"), "members"
         )
-        stars = self.members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        pairs = self._kept(self._likely(stars.distinct()), "star-pairs")
-        # First the likeliest partner of each node, then the other pairs that could still connect components.
-        best = pairs.groupBy("b").agg(F.max(F.struct("agreeing", "a")).alias("best"))
-        edges = self._verified(best.select(F.col("best.a").alias("a"), "b"))
-        labels = self._labels(edges)
-        for left in (lambda known: self._between(pairs.select("a", "b"), known), self._open_pairs):
-            more = self._verified(left(labels))
-            if not more.isEmpty():
-                edges = edges.unionByName(more)
-                labels = self._labels(edges)
-        return labels
+        stars = self.members.filter("node <> leader").select(
+            F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"), "node"
+        )
+        # ``node`` is the one of the two that asks; a pair that both ask for is kept once.
+        stars = stars.groupBy("a", "b").agg(F.max("node").alias("node"))
+        left = self._kept(self._likely(stars), "star-pairs")
+        self.edges, labels = None, None
+        # First the likeliest partner of each node, then the next one, then whatever could still connect components.
+        for _ in range(BEST_ROUNDS):
+            best = left.groupBy("node").agg(F.max(F.struct("agreeing", "a", "b")).alias("best")).select("best.a", "best.b")
+            tried = self._kept(best.distinct(), "tried")
+            labels = self._joined(tried, labels)
+            rest = left.join(tried.toDF("x", "y"), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
+            left = self._kept(self._between(rest, labels), "left-pairs")
+        labels = self._joined(left.select("a", "b"), labels)
+        return self._joined(self._open_pairs(labels), labels)
+
+    def _joined(self, pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """Components after those of the pairs that are links have become edges."""
+        links = self._verified(pairs)
+        if labels is not None and links.isEmpty():
+            return labels
+        self.edges = links if self.edges is None else self.edges.unionByName(links)
+        return self._labels(self.edges)
 
     def _labels(self, edges: DataFrame) -> DataFrame:
         return self._kept(components(edges), "labels")
@@ -182,7 +200,7 @@ class _Search:
         """Pairs of different components. ``labels`` lacks the nodes that are alone."""
         one, two = labels.toDF("na", "la"), labels.toDF("nb", "lb")
         known = pairs.join(one, F.col("a") == F.col("na"), "left").join(two, F.col("b") == F.col("nb"), "left")
-        return known.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+        return known.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select(*pairs.columns)
 
     def _likely(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes and sketches allow a link."""
@@ -190,7 +208,7 @@ class _Search:
         two = self.nodes.select(F.col("node").alias("nb"), F.col("n").alias("n_b"), F.col("sketch").alias("y"))
         sized = pairs.join(one, F.col("a") == F.col("na")).join(two, F.col("b") == F.col("nb"))
         near = _agreeing(sized.filter(_close("n_a", "n_b", self.similarity)))
-        return near.filter(F.col("agreeing") >= LEAST_AGREEING).select("a", "b", "agreeing")
+        return near.filter(F.col("agreeing") >= LEAST_AGREEING).select("a", "b", "node", "agreeing")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar enough."""
