@@ -179,15 +179,14 @@ class _Search:
         for _ in range(BEST_ROUNDS):
             best = left.groupBy("node").agg(F.max(F.struct("agreeing", "a", "b")).alias("best")).select("best.a", "best.b")
             tried = self._kept(best.distinct(), "tried")
-            labels = self._joined(tried, labels)
+            labels = self._joined(self._verified(tried), labels)
             rest = left.join(tried.toDF("x", "y"), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
             left = self._kept(self._between(rest, labels), "left-pairs")
-        labels = self._joined(left.select("a", "b"), labels)
-        return self._joined(self._open_pairs(labels), labels)
+        labels = self._joined(self._verified(left.select("a", "b")), labels)
+        return self._joined(self._open_links(labels), labels)
 
-    def _joined(self, pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
-        """Components after those of the pairs that are links have become edges."""
-        links = self._verified(pairs)
+    def _joined(self, links: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """Components after the links have become edges."""
         if labels is not None and links.isEmpty():
             return labels
         self.edges = links if self.edges is None else self.edges.unionByName(links)
@@ -210,34 +209,38 @@ class _Search:
         near = _agreeing(sized.filter(_close("n_a", "n_b", self.similarity)))
         return near.filter(F.col("agreeing") >= LEAST_AGREEING).select("a", "b", "node", "agreeing")
 
-    def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose full sets are similar enough."""
-        pairs = self._kept(pairs, "pairs")
-        if pairs.isEmpty():
-            return pairs.select("a", "b")
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("need")).distinct()
+    def _sets(self, needed: DataFrame) -> DataFrame:
+        """Full shingle sets of the nodes in column ``need``: ``node, items``."""
         wanted = self._kept(
-            self.nodes.join(needed, F.col("node") == F.col("need"))
+            self.nodes.join(needed.distinct(), F.col("node") == F.col("need"))
             .select("node", F.col("id").alias("own_id"), F.col("hash").alias("own_hash")), "needed",
         )
         same = all_equal([F.col("id"), F.col("hash")], [F.col("own_id"), F.col("own_hash")])
         texts = possibly_in(self.texts, ["id", "hash"], wanted, ["own_id", "own_hash"])
-        sets = self._kept(
-            texts.join(wanted, same).select("node", shingles(F.col("text"), self.width).alias("items")), "sets"
-        )
+        one_each = texts.join(wanted, same).dropDuplicates(["node"])
+        return self._kept(one_each.select("node", shingles(F.col("text"), self.width).alias("items")), "sets")
+
+    def _linked(self, x: str, y: str):
+        """Whether two full sets are similar enough."""
+        common = F.size(F.array_intersect(x, y)).cast("bigint")
+        return common * 100 >= (F.size(x) + F.size(y) - common) * self.similarity
+
+    def _verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose full sets are similar enough."""
+        pairs = self._kept(pairs, "pairs")
+        if pairs.isEmpty():
+            return pairs.select("a", "b")
+        sets = self._sets(pairs.select(F.explode(F.array("a", "b")).alias("need")))
         one, two = sets.toDF("na", "x"), sets.toDF("nb", "y")
         both = pairs.join(one, F.col("a") == F.col("na")).join(two, F.col("b") == F.col("nb"))
-        common = F.size(F.array_intersect("x", "y")).cast("bigint")
-        sized = both.select("a", "b", common.alias("common"), F.size("x").alias("n_x"), F.size("y").alias("n_y"))
-        linked = F.col("common") * 100 >= (F.col("n_x") + F.col("n_y") - F.col("common")) * self.similarity
-        return self._kept(sized.filter(linked).select("a", "b"), "links")
+        return self._kept(both.filter(self._linked("x", "y")).select("a", "b"), "links")
 
-    def _open_pairs(self, labels: DataFrame) -> DataFrame:
-        """Likely pairs in buckets that hold more than one component.
+    def _open_links(self, labels: DataFrame) -> DataFrame:
+        """Links in buckets that hold more than one component.
 
         Of two nodes of different components one at least is outside the bucket's commonest component, so only such
-        nodes are paired, with the nodes of other components; a pair counts in its first common band. Pairs with the
-        leader are settled.
+        nodes are compared, with the nodes of other components; a pair counts in its first common band. Pairs with the
+        leader are settled. The sets are compared within the join, which gives links only.
         """
         member = self.members.join(labels, self.members["node"] == labels["node"], "left").select(
             self.members["node"], "band", "leader", F.coalesce("label", self.members["node"]).alias("label")
@@ -250,26 +253,26 @@ class _Search:
             .filter("kinds > 1 and all > 2")
             .select(F.col("band").alias("open_band"), F.col("most.label").alias("main"))
         )
-        open_members = self._kept(
+        there = self._kept(
             member.join(self._kept(most, "open-buckets"), F.col("band") == F.col("open_band"))
-            .filter("node <> leader")
-            .join(self.nodes.select(F.col("node").alias("own"), "n", "bands", "sketch"), F.col("node") == F.col("own"))
-            .select("node", "band", "label", "main", "n", "bands", "sketch"),
-            "open-members",
+            .filter("node <> leader").select("node", "band", "label", "main"), "open-members",
         )
-        left = open_members.filter("label <> main").select(*(F.col(c).alias(f"{c}_a") for c in open_members.columns))
-        right = open_members.select(*(F.col(c).alias(f"{c}_b") for c in open_members.columns))
-        same = F.filter(F.zip_with("bands_a", "bands_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
+        if there.isEmpty():
+            return there.select(F.col("node").alias("a"), F.col("node").alias("b"))
+        sets = self._sets(there.select(F.col("node").alias("need"))).withColumnRenamed("node", "own")
+        known = self.nodes.select(F.col("node").alias("same"), "n", "bands")
+        full = there.join(known, F.col("node") == F.col("same")).join(sets, F.col("node") == F.col("own"))
+        full = self._kept(full.select("node", "band", "label", "main", "n", "bands", "items"), "open-sets")
+        left = full.filter("label <> main").select(*(F.col(c).alias(f"{c}_a") for c in full.columns))
+        right = full.select(*(F.col(c).alias(f"{c}_b") for c in full.columns))
         once = (F.col("label_b") == F.col("main_b")) | (F.col("node_a") < F.col("node_b"))
-        paired = left.join(
+        first = F.get(F.array_intersect("bands_a", "bands_b"), F.lit(0))
+        links = left.join(
             right,
             (F.col("band_a") == F.col("band_b")) & (F.col("label_a") != F.col("label_b")) & once
-            & _close("n_a", "n_b", self.similarity) & (F.get(same, F.lit(0)) == F.col("band_a")),
+            & _close("n_a", "n_b", self.similarity) & (first == F.col("band_a")) & self._linked("items_a", "items_b"),
         )
-        near = _agreeing(paired.select("node_a", "node_b", F.col("sketch_a").alias("x"), F.col("sketch_b").alias("y")))
-        return near.filter(F.col("agreeing") >= LEAST_AGREEING).select(
-            F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
-        ).distinct()
+        return self._kept(links.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), "open-links")
 
 
 def near_duplicates(
