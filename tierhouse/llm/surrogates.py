@@ -35,20 +35,38 @@ ENDINGS = {
 
 _TITLE = "(?:" + "|".join(sorted(TITLES, key=len, reverse=True)) + ")"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_HEXES = r"[0-9A-Fa-f]{1,4}"
+# A key, quoted or not, and what follows it up to white space or a quote, without closing punctuation.
+_HELD = r"[^\s\"']*[\p{L}\p{N}_+/=-]"
+_KEYED = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s*[=:]\s*"
+_LETTERS = r"(?=(?:[^\s\"'\p{L}\d]*[\p{L}\d]){4})"
+# Digits that no digit precedes or follows, hyphens apart.
+_FROM, _TO = r"(?<!\d)(?<!\d-)", r"(?!-?\d)"
+_PHONES = [
+    r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]?\d{3,4}",
+    r"\(\d{2,4}\)\d{3,4}[ .-]?\d{3,4}",
+    r"(?:(?:\+|00)\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\d|0\d)(?:[ .-]?\d{2}){4}",
+    r"(?:\+|00)\d{8,15}",
+    r"(?:\+|00)\d{1,3}(?:[ .-]\(?\d{1,4}\)?){3,5}",
+    r"(?<!\d\.)[018]?\d{10}(?!\.\d)",
+]
 # In order: where several fit at one place, the first one holds. Every pattern is a whole entity.
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
-    "secret": r"(?i:password|passwd|secret|token|api_?key)\s*[=:]\s*[\"']?[A-Za-z0-9_/+-]{8,}[\"']?",
+    "secret": rf"{_KEYED}(?:[\"'](?=[^\s\"']{{6}}){_LETTERS}{_HELD}[\"']?|(?=[^\s\"']{{8}}){_LETTERS}{_HELD})",
     "access_key": r"\bAKIA[0-9A-Z]{16}\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "ipv6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[A-Fa-f:]*\d)(?:(?:{_HEXES}:){{7}}{_HEXES}"
+            rf"|(?:{_HEXES}(?::{_HEXES}){{0,6}})?::(?:{_HEXES}(?::{_HEXES}){{0,6}})?)(?![\p{{L}}\p{{N}}]|:[0-9A-Fa-f:]|\.\d)",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\d]|\.\d)",
-    "card": r"(?<![\d-])\d{4}(?:[ -]?\d{4}){3}(?![\d-])",
-    "social": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\p{L}\d])(?:\+\d{1,3}[ .-]?)?\(?\d{2,4}\)?[ .-]\d{3,4}[ .-]?\d{3,4}(?![\d-])",
+    "card": rf"{_FROM}(?:\d{{4}}(?:[ -]?\d{{4}}){{3}}|\d{{4}}(?:-\d{{4}}){{3}}-\d{{3}}"
+            rf"|(?<!\d\.)(?:\d{{13,19}}|\d{{4}}[ -]\d{{6}}[ -]\d{{4,5}}|\d{{4}}(?:[ -]\d{{3}}){{3}})){_TO}",
+    "social": rf"{_FROM}\d{{3}}-\d{{2}}-\d{{4}}{_TO}",
+    "phone": rf"(?<![\p{{L}}\d])(?<!\d-)(?:{'|'.join(_PHONES)}){_TO}",
     "name": rf"\b{_TITLE}\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?",
 }
 # Every text with an entity has a place that fits this.
-HINT = rf"[0-9@=:]|\b{_TITLE}\.? \p{{Lu}}"
+HINT = rf"[0-9@=:]|AKIA|\b{_TITLE}\.? \p{{Lu}}"
 EVERY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 HEX, DIGITS, UPPER, LOWER = "0123456789abcdef", "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MOST_DRAWS = 20
@@ -67,7 +85,7 @@ def normal_form(entity: Column, kind: Column) -> Column:
     plain = F.lower(entity)
     digits = F.regexp_replace(entity, r"\D", "")
     name = F.regexp_replace(plain, rf"(?i)^{_TITLE}\.? ", "")
-    held = F.regexp_extract(entity, r"[=:]\s*[\"']?([A-Za-z0-9_/+-]+)", 1)
+    held = F.regexp_extract(entity, rf"[=:]\s*[\"']?({_HELD})", 1)
     return (
         F.when(kind.isin("card", "social", "phone"), digits).when(kind == "secret", held).when(kind == "name", name)
         .when(kind == "iban", F.replace(entity, F.lit(" "), F.lit(""))).otherwise(plain)
@@ -154,9 +172,14 @@ def surrogate(kind: Column, normal: Column, gender: Column, script: Column, key:
         shaped = F.when((kind == "secret") & is_hex, _hex_shape(normal, numbers)).otherwise(_same_shape(normal, numbers))
         key_id = F.concat(F.lit("AKIA"), F.upper(_same_shape(F.substring(normal, 5, 16), numbers)))
         iban = F.concat(F.substring(normal, 1, 2), _same_shape(F.substring(normal, 3, 64), numbers))
+        # Short addresses leave little room: later draws are whole ones of the range for documentation.
+        groups = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.concat(*(
+            F.substring(F.lit(HEX), F.get(numbers, i * 4 + j) % 16 + 1, F.lit(1)) for j in range(4))))
+        long_ip = F.concat(F.lit("2001:db8:"), F.array_join(groups, ":"))
+        ipv6 = F.when(draw < 2, _hex_shape(normal, numbers)).otherwise(long_ip)
         name = _name(gender, script, numbers, F.size(F.split(normal, " ")), draw)
         return (
-            F.when(kind == "email", mail).when(kind == "ip", octets).when(kind == "access_key", key_id)
+            F.when(kind == "email", mail).when(kind == "ip", octets).when(kind == "ipv6", ipv6).when(kind == "access_key", key_id)
             .when(kind == "iban", iban).when(kind == "name", name).otherwise(shaped)
         )
 
@@ -182,7 +205,8 @@ def rendered(mention: Column, kind: Column, normal: Column, new: Column) -> Colu
     plain = F.when(shouted, F.upper(new)).otherwise(new)
     return (
         F.when(kind.isin("card", "social", "phone", "iban"), fill(new))
-        .when(kind == "secret", F.replace(mention, normal, new))
+        .when(kind == "secret", F.concat(
+            F.regexp_extract(mention, rf"^({_KEYED}[\"']?)", 1), new, F.regexp_extract(mention, r"([\"']?)$", 1)))
         .when(kind == "name", F.concat(title, new)).when(kind == "access_key", new).otherwise(plain)
     )
 
@@ -244,8 +268,8 @@ def assign(found: DataFrame, key: str) -> DataFrame:
 def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows with every entity in the text replaced, and ``n_entities`` and ``kinds`` (types found, sorted).
 
-    Emails, passwords and tokens, access keys, IBANs, IPv4 addresses, card, social security and phone numbers and
-    names after a form of address are entities. A surrogate has its entity's type, length of digits and separators,
+    Emails, passwords and tokens, access keys, IBANs, IPv4 and IPv6 addresses, numbers of 13 to 19 digits (cards),
+    social security and phone numbers (with separators, or 10 digits and more) and names after a form of address are entities. A surrogate has its entity's type, length of digits and separators,
     and, for names, gender and script; titles stay. Distinct entities get distinct surrogates, one entity the same
     everywhere. A NULL text stays NULL with no entities. Rows equal in id and text get the same result. Columns of
     these names are replaced; an empty table gives an empty result. Without the key nothing leads back to an entity.
