@@ -120,3 +120,23 @@ def test_numbers_that_are_no_entities(spark):
     text = "3.141592653589793 at 12:30:45, std::map, a::b, 2024, 1,234,567 and 00:1A:2B"
     (r,) = pseudonymize(spark.createDataFrame([(1, text)], SCHEMA), "k").collect()
     assert r.text == text and r.n_entities == 0
+
+
+def test_a_name_again_is_the_same_person(spark):
+    texts = [
+        "Mr Bob Ray spoke. Bob Ray left; Mr Ray's car, BOB RAY and Ray (Bob). Mrs Ray stayed, Rays of Bobby too.",
+        "Frau Müller kam. Dann ging Müller, und Mr. O'Neil-Fox's Hund. O'Neil-Fox!",
+        "Bob Ray has no title here.",
+    ]
+    found = {r.doc_id: r for r in pseudonymize(spark.createDataFrame(list(enumerate(texts)), SCHEMA), "k").collect()}
+    name = re.match(r"Mr (\w+tor) (\w+) ", found[0].text)
+    first, last = name[1], name[2]
+    wife = re.search(r"Mrs (\w+lina) stayed", found[0].text)[1]
+    assert found[0].text == (
+        f"Mr {first} {last} spoke. {first} {last} left; Mr {last}'s car, {first.upper()} {last.upper()} and {last} ({first}). "
+        f"Mrs {wife} stayed, Rays of Bobby too."
+    )
+    assert found[0].n_entities == 7 and found[0].kinds == ["name"]
+    known = re.match(r"Frau (\w+) kam. Dann ging (\w+), und Mr. (\w+)'s Hund. (\w+)!$", found[1].text)
+    assert known and known[1] == known[2] != "Müller" and known[3] == known[4]
+    assert found[2].text == texts[2] and found[2].n_entities == 0

@@ -34,6 +34,8 @@ ENDINGS = {
 }
 
 _TITLE = "(?:" + "|".join(sorted(TITLES, key=len, reverse=True)) + ")"
+# A name without the 's of a possessive.
+_WORD = r"\p{Lu}(?:\p{L}|['’-](?=\p{L})(?!s(?!\p{L})))+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _HEXES = r"[0-9A-Fa-f]{1,4}"
 # A key, quoted or not, and what follows it up to white space or a quote, without closing punctuation.
@@ -63,7 +65,7 @@ PATTERNS = {
             rf"|(?<!\d\.)(?:\d{{13,19}}|\d{{4}}[ -]\d{{6}}[ -]\d{{4,5}}|\d{{4}}(?:[ -]\d{{3}}){{3}})){_TO}",
     "social": rf"{_FROM}\d{{3}}-\d{{2}}-\d{{4}}{_TO}",
     "phone": rf"(?<![\p{{L}}\d])(?<!\d-)(?:{'|'.join(_PHONES)}){_TO}",
-    "name": rf"\b{_TITLE}\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?",
+    "name": rf"\b{_TITLE}\.? {_WORD}(?: {_WORD})?",
 }
 # Every text with an entity has a place that fits this.
 HINT = rf"[0-9@=:]|AKIA|\b{_TITLE}\.? \p{{Lu}}"
@@ -77,14 +79,18 @@ def type_of(entity: Column) -> Column:
     for name, pattern in reversed(PATTERNS.items()):
         kind = F.when(entity.rlike(f"^(?:{pattern})$"), name).otherwise(kind)
     # What only its surroundings made an entity is told by its shape.
-    return F.coalesce(kind, F.lit("card"))
+    return F.coalesce(kind, F.when(entity.rlike("[0-9=:@]"), "card").otherwise("name"))
+
+
+def untitled(mention: Column) -> Column:
+    return F.regexp_replace(mention, rf"^{_TITLE}\.? ", "")
 
 
 def normal_form(entity: Column, kind: Column) -> Column:
     """Mentions with the same normal form are one entity: case, separators and titles do not count."""
     plain = F.lower(entity)
     digits = F.regexp_replace(entity, r"\D", "")
-    name = F.regexp_replace(plain, rf"(?i)^{_TITLE}\.? ", "")
+    name = F.lower(untitled(entity))
     held = F.regexp_extract(entity, rf"[=:]\s*[\"']?({_HELD})", 1)
     return (
         F.when(kind.isin("card", "social", "phone"), digits).when(kind == "secret", held).when(kind == "name", name)
@@ -152,7 +158,7 @@ def gender_of(mention: Column) -> Column:
 
 
 def script_of(mention: Column) -> Column:
-    rest = F.regexp_replace(mention, rf"^{_TITLE}\.? ", "")
+    rest = untitled(mention)
     return F.when(rest.rlike(r"\p{IsCyrillic}"), "cyrillic").when(rest.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
@@ -186,8 +192,8 @@ def surrogate(kind: Column, normal: Column, gender: Column, script: Column, key:
     return bound(_stream(seed), made)
 
 
-def rendered(mention: Column, kind: Column, normal: Column, new: Column) -> Column:
-    """A surrogate in the format of one mention: its separators, title and case."""
+def rendered(mention: Column, kind: Column, normal: Column, new: Column, part: Column) -> Column:
+    """A surrogate in the format of one mention: its separators, title and case, and its ``part`` of a name."""
     def fill(digits: Column) -> Column:
         count = F.lit(0)
         chars = F.split(mention, "")
@@ -201,25 +207,81 @@ def rendered(mention: Column, kind: Column, normal: Column, new: Column) -> Colu
         return state["out"]
 
     title = F.regexp_extract(mention, rf"^({_TITLE}\.? )", 1)
-    shouted = (F.upper(mention) == mention) & (F.lower(mention) != mention)
+    held = untitled(mention)
+    shouted = (F.upper(held) == held) & (F.lower(held) != held)
+    new = F.when(part == "first", F.substring_index(new, " ", 1)).when(part == "last", F.substring_index(new, " ", -1)).otherwise(new)
     plain = F.when(shouted, F.upper(new)).otherwise(new)
     return (
         F.when(kind.isin("card", "social", "phone", "iban"), fill(new))
         .when(kind == "secret", F.concat(
             F.regexp_extract(mention, rf"^({_KEYED}[\"']?)", 1), new, F.regexp_extract(mention, r"([\"']?)$", 1)))
-        .when(kind == "name", F.concat(title, new)).when(kind == "access_key", new).otherwise(plain)
+        .when(kind == "name", F.concat(title, plain)).when(kind == "access_key", new).otherwise(plain)
+    )
+
+
+def every_with(names: Column) -> Column:
+    """``EVERY`` and the given names, the longest first, as whole words."""
+    longest = F.transform(
+        F.sort_array(F.transform(names, lambda n: F.struct((-F.length(n)).alias("less"), n.alias("name")))), lambda s: s["name"]
+    )
+    known = F.concat(
+        F.lit(EVERY + r"|(?<![\p{L}\p{N}])(?=\p{Lu})(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])")
+    )
+    return F.when(F.size(names) > 0, known).otherwise(F.lit(EVERY))
+
+
+def _names_of(held: Column) -> Column:
+    """The ways a document may repeat its titled names: whole, in capitals, and each of their words."""
+    whole = F.transform(F.filter(held, lambda m: m.rlike(f"^(?:{PATTERNS['name']})$")), untitled)
+    loud = F.transform(F.filter(whole, lambda n: n.contains(" ")), F.upper)
+    return F.array_distinct(F.concat(whole, loud, F.flatten(F.transform(whole, lambda n: F.split(n, " ")))))
+
+
+def _whole_names(held: Column) -> Column:
+    """The titled names of two words of a document in their order: ``gender, name``."""
+    named = F.filter(held, lambda m: m.rlike(f"^(?:{PATTERNS['name']})$") & untitled(m).contains(" "))
+    return F.transform(named, lambda m: F.struct(gender_of(m).alias("gender"), F.lower(untitled(m)).alias("name")))
+
+
+def _referred(mention: Column, normal: Column, whole: Column) -> Column:
+    """The entity of a name and the part of it that is mentioned, as a struct ``normal, part``.
+
+    One word is the last or else the first name of a whole name of the document, of the same gender if a title tells
+    it, and of the first such name if there are several; if there is none, it is an entity of its own.
+    """
+    gender = gender_of(mention)
+
+    def first_with(place: int) -> Column:
+        able = F.filter(whole, lambda s: (F.substring_index(s["name"], " ", place) == normal)
+                        & ((gender == "x") | (s["gender"] == "x") | (s["gender"] == gender)))
+        return F.coalesce(F.get(F.filter(able, lambda s: s["gender"] == gender), F.lit(0)), F.get(able, F.lit(0)))["name"]
+
+    last, first = first_with(-1), first_with(1)
+    one = ~normal.contains(" ")
+    return (
+        F.when(one & last.isNotNull(), F.struct(last.alias("normal"), F.lit("last").alias("part")))
+        .when(one & first.isNotNull(), F.struct(first.alias("normal"), F.lit("first").alias("part")))
+        .otherwise(F.struct(normal.alias("normal"), F.lit("whole").alias("part")))
     )
 
 
 def mentions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Every distinct mention of every document: ``id, hash, mention, kind, normal``."""
+    """Every distinct mention of every document: ``id, hash, mention, kind, normal, part``."""
     text = F.col(text_col)
     held = docs.filter(text.rlike(HINT)).select(
-        F.col(id_col).alias("id"), text_hash(text).alias("hash"),
-        F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(EVERY), F.lit(0)))).alias("mention"),
+        F.col(id_col).alias("id"), text_hash(text).alias("hash"), text.alias("text"),
+        F.array_distinct(F.regexp_extract_all(text, F.lit(EVERY), F.lit(0))).alias("held"),
+    ).filter(F.size("held") > 0)
+    named = held.withColumn("names", _names_of(F.col("held"))).withColumn("whole", _whole_names(F.col("held")))
+    again = F.array_distinct(F.regexp_extract_all("text", every_with(F.col("names")), F.lit(0)))
+    each = named.select(
+        "id", "hash", "whole", F.explode(F.when(F.size("names") > 0, again).otherwise(F.col("held"))).alias("mention")
     )
-    typed = held.withColumn("kind", type_of(F.col("mention")))
-    return typed.withColumn("normal", normal_form(F.col("mention"), F.col("kind")))
+    typed = each.withColumn("kind", type_of(F.col("mention")))
+    normal = normal_form(F.col("mention"), F.col("kind"))
+    own = F.struct(normal.alias("normal"), F.lit("whole").alias("part"))
+    refers = F.when(F.col("kind") == "name", _referred(F.col("mention"), normal, F.col("whole"))).otherwise(own)
+    return typed.withColumn("refers", refers).select("id", "hash", "mention", "kind", "refers.*")
 
 
 def entities(found: DataFrame) -> DataFrame:
@@ -269,28 +331,33 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     """All rows with every entity in the text replaced, and ``n_entities`` and ``kinds`` (types found, sorted).
 
     Emails, passwords and tokens, access keys, IBANs, IPv4 and IPv6 addresses, numbers of 13 to 19 digits (cards),
-    social security and phone numbers (with separators, or 10 digits and more) and names after a form of address are entities. A surrogate has its entity's type, length of digits and separators,
-    and, for names, gender and script; titles stay. Distinct entities get distinct surrogates, one entity the same
-    everywhere. A NULL text stays NULL with no entities. Rows equal in id and text get the same result. Columns of
-    these names are replaced; an empty table gives an empty result. Without the key nothing leads back to an entity.
+    social security and phone numbers (with separators, or 10 digits and more) and names after a form of address are
+    entities, and so are further mentions of such a name in its document, whole or one of its words, without a form of
+    address; they get the same surrogate or its part. A surrogate has its entity's type, length of digits and
+    separators, and, for names, gender and script; titles stay. Distinct entities get distinct surrogates, one entity
+    the same everywhere. A NULL text stays NULL with no entities. Rows equal in id and text get the same result. Columns
+    of these names are replaced; an empty table gives an empty result. Without the key nothing leads back to an entity.
     """
     rows = materialize(mentions(docs, id_col, text_col), "mentions")
     names = materialize(assign(materialize(entities(rows), "entities"), key), "surrogates")
     known = names.select(F.col("kind").alias("of"), F.col("normal").alias("form"), "new")
-    new = rendered(F.col("mention"), F.col("kind"), F.col("normal"), F.col("new"))
+    new = rendered(F.col("mention"), F.col("kind"), F.col("normal"), F.col("new"), F.col("part"))
+    bare = (F.col("kind") == "name") & (untitled(F.col("mention")) == F.col("mention"))
     per_doc = (
         rows.join(known, (F.col("kind") == F.col("of")) & (F.col("normal") == F.col("form")))
         .select(F.col("id").alias("own_id"), F.col("hash").alias("own_hash"), "kind", "mention", new.alias("new"))
         .distinct().groupBy("own_id", "own_hash")
         .agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("by_mention"),
-             F.sort_array(F.collect_set("kind")).alias("kinds"))
+             F.sort_array(F.collect_set("kind")).alias("kinds"),
+             F.collect_set(F.when(bare, F.col("mention"))).alias("names"))
     )
     text = F.col("row").getField(text_col)
     packs = docs.select(packed(docs), F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("hash"))
     told = packs.join(per_doc, all_equal([F.col("id"), F.col("hash")], [F.col("own_id"), F.col("own_hash")]), "left")
-    held = F.regexp_extract_all(text, F.lit(EVERY), F.lit(0))
+    every = every_with(F.coalesce("names", F.array().cast("array<string>")))
+    held = F.regexp_extract_all(text, every, F.lit(0))
     pieces = F.zip_with(
-        F.split(text, EVERY, -1), held,
+        F.split(text, every, -1), held,
         lambda piece, mention: F.concat(piece, F.coalesce(F.element_at("by_mention", mention), F.lit(""))),
     )
     return unpacked(
