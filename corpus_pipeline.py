@@ -32,8 +32,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    return near_dedup.near_duplicates(docs).filter("kept").select(*docs.columns)
+    """Of each group of near copies one row stays: the smallest id (NULL last), then the smallest hash of the text."""
+    return near_dedup.without_near_duplicates(docs)
 
 
 def drop_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,3 +79,20 @@ def test_stages_keep_the_columns_and_odd_rows(spark, stage):
     if stage is not cp.identify_language:
         assert kept.filter(F.col("doc_id") > 900000).count() == 4
     assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    words = [" ".join(f"w{g}x{k}" for k in range(60)) for g in range(6)]
+    near = [w + " end" for w in words]
+    rows = [
+        (1, words[0], "a"), (1, words[0], "a"), (1, words[0], "b"), (7, near[0], "a"),  # repeated rows of the smallest id
+        (2, words[1], "a"), (2, near[1], "a"),  # two near copies under one id
+        (None, words[2], "a"), (None, words[2], "a"), (None, near[2], "a"),  # no ids at all
+        (None, words[3], "a"), (9, near[3], "a"), (5, words[4], "a"), (6, words[5], "a"), (6, words[5], "a"),
+        (8, "", "a"), (8, "", "a"), (None, None, "a"), (None, None, "a"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    kept = cp.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted(r.doc_id or 0 for r in kept if r.text) == [0, 1, 2, 5, 6, 9]
+    assert sorted(r.text.split(" ")[0] for r in kept if r.text) == [f"w{g}x0" for g in range(6)]
+    assert len([r for r in kept if not r.text]) == 4 and {tuple(r) for r in kept} <= set(rows)

@@ -126,6 +126,8 @@ class _Search:
     """Steps of one search for links; each keeps what later steps read in the shared folder."""
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, width: int, similarity: int) -> None:
+        if not 80 <= similarity <= 100:
+            raise ValueError("similarity must be between 80 and 100 percent")
         self.width, self.similarity = width, similarity
         small_batches(docs.sparkSession)
         self.texts = docs.select(
@@ -275,6 +277,28 @@ class _Search:
         return self._kept(links.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), "open-links")
 
 
+def _same_set():
+    return (F.col("set_a") == F.col("a")) & (F.col("set_b") == F.col("b")) & (F.col("n") == F.col("size"))
+
+
+def _settled(search: _Search, *more: str) -> DataFrame:
+    """Every set of shingles with the smallest id of its component: ``a, b, size, component``, and ``label`` if asked."""
+    labels = search.labels().toDF("own", "label")
+    labelled = search._kept(
+        search.classes.join(labels, F.col("node") == F.col("own"), "left")
+        .withColumn("label", F.coalesce("label", "node")).select("set_a", "set_b", "n", "label", "least_id"),
+        "labelled-classes",
+    )
+    least = search._kept(
+        labelled.groupBy(F.col("label").alias("of")).agg(F.min("least_id").alias("component")), "least-ids"
+    )
+    return search._kept(
+        labelled.join(least, F.col("label") == F.col("of")).select(
+            F.col("set_a").alias("a"), F.col("set_b").alias("b"), F.col("n").alias("size"), "component", *more
+        ), "components",
+    )
+
+
 def near_duplicates(
     docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -288,27 +312,10 @@ def near_duplicates(
     are NULL or have no words are linked with nothing. Rows equal in id and text get the same result; a NULL id counts
     as larger than any other. Columns with the names of results are replaced; an empty table gives an empty result.
     """
-    if not 80 <= similarity <= 100:
-        raise ValueError("similarity must be between 80 and 100 percent")
     search = _Search(docs, id_col, text_col, width, similarity)
-    labels = search.labels().toDF("own", "label")
-    classes = search.classes
-    labelled = search._kept(
-        classes.join(labels, F.col("node") == F.col("own"), "left")
-        .withColumn("label", F.coalesce("label", "node")).select("set_a", "set_b", "n", "label", "least_id"),
-        "labelled-classes",
-    )
-    least = search._kept(
-        labelled.groupBy(F.col("label").alias("of")).agg(F.min("least_id").alias("component")), "least-ids"
-    )
-    settled = search._kept(
-        labelled.join(least, F.col("label") == F.col("of")).select(
-            F.col("set_a").alias("a"), F.col("set_b").alias("b"), F.col("n").alias("size"), "component"
-        ), "components",
-    )
-    same = (F.col("set_a") == F.col("a")) & (F.col("set_b") == F.col("b")) & (F.col("n") == F.col("size"))
+    settled = _settled(search)
     found = search._kept(
-        search.signed.select("id", "hash", "n", "set_a", "set_b").join(settled, same, "left")
+        search.signed.select("id", "hash", "n", "set_a", "set_b").join(settled, _same_set(), "left")
         .select(F.col("id").alias("own_id"), F.col("hash").alias("own_hash"), "n", "component")
         .dropDuplicates(["own_id", "own_hash"]), "found",
     )
@@ -319,3 +326,41 @@ def near_duplicates(
         told, docs.columns,
         replaced={"n_shingles": F.col("n"), "component_id": component, "kept": F.col("id").eqNullSafe(component)},
     )
+
+
+def without_near_duplicates(
+    docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of which one stays per component of ``near_duplicates``, with the columns of ``docs``.
+
+    It is the row with the smallest id (NULL last), then the smallest hash of its text; of rows equal in both, one
+    stays. Rows without words are linked with nothing and all stay.
+    """
+    search = _Search(docs, id_col, text_col, width, similarity)
+    found = search._kept(
+        search.signed.select("id", "hash", "n", "set_a", "set_b").join(_settled(search, "label"), _same_set(), "left")
+        .groupBy(F.col("id").alias("own_id"), F.col("hash").alias("own_hash"))
+        .agg(F.max("n").alias("n"), F.max("component").alias("component"), F.max("label").alias("label"),
+             F.count("*").alias("copies")), "found",
+    )
+    first = found.filter(F.col("n") > 0).filter(F.col("own_id").eqNullSafe(F.col("component"))).groupBy("label").agg(
+        F.max("component").alias("own_id"), F.min("own_hash").alias("least_hash"),
+        F.min_by("copies", "own_hash").alias("copies"),
+    )
+    alone = found.filter("n = 0").select("own_id", "own_hash", F.lit(1).cast("bigint").alias("copies"))
+    stays = search._kept(
+        first.select("own_id", F.col("least_hash").alias("own_hash"), "copies").unionByName(alone), "stays"
+    )
+    rows = docs.select(packed(docs), F.col(id_col).cast("bigint").alias("id"), text_hash(F.col(text_col)).alias("hash"))
+    told = rows.join(stays, all_equal([F.col("id"), F.col("hash")], [F.col("own_id"), F.col("own_hash")]))
+    if not stays.filter("copies > 1").isEmpty():
+        # The number that tells equal rows apart is stored, so that it is the same wherever it is read.
+        told = materialize(
+            told.select("row", "id", "hash", "copies", F.monotonically_increasing_id().alias("number")), "first-rows"
+        )
+        repeated = told.filter("copies > 1")
+        least = repeated.groupBy("id", "hash").agg(F.min("number").alias("least")).select("least")
+        told = told.filter("copies = 1").unionByName(
+            repeated.join(least, F.col("number") == F.col("least"), "left_semi")
+        )
+    return unpacked(told, docs.columns, replaced={})
