@@ -71,3 +71,17 @@ def test_one_verdict_none_and_empty(spark):
 def test_entropy(spark, text):
     told = spark.createDataFrame([(text,)], "t string").select(entropy(F.col("t"))).first()[0]
     assert told == pytest.approx(sum(-n / len(text) * math.log2(n / len(text)) for n in Counter(text).values()))
+
+
+def test_a_url_of_many_rows_leaves_room_for_others(spark):
+    rng = random.Random(4)
+    good = [f"https://site{k}.com/news/{rng.randrange(9)}" for k in range(300)]
+    bad = [f"http://x-{rng.randrange(10**9)}.bad/a/b/c/{rng.randrange(10**12)}?q=1&r=2&s=3" for _ in range(300)]
+    asked = ["https://other.org/news/4", "http://y-183746512.org/a/b/c/918273645546?q=1&r=2&s=3"]
+    hashed = spark.createDataFrame([(u,) for u in good + bad], "url string").orderBy(F.xxhash64("url"))
+    hot = hashed.first().url
+    rows = list(enumerate([hot] * 400 + good + bad + asked))
+    rules = [("allow", "com", "/"), ("block", "bad", "/")]
+    found = judge_urls(spark.createDataFrame(rows, SCHEMA), rules, train_rows=150).collect()
+    assert len(found) == len(rows)
+    assert [r.verdict for r in sorted(found, key=lambda r: r.page_id)[-2:]] == ["allow", "block"]

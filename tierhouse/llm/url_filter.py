@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from ..operators.staging import materialize
 from .common import ascii_lower, packed, unpacked
 
-# Most labelled URLs that the trees are trained on, by hash order.
+# Most distinct labelled URLs of each label that the trees are trained on, by hash order.
 TRAIN_ROWS = 200_000
 # Weight of the overall rate in a suffix's rate, in rows.
 PRIOR_ROWS = 20.0
@@ -79,7 +79,8 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
 
 
 def _rates(labelled: DataFrame, suffix: str, overall: float) -> DataFrame:
-    rate = (F.sum("label") + F.lit(PRIOR_ROWS * overall)) / (F.count("*") + F.lit(PRIOR_ROWS))
+    blocked = F.sum(F.col("label") * F.col("weight"))
+    rate = (blocked + F.lit(PRIOR_ROWS * overall)) / (F.sum("weight") + F.lit(PRIOR_ROWS))
     return materialize(
         labelled.groupBy(F.col(suffix).alias(f"{suffix}_key")).agg(rate.alias(f"{suffix}_rate")), f"{suffix}-rates"
     )
@@ -97,11 +98,25 @@ def _assembled(urls: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame, rates: dict[str, DataFrame], overall: float, train_rows: int) -> GBTClassificationModel:
-    """Trees from the URLs with a rule's verdict, at most ``train_rows`` of them."""
-    sample = labelled.orderBy(F.xxhash64("url"), "url").limit(train_rows)
-    ready = materialize(_with_rates(sample, rates, overall).select("label", *FEATURES), "url-sample")
-    trees = GBTClassifier(labelCol="label", maxIter=10, maxDepth=3, stepSize=0.3, maxBins=32, seed=7)
-    return trees.fit(_assembled(ready).select("features", F.col("label").cast("double").alias("label")))
+    """Trees from the distinct URLs with a rule's verdict, at most ``train_rows`` of each label.
+
+    A URL weighs as many rows as it has, and the labels keep their shares of all labelled rows.
+    """
+    order = [F.xxhash64("url"), F.col("url")]
+    parts = [labelled.filter(F.col("label") == y).orderBy(*order).limit(train_rows) for y in (0, 1)]
+    sample = _with_rates(parts[0].unionByName(parts[1]), rates, overall).select("label", "weight", *FEATURES)
+    ready = materialize(sample, "url-sample")
+    all_rows, taken = (
+        {r.label: r.weight for r in df.groupBy("label").agg(F.sum("weight").alias("weight")).collect()}
+        for df in (labelled, ready)
+    )
+    share = F.when(F.col("label") == 1, all_rows[1] / taken[1]).otherwise(all_rows[0] / taken[0])
+    trees = GBTClassifier(
+        labelCol="label", weightCol="weight", maxIter=10, maxDepth=3, stepSize=0.3, maxBins=32, seed=7
+    )
+    return trees.fit(_assembled(ready).select(
+        "features", F.col("label").cast("double").alias("label"), (F.col("weight") * share).alias("weight")
+    ))
 
 
 def judge_urls(
@@ -121,13 +136,15 @@ def judge_urls(
     ruled = split.withColumn("found", matching_rule(F.col("host"), F.col("path"), rules))
     traits = lexical(F.col("url"), F.col("host"), F.col("path"))
     labelled = materialize(
-        ruled.filter(F.col("found").isNotNull()).select(
-            "url", (F.col("found.verdict") == "block").cast("int").alias("label"),
-            *(c.alias(n) for n, c in traits.items()),
-        ),
+        ruled.filter(F.col("found").isNotNull())
+        .groupBy("url", "host", "path", (F.col("found.verdict") == "block").cast("int").alias("label"))
+        .agg(F.count("*").cast("double").alias("weight"))
+        .select("url", "label", "weight", *(c.alias(n) for n, c in traits.items())),
         "labelled-urls",
     )
-    blocked, known = labelled.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
+    blocked, known = labelled.agg(
+        F.coalesce(F.sum(F.col("label") * F.col("weight")), F.lit(0.0)), F.coalesce(F.sum("weight"), F.lit(0.0))
+    ).first()
     results = {
         "host": F.col("host"), "path": F.col("path"), "rule": F.col("found.rule"),
         "verdict_by": F.when(F.col("found").isNotNull(), "rule").otherwise("method"),
