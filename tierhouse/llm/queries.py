@@ -5,7 +5,9 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from . import bpe, cover_tree, decontamination, language_id, line_dedup, near_dedup, sharding, surrogates, toxicity, url_filter
+from . import (bpe, cover_tree, decontamination, language_id, line_dedup, merkle, near_dedup, sharding, surrogates, toxicity,
+               url_filter)
+from .common import ascii_lower
 from .registry import query, table
 
 SHARDS = 16
@@ -217,3 +219,90 @@ def op3_top_k(spark: SparkSession, folder: str) -> DataFrame:
     scaled = F.when(whole, F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)))
     vectors = table(spark, folder, "embeddings").select("vec_id", scaled.alias("vector"))
     return cover_tree.nearest(vectors, 5, F.col("vec_id") % 50 == 0)
+
+
+MERKLE_LEVELS = 6  # of the SQL: groups of up to 16 ** 6 nodes
+
+
+def _merkle_levels(name: str, first: str) -> str:
+    """Common tables ``{name}0`` to ``{name}6``: the nodes per level, a single one is carried on as it is."""
+    steps = [f"{name}0 AS ({first})"]
+    for i in range(MERKLE_LEVELS):
+        steps.append(f"""{name}{i + 1} AS (
+  SELECT g, r // 16 AS r, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY r)) END AS h,
+    (any_value(n) + 15) // 16 AS n, string_agg(h, '' ORDER BY r) AS joined, any_value(n) > 1 AS hashed
+  FROM {name}{i} GROUP BY g, r // 16)""")
+    return ",\n".join(steps)
+
+
+def _merkle_fold(name: str, first: str) -> str:
+    """Common tables that fold the column ``f`` of ``first`` upwards along the path of each row, and gather the siblings."""
+    steps, before = [], first
+    for i in range(MERKLE_LEVELS):
+        spot = f"(d.r // {16**i} % 16)"
+        steps.append(f"""{name}_up{i + 1} AS (
+  SELECT d.* REPLACE (CASE WHEN a.hashed THEN sha256(concat(substr(a.joined, 1, 64 * {spot}), d.f,
+      substr(a.joined, 64 * {spot} + 65))) ELSE d.f END AS f,
+    CASE WHEN a.hashed THEN concat(d.p, substr(a.joined, 1, 64 * {spot}), substr(a.joined, 64 * {spot} + 65)) ELSE d.p END AS p)
+  FROM {before} d JOIN {name}{i + 1} a ON d.g IS NOT DISTINCT FROM a.g AND d.r // {16 ** (i + 1)} = a.r)""")
+        before = f"{name}_up{i + 1}"
+    return ",\n".join(steps)
+
+
+def _leaf_sql(text: str) -> str:
+    parts = ", ".join(
+        f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(octet_length(encode({c}::VARCHAR)), ':', {c}::VARCHAR) END"
+        for c in ("doc_id", "source", "lang", "n_chars", text)
+    )
+    return f"sha256(concat({parts}))"
+
+
+CRC_TABLE_SQL = """SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n)
+    ORDER BY n) AS t FROM range(256) AS r(n)"""
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of ASCII text by the table column ``t`` of ``CRC_TABLE_SQL``."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295)"
+
+
+MERKLE_SQL = f"""
+WITH crc_table AS ({CRC_TABLE_SQL}),
+leaves AS (
+  SELECT doc_id, source AS g, {_leaf_sql('text')} AS leaf, CASE WHEN {crc_sql('doc_id::VARCHAR')} % 5 = 0
+    THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+    ELSE {_leaf_sql('text')} END AS f
+  FROM documents, crc_table
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY g) AS n,
+    '' AS p
+  FROM leaves
+), {_merkle_levels('rows', 'SELECT g, r, leaf AS h, n FROM ranked')},
+{_merkle_fold('rows', 'ranked')},
+subroots AS (
+  SELECT 0 AS g, g AS source, h AS subroot, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS r, count(*) OVER () AS n
+  FROM rows{MERKLE_LEVELS}
+), {_merkle_levels('tops', 'SELECT g, r, subroot AS h, n FROM subroots')},
+paths AS (
+  SELECT 0 AS g, s.r, d.doc_id, d.leaf, s.subroot, d.f, d.p
+  FROM rows_up{MERKLE_LEVELS} d JOIN subroots s ON d.g IS NOT DISTINCT FROM s.source
+), {_merkle_fold('tops', 'paths')}
+SELECT doc_id, leaf, subroot, h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = h AS verified
+FROM tops_up{MERKLE_LEVELS} JOIN (SELECT h FROM tops{MERKLE_LEVELS}) ON true
+"""
+
+
+@query(MERKLE_SQL)
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Manifest of all documents, and what the proofs say of texts a fifth of which was lower-cased."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = table(spark, folder, "documents").select(*columns)
+    altered = merkle.digest_of([*map(F.col, columns[:-1]), ascii_lower(F.col("text"))])
+    tampered = F.when(_remainder(5) == 0, altered)
+    rows = merkle.manifest(docs, columns, "source", "doc_id", {"tampered": tampered})
+    end = merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        end.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
