@@ -5,8 +5,8 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from . import (bpe, cover_tree, decontamination, language_id, line_dedup, merkle, near_dedup, sharding, surrogates, toxicity,
-               url_filter)
+from . import (bpe, conversation_repair, cover_tree, decontamination, language_id, line_dedup, merkle, near_dedup, sharding,
+               surrogates, toxicity, url_filter)
 from .common import ascii_lower
 from .registry import query, table
 
@@ -306,3 +306,98 @@ def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
         end.alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _form_sql() -> tuple[str, str, str]:
+    """Rows of the form's tables: states with insertions before a row, edits of a row, ends."""
+    r = conversation_repair
+    moves, edits = [], []
+    for state in range(4):
+        now, roles = state, []
+        for k in range(3):
+            lines = ", ".join(f"'{x}:'" for x in roles)
+            moves.append(f"({state}, {now}, {r.INSERT * k}, '{'I' * k}', [{lines}]::VARCHAR[])")
+            roles.append("user" if r.ADDED[now] == "u" else "assistant")
+            now = r.AFTER[now, r.ADDED[now]]
+        edits.append(f"({state}, {state}, 'D', {r.DELETE}, NULL, NULL)")
+        role = r.ADDED[state]
+        edits.append(f"({state}, {r.AFTER[state, role]}, 'R', {r.REROLE}, NULL, '{'user' if role == 'u' else 'assistant'}')")
+        edits += [f"({state}, {end}, 'K', 0, '{c}', NULL)" for (s, c), end in r.AFTER.items() if s == state]
+    ends = []
+    for state in range(4):
+        lines = ", ".join("'user:'" if c == "u" else "'assistant:'" for c in r.FINISH[state][1::2])
+        ends.append(f"({state}, {r.FINISH_COST[state]}, '{r.FINISH[state][::2]}', [{lines}]::VARCHAR[])")
+    return ", ".join(moves), ", ".join(edits), ", ".join(ends)
+
+
+_MOVES, _EDITS, _ENDS = _form_sql()
+CONVERSATION_SQL = f"""
+WITH RECURSIVE crc_table AS ({CRC_TABLE_SQL}),
+moves(s, mid, cost, letters, added) AS (VALUES {_MOVES}),
+edits(mid, s, letter, cost, initial, given) AS (VALUES {_EDITS}),
+ends(s, cost, letters, added) AS (VALUES {_ENDS}),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      {crc_sql("concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))")} % 20 AS h
+    FROM conversations, crc_table)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(concat(octet_length(encode(role)), ':', role, text)), copy) AS i,
+    substr(role, 1, 1) AS c, rtrim(text, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))) AS body
+  FROM damaged
+), told AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1
+      THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS pair
+  FROM placed
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+    max(i) AS n
+  FROM told GROUP BY conv_id
+), best AS (
+  SELECT conv_id, n AS i, s, {{'cost': cost, 'audit': letters, 'lines': added}} AS b FROM counted, ends
+  UNION ALL
+  SELECT t.conv_id, t.i - 1, m.s, min({{
+    'cost': m.cost + e.cost + CASE WHEN e.letter <> 'D' AND t.fault = 'truncated' THEN {conversation_repair.TRUNCATED} ELSE 0 END + b.b.cost,
+    'audit': concat(m.letters, e.letter, b.b.audit),
+    'lines': list_concat(m.added, CASE WHEN e.letter = 'D' THEN []::VARCHAR[] ELSE [concat(coalesce(e.given, t.role), ':', t.text)] END,
+      b.b.lines)}})
+  FROM best b JOIN told t ON b.conv_id IS NOT DISTINCT FROM t.conv_id AND b.i = t.i JOIN edits e ON e.s = b.s
+    AND (e.initial IS NULL OR e.initial = t.c) AND (e.letter = 'D' OR t.fault NOT IN ('blank', 'duplicate'))
+    JOIN moves m ON m.mid = e.mid
+  GROUP BY t.conv_id, t.i, m.s
+)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.b.cost, 0)::BIGINT AS cost,
+  coalesce(b.b.audit, '') AS audit, sha256(coalesce(array_to_string(b.b.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN counted c ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN best b ON d.conv_id IS NOT DISTINCT FROM b.conv_id AND b.i = 0 AND b.s = 0
+"""
+
+
+def damaged_conversations(rows: DataFrame) -> DataFrame:
+    """Conversations with known faults, by a checksum of id and turn (NULLs count as one space)."""
+    def text(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    h = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    copies = F.when(h == 0, 0).when(h == 3, 2).otherwise(1)
+    changed = F.when(h == 1, "").when(h == 2, F.regexp_replace(text("text"), "[.!?]", "")).otherwise(text("text"))
+    return rows.select(
+        "conv_id", "turn", F.when(h == 4, "user").otherwise(text("role")).alias("role"), changed.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"),
+    ).drop("copy")
+
+
+@query(CONVERSATION_SQL)
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = conversation_repair.repair(damaged_conversations(rows), rows.select("conv_id"))
+    report, digests = fixed.report().alias("r"), fixed.digests().alias("d")
+    met = report.join(digests, F.col("r.conv_id").eqNullSafe(F.col("d.conv_id")))
+    return met.select("r.*", F.col("d.sha256").alias("repaired_sha256"))
