@@ -5,7 +5,7 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from . import (bpe, conversation_repair, cover_tree, decontamination, language_id, line_dedup, merkle, near_dedup, sharding,
+from . import (bpe, conversation_repair, cover_tree, decontamination, language_id, line_dedup, merkle, near_dedup, posting_lists, sharding,
                surrogates, toxicity, url_filter)
 from .common import ascii_lower
 from .registry import query, table
@@ -401,3 +401,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     report, digests = fixed.report().alias("r"), fixed.digests().alias("d")
     met = report.join(digests, F.col("r.conv_id").eqNullSafe(F.col("d.conv_id")))
     return met.select("r.*", F.col("d.sha256").alias("repaired_sha256"))
+
+
+@query()
+def op12_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """Queries: vectors whose id is divisible by 20."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return posting_lists.nearest(vectors, 20, F.col("vec_id") % 20 == 0)
