@@ -29,8 +29,8 @@ LINKS, DOORS = 16, 8
 MOST_COPIES, BOUNDARY = 4, 1.1
 # Share of the sample's nearest vectors that the searched lists shall hold, and sampled queries that decide it.
 AIM, TRIAL_QUERIES = 0.97, 128
-# Bytes of a block of vectors.
-BLOCK_BYTES = 1 << 19
+# Bytes of a block of vectors, and blocks of lists that a block of queries meets in one task, one after the other.
+BLOCK_BYTES, RUN = 1 << 19, 64
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -190,7 +190,8 @@ def _searched(index: Lists):
         for batch in batches:
             if len(batch):
                 rows, lists = index.lists_of(_matrix(batch["vector"]))
-                yield batch.iloc[rows].assign(list=lists)
+                own = np.split(lists.astype(np.int32), np.searchsorted(rows, np.arange(1, len(batch))))
+                yield batch.assign(list=[int(x[0]) for x in own], lists=[np.sort(x) for x in own])
 
     return choose
 
@@ -204,24 +205,74 @@ def _block(rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
+def _asking_block(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = rows.sort_values("entry", kind="stable")
+    lists = rows["lists"].to_list()
+    places = np.concatenate([np.full(len(x), i, dtype=np.int32) for i, x in enumerate(lists)])
+    return pd.DataFrame({
+        "asker": [int(rows["asker"].iloc[0])], "entries": [rows["entry"].to_numpy(dtype=np.int64).tobytes()],
+        "vectors": [_matrix(rows["vector"]).tobytes()], "places": [places.tobytes()],
+        "wanted": [np.concatenate(lists).astype(np.int32).tobytes()], "lists": [np.unique(np.concatenate(lists))],
+    })
+
+
+class _Best:
+    """The ``k`` best entries of each query of a block so far, ties to the smaller first id."""
+
+    def __init__(self, row, k: int) -> None:
+        self.k = k
+        self.askers = np.frombuffer(row.entries, dtype=np.int64)
+        self.queries = np.frombuffer(row.vectors).reshape(len(self.askers), -1)
+        self.largest = np.abs(self.queries)
+        places, wanted = (np.frombuffer(x, dtype=np.int32) for x in (row.places, row.wanted))
+        order = np.argsort(wanted, kind="stable")
+        names, starts = np.unique(wanted[order], return_index=True)
+        self.of = dict(zip(names.tolist(), np.split(places[order], starts[1:]), strict=True))
+        self.held = [(np.empty(0), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))] * len(self.askers)
+        self.worst = np.full(len(self.askers), -np.inf)
+
+    def meet(self, row) -> None:
+        rows = self.of.get(row.list, np.empty(0, dtype=int))
+        entries, firsts = (np.frombuffer(x, dtype=np.int64) for x in (row.entries, row.firsts))
+        vectors = np.frombuffer(row.vectors).reshape(len(entries), -1)
+        scores = self.queries[rows] @ vectors.T
+        # The quick product is rounded in another way than the sums that count.
+        slack = 1e-12 * (self.largest[rows] @ np.abs(vectors).max(axis=0))
+        least = self.worst[rows]
+        if len(entries) > self.k:
+            least = np.maximum(least, np.partition(scores, -self.k, axis=1)[:, -self.k])
+        able = scores >= (least - slack)[:, None]
+        for i in np.nonzero(able.any(axis=1))[0]:
+            place, found = rows[i], np.nonzero(able[i])[0]
+            exact = (vectors[found] * self.queries[place]).sum(axis=1)
+            score, entry, first = (np.concatenate(c) for c in zip(self.held[place], (exact, entries[found], firsts[found])))
+            # An entry that stands in several lists has one score.
+            _, only = np.unique(entry, return_index=True)
+            best = only[np.lexsort((first[only], -score[only]))[: self.k]]
+            self.held[place] = score[best], entry[best], first[best]
+            if len(best) == self.k:
+                self.worst[place] = score[best[-1]]
+
+    def rows(self) -> pd.DataFrame:
+        sizes = [len(h[0]) for h in self.held]
+        score, entry, first = (np.concatenate(c) for c in zip(*self.held, strict=True))
+        return pd.DataFrame({"asker": np.repeat(self.askers, sizes), "entry": entry, "first": first, "score": score})
+
+
 def _compared(k: int):
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The best ``k`` entries of a block for each query of a block, ties to the smaller first id."""
+        """Rows come sorted: a block of queries, then the blocks of lists of its run."""
+        best = None
         for batch in batches:
             for row in batch.itertuples(index=False):
-                entries, firsts, askers = (np.frombuffer(x, dtype=np.int64) for x in (row.entries, row.firsts, row.askers))
-                vectors = np.frombuffer(row.vectors).reshape(len(entries), -1)
-                queries = np.frombuffer(row.queries).reshape(len(askers), -1)
-                scores, out = queries @ vectors.T, []
-                least = np.partition(scores, -k, axis=1)[:, -k] if len(entries) > k else np.full(len(askers), -np.inf)
-                slack = 1e-12 * np.abs(queries) @ np.abs(vectors).max(axis=0)  # the quick product is rounded another way
-                for i in range(len(askers)):
-                    able = np.nonzero(scores[i] >= least[i] - slack[i])[0] if len(entries) > k else np.arange(len(entries))
-                    exact = (vectors[able] * queries[i]).sum(axis=1)
-                    best = np.lexsort((firsts[able], -exact))[:k]
-                    out.append((np.full(len(best), askers[i]), entries[able[best]], firsts[able[best]], exact[best]))
-                asker, entry, first, score = (np.concatenate(c) for c in zip(*out, strict=True))
-                yield pd.DataFrame({"asker": asker, "entry": entry, "first": first, "score": score})
+                if row.list < 0:
+                    if best is not None:
+                        yield best.rows()
+                    best = _Best(row, k)
+                else:
+                    best.meet(row)
+        if best is not None:
+            yield best.rows()
 
     return compare
 
@@ -235,6 +286,20 @@ def _blocks(rows: DataFrame, block_rows: int) -> DataFrame:
     return dealt.select("list", "part", "entry", "first", "vector").groupBy("list", "part").applyInPandas(_block, kinds)
 
 
+def _asking_blocks(rows: DataFrame, block_rows: int) -> DataFrame:
+    """Queries in blocks of about ``block_rows``, with others of the same list or of lists near it.
+
+    Lists are numbered along the cuts, so neighbours have near numbers; a row per list tells how many queries it has.
+    """
+    sizes = rows.groupBy("list").agg(F.count("*").alias("n"))
+    before = Window.orderBy("list").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    place = F.col("before") + F.col("n") * F.pmod(F.xxhash64("entry"), F.lit(1 << 20)) / (1 << 20)
+    dealt = rows.join(F.broadcast(placed), "list").withColumn("asker", F.floor(place / block_rows))
+    kinds = "asker bigint, entries binary, vectors binary, places binary, wanted binary, lists array<int>"
+    return dealt.select("asker", "entry", "vector", "lists").groupBy("asker").applyInPandas(_asking_block, kinds)
+
+
 def _whole(vectors: DataFrame, is_query: Column, id_col: str, vector_col: str) -> DataFrame:
     """Usable rows as ``id, vector, asks``, padded with zeros to one length."""
     vector = F.col(f"`{vector_col}`").cast("array<double>")
@@ -291,25 +356,27 @@ def nearest(vectors: DataFrame, k: int, is_query: Column, id_col: str = "vec_id"
     if watch:
         watch(index)
 
-    fields = "entry bigint, first bigint, vector array<double>, list int"
     block_rows = max(1, BLOCK_BYTES // (8 * dim))
     asked = entries.join(queries.select("key").distinct(), "key", "left_semi")
+    fields = "entry bigint, first bigint, vector array<double>, list int"
     with batches_of(spark, 1000):
         posted = materialize(entries.select("entry", "first", "vector").mapInPandas(_homes(index), fields), "postings")
-        probes = materialize(asked.select("entry", "first", "vector").mapInPandas(_searched(index), fields), "probes")
+        probes = materialize(asked.select("entry", "vector").mapInPandas(
+            _searched(index), "entry bigint, vector array<double>, list int, lists array<int>"), "probes")
     with batches_of(spark, block_rows):
         posting_blocks = materialize(_blocks(posted, block_rows), "posting-blocks")
-        probe_blocks = materialize(_blocks(probes, block_rows).select(
-            "list", F.col("entries").alias("askers"), F.col("vectors").alias("queries")), "probe-blocks")
-    # Every block of queries meets every block of its list; the pairs are dealt by list and block.
-    parts = posting_blocks.groupBy("list").agg(F.count("*").cast("int").alias("parts"))
-    spread = probe_blocks.join(F.broadcast(parts), "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("spot"), "askers", "queries")
-    numbered = posting_blocks.withColumn("spot", F.row_number().over(Window.partitionBy("list").orderBy("part")) - 1)
-    met = spread.join(numbered, ["list", "spot"])
+        askers = materialize(_asking_blocks(probes, block_rows), "asking-blocks")
+    # Which blocks meet, by number; runs of them become tasks.
+    wanted = askers.select("asker", F.explode("lists").alias("list")).join(posting_blocks.select("list", "part"), "list")
+    place = F.row_number().over(Window.partitionBy("asker").orderBy("list", "part")) - 1
+    pairs = wanted.select("asker", "list", "part", F.floor(place / RUN).cast("int").alias("run"))
+    theirs = pairs.join(posting_blocks, ["list", "part"])
+    mine = pairs.select("asker", "run").distinct().join(askers, "asker").withColumn("list", F.lit(-1))
+    both = theirs.unionByName(mine.drop("lists"), allowMissingColumns=True).repartition("asker", "run")
+    ordered = both.sortWithinPartitions("asker", "run", "list", "part")
     with batches_of(spark, 4):
         found = materialize(
-            met.select("askers", "queries", "entries", "firsts", "vectors")
+            ordered.select("list", "entries", "firsts", "vectors", "places", "wanted")
             .mapInPandas(_compared(k + 1), "asker bigint, entry bigint, first bigint, score double"), "found")
 
     once = found.groupBy("asker", "entry", "first").agg(F.max("score").alias("score"))
