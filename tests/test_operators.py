@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import Window
@@ -236,8 +237,11 @@ def test_scd1_upsert_twice_is_once(spark, rows):
 
 
 def test_scd1_upsert_refuses_two_source_rows(spark):
-    with pytest.raises(op.RuleViolation):
-        op.scd1_upsert(dimension(spark), batch(spark, ("A", 1, ""), ("A", 2, "")), ["product_key"], ["cost"])
+    twice = batch(spark, ("A", 1, ""), ("A", 2, ""))
+    with pytest.raises(Exception, match="unique"):
+        op.scd1_upsert(dimension(spark), twice, ["product_key"], ["cost"]).collect()
+    with pytest.raises(Exception, match="unique"):
+        op.scd2_merge(dimension(spark), twice, ["product_key"], ["cost"], DAY).collect()
 
 
 def test_scd2_merge(spark, rows):
@@ -258,6 +262,101 @@ def test_scd2_merge(spark, rows):
     assert keyed.agg(F.max("product_key_sk"), F.count_distinct("product_key_sk")).first()[:] == (10, 10)
 
 
+def test_merges_read_and_shuffle_each_side_once(spark, tmp_path):
+    source = batch(spark, ("A", 12, "Road"), ("B", 20, "Road"), ("E", 60, None))
+    dimension(spark).write.parquet(str(tmp_path / "target-side"))
+    source.write.parquet(str(tmp_path / "source-side"))
+    target, source = (spark.read.parquet(str(tmp_path / f"{n}-side")) for n in ("target", "source"))
+    for merged in (
+        op.scd1_upsert(target, source, ["product_key"], ["cost"], "is_current"),
+        op.scd2_merge(target, source, ["product_key"], ["cost"], DAY),
+    ):
+        plan = plan_text(merged, "simple")
+        assert [plan.count(w) for w in ("FileScan parquet", "Exchange hashpartitioning", "Join")] == [2, 1, 0]
+
+
+@pytest.mark.parametrize("min_rows", [40, 10**6])
+def test_upsert_with_frequent_keys(spark, rows, min_rows):
+    """Keys with very many target rows, with and without a source row, and rows without a key."""
+    target = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, 8).when(F.col("id") % 6 == 2, F.col("id")).alias("k"),
+        F.lit("old").alias("v"), (F.col("id") % 2 == 0).alias("open"),
+    )
+    source = spark.createDataFrame([(7, "new"), (2, "new"), (5000, "new"), (None, "lost"), (9, "new")], "k BIGINT, v STRING")
+    got = op.scd1_upsert(target, source, ["k"], ["v"], "open", min_rows=min_rows)
+    counts = {(r["k"], r["v"]): r["count"] for r in got.groupBy("k", "v").count().where("k < 10 OR k > 4000 OR k IS NULL").collect()}
+    assert counts == {
+        (7, "new"): 500, (7, "old"): 500, (8, "old"): 1001, (2, "new"): 1, (5000, "new"): 1, (None, "lost"): 1,
+        (None, "old"): 500, (9, "new"): 1,
+    }
+
+
+CHANGE = "k STRING, at INT, v STRING, gone BOOLEAN"
+HISTORY = "id INT, k STRING, v STRING, w STRING, begins INT, ends INT, current BOOLEAN"
+
+
+def applied(target, changes, min_rows=10**6):
+    return op.scd2_apply_changes(target, changes, ["k"], "at", "gone", "begins", "ends", "current", min_rows)
+
+
+def plain_history(events):
+    """Versions and empty ranges of (key, sequence, value or None for a delete)."""
+    out = []
+    for key in {e[0] for e in events}:
+        mine = sorted({e[1]: e for e in events if e[0] == key}.values(), key=lambda e: e[1])
+        for i, (_, at, value) in enumerate(mine):
+            following = mine[i + 1][1] if i + 1 < len(mine) else None
+            if value is not None:
+                out.append((key, value, at, following, following is None))
+            elif i == 0 or mine[i - 1][2] is None:
+                out.append((key, None, at, at, False))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("min_rows", [15, 10**6])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_changes_in_any_order_give_one_history(spark, seed, min_rows):
+    dice = random.Random(seed)
+    events = {(dice.choice("aaaab"), at): None if dice.random() < 0.3 else f"v{at}" for at in range(60)}
+    events = [(k, at, v) for (k, at), v in events.items()]
+    dice.shuffle(events)
+    known = spark.createDataFrame([], HISTORY)
+    for part in (events[:20], events[10:25], events[25:50], events[40:], events[:5]):
+        rows = [(k, at, v, v is None) for k, at, v in part]
+        known = op.materialize(applied(known, spark.createDataFrame(rows, CHANGE), min_rows))
+    got = sorted((tuple(r) for r in known.select("k", "v", "begins", "ends", "current").collect()), key=str)
+    assert got == plain_history(events)
+
+
+def test_changes_splice_correct_and_end_versions(spark, rows):
+    target = spark.createDataFrame(
+        [(1, "a", "one", "x", 10, 20, False), (2, "a", "two", "x", 20, None, True), (3, None, "lost", "x", 1, None, True),
+         (4, "b", "only", "y", 10, None, True), (5, "c", "odd", "z", None, None, None)], HISTORY)
+    changes = spark.createDataFrame(
+        [("a", 15, "late", False), ("a", 20, "right", False), ("a", 15, "late", False), ("b", 30, None, True),
+         ("d", 5, None, True), ("a", 1, "first", False), ("c", 7, "new", None)], CHANGE)
+    got = applied(target, changes)
+    assert got.dtypes == target.dtypes
+    want = [
+        (None, "a", "first", None, 1, 10, False), (1, "a", "one", "x", 10, 15, False), (None, "a", "late", None, 15, 20, False),
+        (2, "a", "right", "x", 20, None, True), (3, None, "lost", "x", 1, None, True), (4, "b", "only", "y", 10, 30, False),
+        (None, "d", None, None, 5, 5, False), (5, "c", "odd", "z", None, None, None), (None, "c", "new", None, 7, None, True),
+    ]
+    assert rows(got) == sorted(want, key=lambda r: [(v is not None, str(v)) for v in r])
+    assert rows(applied(got, changes)) == rows(got)
+    later = applied(got, spark.createDataFrame([("d", 2, "early", False)], CHANGE)).where("k = 'd'")
+    assert rows(later) == [(None, "d", "early", None, 2, 5, False)]
+
+
+def test_changes_that_cannot_be_applied(spark):
+    target = spark.createDataFrame([], HISTORY)
+    for bad in ([("a", 1, "x", False), ("a", 1, "y", False)], [("a", 1, "x", False), ("a", 1, None, True)],
+                [(None, 1, "x", False)], [("a", None, "x", False)]):
+        with pytest.raises(Exception, match="two different changes|a change lacks"):
+            applied(target, spark.createDataFrame(bad, CHANGE)).collect()
+    assert applied(target, spark.createDataFrame([], CHANGE)).isEmpty()
+
+
 def test_scd2_merge_corrects_on_the_same_day(spark, rows):
     first = op.scd2_merge(dimension(spark), batch(spark, ("B", 21, "Road")), ["product_key"], ["cost"], DAY)
     second = op.scd2_merge(first, batch(spark, ("B", 22, "Road")), ["product_key"], ["cost"], DAY)

@@ -2,8 +2,8 @@
 
 from .layout import cluster, compact, file_summary, files_of, sized_for_write, with_curve_key
 from .lookups import broadcast_limit, fits_broadcast, hot_keys, lookup, lookup_all
-from .merging import delete_where, scd1_upsert, scd2_merge, snapshot_diff
-from .numbering import fill_keys, next_value, surrogate_key
+from .merging import delete_where, paired, scd1_upsert, scd2_apply_changes, scd2_merge, snapshot_diff
+from .numbering import fill_keys, neighbours, next_value, surrogate_key
 from .quality import (Rule, RuleViolation, amount_mismatches, apply_rules, dates_in_order, duplicate_keys, enforce,
                       expect, expect_or_drop, expect_or_fail, negative_amounts, null_counts, require_unique,
                       rule_report)

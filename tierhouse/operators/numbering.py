@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,36 +64,54 @@ def surrogate_key(
     )
 
 
-def next_value(
+def neighbours(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    value: str,
-    name: str,
+    values: Mapping[str, tuple[str, int]],
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add ``name``: ``value`` of the next row with the same ``keys`` in ascending ``order``.
+    """Add columns of other rows with the same ``keys``: name to (column, steps ahead in ascending ``order``).
 
     Ordinary keys use a window per key. Keys with very many rows are numbered across partitions
-    and each row is joined to the one with the following number.
+    and each row is joined to the ones with the wanted numbers.
     """
     keys, order = list(keys), list(order)
     window = Window.partitionBy(*keys).orderBy(*order)
+
+    def in_window(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({n: F.lead(c, s).over(window) for n, (c, s) in values.items()})
+
     hot = hot_keys(df, keys, min_rows)
     if not hot:
-        return df.withColumn(name, F.lead(value).over(window))
+        return in_window(df)
 
     is_hot = key_hash(keys).isin(list(hot))
-    usual = df.where(~is_hot).withColumn(name, F.lead(value).over(window))
     numbered = surrogate_key(df.where(is_hot), [*keys, *order], "__n", rows=sum(hot.values()))
-    following = numbered.select(
-        (F.col("__n") - 1).alias("__m"), F.col(value).alias(name), *[F.col(k).alias(f"__k_{k}") for k in keys]
-    )
-    match = F.col("__n") == F.col("__m")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    chained = numbered.join(following, match, "left").select(*df.columns, name)
-    return usual.unionByName(chained)
+    chained = numbered
+    for step in sorted({s for _, s in values.values()}):
+        taken = {n: c for n, (c, s) in values.items() if s == step}
+        other = numbered.select(
+            (F.col("__n") - step).alias("__m"), *[F.col(k).alias(f"__near{i}") for i, k in enumerate(keys)],
+            *[F.col(c).alias(n) for n, c in taken.items()],
+        )
+        match = F.col("__n") == F.col("__m")
+        for i, k in enumerate(keys):
+            match = match & F.col(k).eqNullSafe(F.col(f"__near{i}"))
+        chained = chained.join(other, match, "left").drop("__m", *[f"__near{i}" for i in range(len(keys))])
+    return in_window(df.where(~is_hot)).unionByName(chained.select(*df.columns, *values))
+
+
+def next_value(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str,
+    min_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Add ``name``: ``value`` of the next row with the same ``keys`` in ascending ``order``."""
+    return neighbours(df, keys, order, {name: (value, 1)}, min_rows)
 
 
 def fill_keys(df: DataFrame, name: str, order: Sequence[str | Column]) -> DataFrame:

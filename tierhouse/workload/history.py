@@ -139,6 +139,38 @@ def scd2_merge(spark, folder):
     return op.scd2_merge(target, source, ["p_partkey"], ["p_name", "cost"], _DAY)
 
 
+@query(
+    """WITH log AS (
+    SELECT event_id, user_id, event_type, CASE WHEN event_id % 9 <> 4 THEN value END AS value, event_type <> 'error' AS live,
+      lead(event_id) OVER w AS next_id, lag(event_type) OVER w AS before FROM events
+    WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+  SELECT user_id, CASE WHEN live THEN event_type END AS event_type, CASE WHEN live THEN value END AS value,
+    event_id AS start_id, CASE WHEN live THEN next_id ELSE event_id END AS end_id, live AND next_id IS NULL AS is_current
+  FROM log WHERE live OR before IS NULL OR before = 'error'"""
+)
+def scd2_apply_changes(spark, folder):
+    """The history of every user from a log of changes that arrives in three batches, out of order.
+
+    The second batch repeats half of the first one, the third one is older than what is known and corrects a column; an
+    error deletes its user.
+    """
+    events = table(spark, folder, "events").select("user_id", "event_type", "value", "event_id")
+    kinds = "user_id BIGINT, event_type STRING, value DOUBLE, start_id BIGINT, end_id BIGINT, is_current BOOLEAN"
+    known = spark.createDataFrame([], kinds)
+    right = F.when(F.col("event_id") % 9 != 4, F.col("value"))
+    wrong = F.when(F.col("event_id") % 3 == 2, right).otherwise(F.col("value"))
+    batches = [
+        events.withColumn("value", wrong).where("event_id % 4 <> 1 AND event_id % 5 < 3"),
+        events.withColumn("value", wrong).where("event_id % 4 <> 1 AND (event_id % 5 > 2 OR event_id % 2 = 0)"),
+        events.withColumn("value", right).where("event_id % 4 = 1 OR event_id % 9 = 4"),
+    ]
+    for batch in batches:
+        known = op.scd2_apply_changes(
+            known, batch, ["user_id"], "event_id", "event_type = 'error'", "start_id", "end_id"
+        )
+    return known
+
+
 _VERSIONED = _PARTS + """, changed AS (
     SELECT s.*, row_number() OVER (ORDER BY s.p_partkey) + (SELECT count(*) FROM target) AS product_sk
     FROM source s LEFT JOIN target t ON s.p_partkey = t.p_partkey AND t.is_current
