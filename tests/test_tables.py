@@ -39,9 +39,23 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     assert [tuple(r) for r in found.orderBy("CID").collect()] == [("AW1", "Germany"), ("AW2", "1x")]
     with pytest.raises(ValueError, match="no column name"):
         sources.read_csv(spark, str(tmp_path / "a"), "CID STRING, name STRING")
-    write_csv(tmp_path / "a", "more.csv", "cid,CNTRY,extra", "AW3,France,3")
-    with pytest.raises(Exception, match="(?i)header"):
-        sources.read_csv(spark, str(tmp_path / "a"), "CID STRING, CNTRY STRING").collect()
+    write_csv(tmp_path / "a", "more [1].csv", "cid,CNTRY", "AW3,France")
+    (tmp_path / "a" / "none.csv").write_text("")
+    both = sources.read_csv(spark, str(tmp_path / "a"), "CID STRING, CNTRY STRING", metadata=True)
+    assert [tuple(r)[:2] for r in both.orderBy("CID").collect()] == [("AW1", "Germany"), ("AW2", "1x"), ("AW3", "France")]
+    assert both.where("CID = 'AW3' AND _source_file LIKE '%more%'").count() == 1
+    write_csv(tmp_path / "a", "wrong.csv", "cid,place", "AW4,Spain")
+    with pytest.raises(ValueError, match="no column CNTRY"):
+        sources.read_csv(spark, str(tmp_path / "a"), "CID STRING, CNTRY STRING")
+    assert sources.read_csv(spark, str(tmp_path / "a"), "CID STRING, CNTRY STRING", "absent*").isEmpty()
+
+
+def test_first_lines_of_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sources.files, "_FILES_PER_JOB", 3)
+    for i in range(8):
+        write_csv(tmp_path, f"f{i}.csv", f"h{i % 3},\"a,b\"", "1,2", "3,4")
+    found = sources.header_manifest(spark, str(tmp_path), "f*.csv")
+    assert {pathlib.PurePath(f).name: h for f, h in found.items()} == {f"f{i}.csv": f"h{i % 3},\"a,b\"" for i in range(8)}
 
 
 def test_bad_rows_are_kept_or_fail(spark, tmp_path):
@@ -57,11 +71,67 @@ def test_bad_rows_are_kept_or_fail(spark, tmp_path):
 
 
 def test_stream_finds_columns_by_name_and_keeps_bad_rows(spark, tmp_path):
-    write_csv(tmp_path / "in", "a.csv", "name,id", "x,1", "y,z")
-    stream = streaming.stream_csv(spark, str(tmp_path / "in"), "id INT, name STRING")
-    streaming.ingest_new_files(stream, str(tmp_path / "memory"), path=str(tmp_path / "out"))
-    found = spark.read.parquet(str(tmp_path / "out"))
-    assert sorted((r["name"], r["id"], r["_bad_record"]) for r in found.collect()) == [("x", 1, None), ("y", None, "y,z")]
+    files, sink = tmp_path / "in", streaming.Sink(path=str(tmp_path / "out"))
+
+    def load():
+        streaming.ingest_files(spark, str(files), "id INT, name STRING", str(tmp_path / "memory"), sink)
+        found = spark.read.parquet(str(tmp_path / "out"))
+        return sorted((r["name"], r["id"], r["_bad_record"], r["_batch"]) for r in found.collect())
+
+    write_csv(files, "a.csv", "name,id", "x,1", "y,z")
+    write_csv(files, "b.csv", "id,more,name", "2,m,v")
+    first = [("v", 2, None, 0), ("x", 1, None, 0), ("y", None, "y,z", 0)]
+    assert load() == first
+    write_csv(files, "c.csv", "more,NAME,id", "m,w,3")
+    assert load() == sorted([*first, ("w", 3, None, 1)])
+
+
+def test_a_failed_batch_comes_again_and_is_written_once(spark, tmp_path):
+    files, out = tmp_path / "in", str(tmp_path / "out")
+    sink, tries = streaming.Sink(path=out), []
+    write_csv(files, "a.csv", "id", "1", "2")
+
+    def process(batch, number):
+        rows = sources.read_csv(batch.sparkSession, [r["path"] for r in batch.collect()], "id INT")
+        sink.put(rows, number)
+        tries.append(number)
+        if len(tries) == 1:
+            raise RuntimeError("lost after the write")
+
+    def run():
+        streaming.run_batches(streaming.stream_files(spark, str(files)), str(tmp_path / "memory"), process)
+
+    with pytest.raises(Exception, match="lost after the write"):
+        run()
+    run()
+    run()
+    assert tries == [0, 0]
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+def test_rules_on_a_stream(spark, tmp_path):
+    files, memory = tmp_path / "in", str(tmp_path / "memory")
+    sinks = [streaming.Sink(path=str(tmp_path / name)) for name in ("kept", "dropped", "counts")]
+    rules = [op.expect("named", "name IS NOT NULL"), op.expect_or_drop("positive", "id > 0"), op.expect_or_fail("small", "id < 100")]
+
+    def load():
+        streaming.ingest_files(spark, str(files), "id INT, name STRING", memory, sinks[0], rules=rules,
+                               quarantine=sinks[1], metrics=sinks[2])
+        return [spark.read.parquet(s.path) for s in sinks]
+
+    write_csv(files, "a.csv", "id,name", "1,a", "-1,", "2,")
+    load()
+    write_csv(files, "b.csv", "name,id", "c,3")
+    kept, dropped, counts = load()
+    assert sorted((r["id"], r["_batch"]) for r in kept.collect()) == [(1, 0), (2, 0), (3, 1)]
+    assert [(r["id"], r["_violated"], r["_batch"]) for r in dropped.collect()] == [(-1, ["named", "positive"], 0)]
+    told = sorted((r["_batch"], r["rule"], r["action"], r["checked"], r["violations"]) for r in counts.collect())
+    assert told == [(0, "named", "warn", 3, 2), (0, "positive", "drop", 3, 1), (0, "small", "fail", 3, 0),
+                    (1, "named", "warn", 1, 0), (1, "positive", "drop", 1, 0), (1, "small", "fail", 1, 0)]
+    write_csv(files, "c.csv", "id,name", "4,d", "500,e")
+    with pytest.raises(Exception, match="small violated"):
+        load()
+    assert kept.count() == 3 and spark.read.parquet(sinks[2].path).count() == 6
 
 
 def test_ingest_all(spark, tmp_path):
@@ -85,8 +155,8 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     write_csv(files, "prd_1.csv", "id,name", "7,x")
 
     def load():
-        stream = streaming.stream_csv(spark, str(files), "id INT, name STRING", "cust_*.csv", files_per_batch=1)
-        streaming.ingest_new_files(stream, memory, path=out)
+        sink = streaming.Sink(path=out)
+        streaming.ingest_files(spark, str(files), "id INT, name STRING", memory, sink, "cust_*.csv", files_per_batch=1)
         return sorted(r["id"] for r in spark.read.parquet(out).collect())
 
     assert load() == [1, 2]
@@ -94,18 +164,28 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     write_csv(files, "cust_2.csv", "id,name", "3,c")
     assert load() == [1, 2, 3]
     with pytest.raises(ValueError):
-        streaming.ingest_new_files(streaming.stream_csv(spark, str(files), "id INT"), memory)
+        streaming.Sink("a.table", out)
 
 
 def test_ingest_sources_into_tables(spark, tmp_path):
-    write_csv(tmp_path / "erp", "PX_CAT_G1V2.csv", "ID,CAT,SUBCAT,MAINTENANCE", "AC_BR,Accessories,Racks,Yes")
+    write_csv(tmp_path / "erp_1", "PX_CAT_G1V2.csv", "ID,CAT,SUBCAT,MAINTENANCE", "AC_BR,Accessories,Racks,Yes")
     sources.init_layers(spark, {"stream_zone": "x"})
     wanted = [sources.source("erp_px_cat_g1v2")]
-    for _ in range(2):
-        streaming.ingest_sources(
-            spark, {"erp": str(tmp_path / "erp")}, "stream_zone", str(tmp_path / "checkpoints"), wanted
-        )
+    rules = {"erp_px_cat_g1v2": [op.expect_or_drop("has_id", "length(ID) > 0")]}
+
+    def load():
+        folders = {"erp": str(tmp_path / "erp_*")}
+        streaming.ingest_sources(spark, folders, "stream_zone", str(tmp_path / "checkpoints"), wanted, rules=rules)
+
+    load()
+    load()
     assert spark.table("stream_zone.erp_px_cat_g1v2").count() == 1
+    write_csv(tmp_path / "erp_2", "PX_CAT_G1V2.csv", "CAT,ID,MAINTENANCE,SUBCAT", "Bikes,BI_MB,No,Mountain", "None,,No,x")
+    load()
+    assert spark.table("stream_zone.erp_px_cat_g1v2").where("ID = 'BI_MB' AND CAT = 'Bikes' AND _batch = 1").count() == 1
+    assert [r["CAT"] for r in spark.table("stream_zone.erp_px_cat_g1v2_dropped").collect()] == ["None"]
+    counts = spark.table("stream_zone.erp_px_cat_g1v2_rules").orderBy("_batch").collect()
+    assert [(r["checked"], r["violations"]) for r in counts] == [(1, 0), (2, 1)]
 
 
 # --- catalog -------------------------------------------------------------------------------

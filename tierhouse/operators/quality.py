@@ -7,10 +7,10 @@ as a violation. Fail rules apply to the rows that survive the drop rules.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 WARN, DROP, FAIL = "warn", "drop", "fail"
@@ -53,15 +53,28 @@ def expect_or_fail(name: str, condition: str) -> Rule:
     return Rule(name, condition, FAIL)
 
 
-def _survives(rules: Iterable[Rule]) -> Column:
+def survives(rules: Iterable[Rule]) -> Column:
+    """Whether a row passes all drop rules."""
     drops = [r.holds for r in rules if r.action == DROP]
     return functools.reduce(Column.__and__, drops, F.lit(True))
 
 
+def violated(rules: Sequence[Rule]) -> Column:
+    """Names of the rules that a row violates."""
+    names = [F.when(~r.holds, F.lit(r.name)) for r in rules]
+    return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
+
+
+def rule_counts(spark: SparkSession, rules: Sequence[Rule], counts: Mapping[str, int]) -> DataFrame:
+    """Observed counts as in ``rule_report``: one row per rule with checked rows and violations."""
+    lines = [(r.name, r.action, counts["rows"], counts[r.name]) for r in rules]
+    return spark.createDataFrame(lines, "rule STRING, action STRING, checked BIGINT, violations BIGINT")
+
+
 def _violations(rules: Sequence[Rule]) -> list[Column]:
-    survives = _survives(rules)
+    passes = survives(rules)
     return [
-        F.count_if(survives & ~r.holds if r.action == FAIL else ~r.holds).alias(r.name) for r in rules
+        F.count_if(passes & ~r.holds if r.action == FAIL else ~r.holds).alias(r.name) for r in rules
     ]
 
 
@@ -73,13 +86,13 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Observ
     """
     counts = Observation()
     watched = df.observe(counts, F.count(F.lit(1)).alias("rows"), *_violations(rules))
-    survives = _survives(rules)
-    keep = survives
+    passes = survives(rules)
+    keep = passes
     for rule in rules:
         if rule.action == FAIL:
             # Raises by itself for surviving rows only, wherever the optimizer moves the filter.
             stop = F.raise_error(F.lit(f"rule {rule.name} violated: {rule.condition}")).cast("boolean")
-            keep = keep & F.when(survives & ~rule.holds, stop).otherwise(F.lit(True))
+            keep = keep & F.when(passes & ~rule.holds, stop).otherwise(F.lit(True))
     return watched.where(keep), counts
 
 
@@ -87,11 +100,11 @@ def enforce(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Check the fail rules now, in one pass; returns the rows that survive the drop rules."""
     fails = [r for r in rules if r.action == FAIL]
     if fails:
-        found = df.where(_survives(rules)).agg(*[F.count_if(~r.holds).alias(r.name) for r in fails]).first()
+        found = df.where(survives(rules)).agg(*[F.count_if(~r.holds).alias(r.name) for r in fails]).first()
         counts = {r.name: found[r.name] for r in fails if found[r.name]}
         if counts:
             raise RuleViolation(counts)
-    return df.where(_survives(rules))
+    return df.where(survives(rules))
 
 
 def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -1,3 +1,3 @@
 """Incremental ingestion."""
 
-from .ingest import ingest_new_files, ingest_sources, stream_csv
+from .ingest import Sink, ingest_files, ingest_sources, put_checked, run_batches, stream_files, stream_rules

@@ -13,7 +13,7 @@ from ..functions import interleave_bits
 from ..plans import warehouse
 from ..sources import (SOURCES, bad_records, describe, detail, drop_table, field_types, get_properties, plan_text,
                        preview, read_csv, read_table, unset_properties, with_ingest_metadata, write_table)
-from ..streaming import ingest_new_files, stream_csv
+from ..streaming import Sink, ingest_files, stream_rules
 from .bronze import bronze, with_layers
 from .registry import query, table
 
@@ -47,23 +47,81 @@ def csv_ingest(spark, folder):
 
 @query(
     """SELECT * REPLACE (CAST(o_orderdate AS date) AS o_orderdate,
-      CASE WHEN o_orderkey % 7 <> 3 THEN o_totalprice END AS o_totalprice), o_orderkey % 7 = 3 AS is_bad FROM orders"""
+      CASE WHEN o_orderkey % 7 <> 3 THEN o_totalprice END AS o_totalprice), o_orderkey % 7 = 3 AS is_bad,
+    CAST(CASE WHEN o_orderdate >= DATE '1998-01-01' THEN 1 ELSE 0 END AS bigint) AS batch
+  FROM orders WHERE o_orderstatus <> 'P'"""
 )
 def stream_ingest(spark, folder):
-    """Orders through CSV files in another column order and two runs of the incremental load: each file counts once.
+    """Orders through CSV files of three column orders in two runs of the incremental load: each file counts once.
 
-    Rows with a malformed price are kept with their line.
+    Rows with a malformed price are kept with their line. Files of another name hold the pending orders and are left out.
     """
     files, target, memory = (op.scratch_path(spark, f"orders-{part}") for part in ("csv", "table", "checkpoint"))
     orders = table(spark, folder, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
-    early = F.col("o_orderdate") < dt.date(1998, 1, 1)
     price = F.when(F.col("o_orderkey") % 7 == 3, "n/a").otherwise(F.col("o_totalprice").cast("string"))
-    shown = orders.withColumn("o_totalprice", price).select(*reversed(orders.columns))
-    for delivery in (early, ~early):
-        shown.where(delivery).write.mode("append").option("header", "true").csv(files)
-        ingest_new_files(stream_csv(spark, files, _ORDERS, "*.csv"), memory, path=target)
+    shown = orders.withColumn("o_totalprice", price)
+    early, pending = F.col("o_orderdate") < dt.date(1998, 1, 1), F.col("o_orderstatus") == "P"
+    names = orders.columns
+
+    def deliver(rows, columns, ending):
+        rows.select(*columns).write.mode("append").option("header", "true").option("compression", ending).csv(files)
+
+    deliver(shown.where(pending), names, "gzip")
+    for first, last in ((names, list(reversed(names))), (["surplus", *names[3:], *names[:3]], names)):
+        delivery = shown.where(~pending & (early if first == names else ~early)).withColumn("surplus", F.lit("s"))
+        deliver(delivery.where("o_orderkey % 2 = 0"), first, "none")
+        deliver(delivery.where("o_orderkey % 2 = 1"), last, "none")
+        ingest_files(spark, files, _ORDERS, memory, Sink(path=target), "*.csv")
     loaded = spark.read.parquet(target)
-    return loaded.select(*orders.columns, F.col("_bad_record").isNotNull().alias("is_bad"))
+    return loaded.select(*names, F.col("_bad_record").isNotNull().alias("is_bad"), F.col("_batch").cast("bigint").alias("batch"))
+
+
+_CHECKED = """WITH delivered AS (SELECT o_orderkey, CAST(o_orderkey % 3 // 2 AS bigint) AS batch,
+    NOT o_totalprice > 100000 AS cheap, o_orderpriority = '5-LOW' AS low, o_orderstatus = 'P' AS pending FROM orders) """
+
+
+def _checked_orders(spark, folder):
+    """Orders delivered as parquet files in two batches, under a warning and two drop rules: the three sinks' folders."""
+    files, kept, dropped, counts, memory = (
+        op.scratch_path(spark, f"checked-{part}") for part in ("files", "kept", "dropped", "counts", "checkpoint")
+    )
+    orders = table(spark, folder, "orders")
+    rules = [op.expect("not_cheap", "o_totalprice > 100000"), op.expect_or_drop("not_low", "o_orderpriority <> '5-LOW'"),
+             op.expect_or_drop("settled", "o_orderstatus <> 'P'")]
+    for delivery in ("o_orderkey % 3 < 2", "o_orderkey % 3 = 2"):
+        orders.where(delivery).write.mode("append").parquet(files)
+        stream_rules(spark.readStream.schema(orders.schema).parquet(files), rules, memory, Sink(path=kept),
+                     Sink(path=dropped), Sink(path=counts))
+    return kept, dropped, counts
+
+
+@query(
+    _CHECKED
+    + """SELECT batch, rule, action, (SELECT count(*) FROM delivered d WHERE d.batch = b.batch) AS checked,
+    (SELECT count(*) FILTER (CASE rule WHEN 'not_cheap' THEN cheap WHEN 'not_low' THEN low ELSE pending END)
+      FROM delivered d WHERE d.batch = b.batch) AS violations
+  FROM (SELECT DISTINCT batch FROM delivered) b, (VALUES ('not_cheap', 'warn'), ('not_low', 'drop'), ('settled', 'drop'))
+    AS r(rule, action)"""
+)
+def stream_rules_counts(spark, folder):
+    """Checked rows and violations of each rule in each batch of a stream."""
+    counts = spark.read.parquet(_checked_orders(spark, folder)[2])
+    return counts.select(F.col("_batch").cast("bigint").alias("batch"), "rule", "action", "checked", "violations")
+
+
+@query(
+    _CHECKED
+    + """SELECT o_orderkey, batch, NOT (low OR pending) AS kept, CASE WHEN low OR pending THEN
+    concat_ws(',', CASE WHEN cheap THEN 'not_cheap' END, CASE WHEN low THEN 'not_low' END, CASE WHEN pending THEN 'settled' END)
+    END AS violated FROM delivered"""
+)
+def stream_rules_rows(spark, folder):
+    """Where each order of the stream went: the table, or the quarantine with the rules it violates."""
+    kept, dropped, _ = (spark.read.parquet(path) for path in _checked_orders(spark, folder))
+    batch = F.col("_batch").cast("bigint").alias("batch")
+    passed = kept.select("o_orderkey", batch, F.lit(True).alias("kept"), F.lit(None).cast("string").alias("violated"))
+    names = F.array_join("_violated", ",").alias("violated")
+    return passed.unionByName(dropped.select("o_orderkey", batch, F.lit(False).alias("kept"), names))
 
 
 @query(
