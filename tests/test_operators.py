@@ -435,3 +435,78 @@ def test_counts(spark, rows):
     df = spark.createDataFrame([("x",), ("y",), ("x",)], "g STRING")
     assert [tuple(r) for r in op.group_counts(df, ["g"], "n", ordered=True).collect()] == [("x", 2), ("y", 1)]
     assert rows(op.table_counts({"a": df, "b": df.limit(0)})) == [("a", 3), ("b", 0)]
+
+
+# --- ranges, key maps, distinct counts ---------------------------------------------------------
+
+
+def conflicts_by_sweep(ranges):
+    """Conflicts of (key, low, high or None), the plain way."""
+    out = []
+    for key in {r[0] for r in ranges}:
+        mine = [r for r in ranges if r[0] == key]
+        out += [(key, "inverted", h, lo) for _, lo, h in mine if h is not None and h < lo]
+        latest = None
+        for _, lo, h in sorted((r for r in mine if r[2] is None or r[2] > r[1]), key=lambda r: (r[1], r[2] is None, r[2] or 0)):
+            end = float("inf") if h is None else h
+            if latest is not None and lo < latest:
+                least = min(end, latest)
+                out.append((key, "overlap", lo, None if least == float("inf") else least))
+            elif latest is not None and lo > latest:
+                out.append((key, "gap", latest, lo))
+            latest = end if latest is None else max(latest, end)
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("min_rows", [10, 10**6])
+def test_range_conflicts(spark, min_rows):
+    dice = random.Random(4)
+    ranges = [(dice.choice(["a", "a", "a", "b", None]), lo := dice.randrange(400), dice.choice([None] + [lo + d for d in range(-1, 12)] * 2))
+              for _ in range(300)]
+    df = spark.createDataFrame([*ranges, ("a", None, 5)], "key STRING, low INT, high INT")
+    got = op.range_conflicts(df, ["key"], "low", "high", min_rows=min_rows, chunk_rows=7)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == conflicts_by_sweep(ranges)
+
+
+def test_range_conflicts_of_days(spark, rows):
+    def day(d):
+        return dt.date(2024, 1, d)
+
+    sound = spark.createDataFrame([("a", day(1), day(4)), ("a", day(5), None), ("b", day(1), day(1))],
+                                  "k STRING, start_date DATE, end_date DATE")
+    assert op.range_conflicts(sound, ["k"], inclusive=True).isEmpty()
+    assert rows(op.range_conflicts(sound, ["k"])) == [("a", "gap", day(4), day(5))]
+    assert op.range_conflicts(sound.limit(0), ["k"]).isEmpty()
+
+
+def test_key_map_keeps_numbers(spark, rows, tmp_path):
+    keys = op.KeyMap(spark, ["k"], "number", path=str(tmp_path / "map"))
+    with pytest.raises(LookupError):
+        keys.number(spark.createDataFrame([("a",)], "k STRING"))
+    first = spark.createDataFrame([("m", 3), ("p", 1), (None, 0), ("m", 2)], "k STRING, v INT")
+    assert keys.extend(first, ["v"]) == 2
+    assert rows(keys.known(), "k", "number") == [("m", 2), ("p", 1)]
+    assert keys.extend(first) == 0
+    later = spark.createDataFrame([("a", 1), ("m", 9), ("z", 0), (None, 1)], "k STRING, v INT")
+    assert keys.extend(later) == 2
+    assert rows(keys.number(later), "k", "v", "number") == [(None, 1, None), ("a", 1, 3), ("m", 9, 2), ("z", 0, 4)]
+    assert keys.extend(later.limit(0)) == 0
+
+
+def test_key_map_as_table(spark):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS maps")
+    for expected in (50, 0):
+        assert op.KeyMap(spark, ["id"], "n", table="maps.numbers").extend(spark.range(50)) == expected
+    with pytest.raises(ValueError):
+        op.KeyMap(spark, ["id"], "n")
+
+
+def test_distinct_by_bitmap(spark, rows):
+    df = spark.range(100_000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), F.when(F.col("id") % 11 > 0, F.col("id") % 70_000).alias("k"),
+        F.lit(1).alias("one"),
+    )
+    got = op.distinct_by_bitmap(df, ["g"], "k", "n", {"one": "rows"})
+    assert rows(got) == rows(df.groupBy("g").agg(F.countDistinct("k").alias("n"), F.sum("one").alias("rows")))
+    plan = plan_text(got, "simple")
+    assert "Expand" not in plan and "bitmap_construct_agg" in plan

@@ -350,3 +350,55 @@ def test_sized_write_splits_a_hot_value(spark):
     df = spark.range(1000).withColumn("k", F.lit(1))
     plan = op.sized_for_write(df, "k")._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+# --- sizes and filters -------------------------------------------------------------------------
+
+
+def scanned_rows(df):
+    """Rows that the scan of an executed frame put out."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if hasattr(plan, "executedPlan") and "Adaptive" in plan.nodeName() else plan
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_lookup_of_an_absent_key_reads_no_row_group(spark, folder):
+    sources.init_layers(spark, {"filters": "x"})
+    rows = spark.range(20_000).select((F.col("id") * 2).alias("k"), F.uuid().alias("v"))
+    sources.write_table(rows.repartition(2), "filters.with_bloom", path=f"{folder}/b", bloom=["k"])
+    sources.write_table(rows.repartition(2), "filters.without", path=f"{folder}/n")
+    read = {}
+    for name in ("with_bloom", "without"):
+        for key in (5001, 5000):
+            found = spark.table(f"filters.{name}").where(F.col("k") == key)
+            assert len(found.collect()) == (key == 5000)
+            read[name, key] = scanned_rows(found)
+    assert read["with_bloom", 5001] == 0
+    assert read["without", 5001] == 20_000
+    assert 0 < read["with_bloom", 5000] < 20_000
+
+
+def test_files_of_a_wanted_size(spark, folder):
+    rows = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    op.write_files(rows, f"{folder}/sized", 2_000_000)
+    found = op.file_summary(spark, f"{folder}/sized").first()
+    assert found["files"] > 4 and 1_000_000 < found["smallest"] <= found["largest"] < 4_000_000
+    assert spark.read.parquet(f"{folder}/sized").count() == 200_000
+    assert op.rows_within(rows, 2_000_000) == pytest.approx(2_000_000 / op.bytes_per_row(rows), rel=0.1)
+    assert op.bytes_per_row(rows.limit(0)) == 1.0
+
+
+def test_compaction_leaves_large_files_alone(spark, folder):
+    for part, files in (("x", 1), ("y", 9), ("z", 1)):
+        spark.range(30_000).repartition(files).write.parquet(f"{folder}/in/p={part}")
+    spark.range(7).coalesce(1).write.mode("append").parquet(f"{folder}/in/p=z")
+    large = max(r["length"] for r in op.files_of(spark, f"{folder}/in").collect())
+    plan = {r["path"]: r["bin"] for r in op.compaction_plan(spark, f"{folder}/in", large, large // 2).collect()}
+    assert sum(b is not None for b in plan.values()) == 9
+    live = op.compact_small(spark, f"{folder}/in", f"{folder}/out", large, large // 2)
+    assert {p for p, b in plan.items() if b is None} <= set(live) and len(live) < len(plan)
+    assert spark.read.option("recursiveFileLookup", "true").parquet(*live).count() == 90_007
+    assert spark.read.parquet(f"{folder}/out").select("p").distinct().collect()[0]["p"] == "y"
+    untouched = op.compact_small(spark, f"{folder}/in", f"{folder}/none", large, 1)
+    assert set(untouched) == set(plan)

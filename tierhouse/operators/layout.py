@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.curves import bucket_of, interleave_bits
-from .staging import row_hash
+from .staging import row_hash, scratch_path
 
 # Fixed value: compaction aims at files of about 1 GB.
 TARGET_FILE_BYTES = 1 << 30
@@ -55,6 +56,84 @@ def compact(spark: SparkSession, source: str, target: str, file_bytes: int = TAR
         rows.write.parquet(target)
 
 
+def compaction_plan(
+    spark: SparkSession, path: str, file_bytes: int = TARGET_FILE_BYTES, small_below: int | None = None,
+    pattern: str = "*.parquet",
+) -> DataFrame:
+    """What ``compact_small`` does with each file: ``path, folder, length`` and ``bin``, NULL for files left alone.
+
+    Files of less than ``small_below`` bytes (three quarters of ``file_bytes`` unless given) are packed folder by folder
+    into bins of about ``file_bytes``, in the order of their sizes; a small file that is alone in its bin stays.
+    """
+    small_below = file_bytes * 3 // 4 if small_below is None else small_below
+    listed = files_of(spark, path, pattern).select(
+        "path", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"), "length"
+    )
+    small = F.col("length") < small_below
+    before = Window.partitionBy("folder", small).orderBy("length", "path").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.floor(F.coalesce(F.sum("length").over(before), F.lit(0)) / file_bytes)
+    packed = listed.withColumn("bin", F.when(small, place))
+    mates = F.count("*").over(Window.partitionBy("folder", "bin"))
+    return packed.withColumn("bin", F.when(mates > 1, F.col("bin")))
+
+
+def compact_small(
+    spark: SparkSession, source: str, target: str, file_bytes: int = TARGET_FILE_BYTES, small_below: int | None = None
+) -> list[str]:
+    """Pack the small files of a parquet folder into large ones below ``target``; large files are not touched.
+
+    Returns the files that now hold the rows: those left alone, and the new ones. Folders of partitions keep their
+    names below ``target``. The small files stay where they are until the caller, who knows the readers, removes them.
+    Nothing is shuffled: a scan packs the files of a folder up to ``file_bytes`` into a task, which writes one file.
+    """
+    plan = compaction_plan(spark, source, file_bytes, small_below).orderBy("path").collect()  # a row per file
+    session = spark.newSession()
+    for name, value in (("maxPartitionBytes", file_bytes), ("openCostInBytes", 0), ("minPartitionNum", 1)):
+        session.conf.set(f"spark.sql.files.{name}", str(value))
+    packed: dict[str, list[str]] = {}
+    for row in plan:
+        if row["bin"] is not None:
+            packed.setdefault(row["folder"], []).append(row["path"])
+    for folder, files in packed.items():
+        below = "/".join(itertools.takewhile(lambda part: "=" in part, reversed(folder.split("/"))))
+        below = "/".join(reversed(below.split("/")))
+        rows = session.read.option("mergeSchema", "true").parquet(*files)
+        rows.write.mode("append").parquet(f"{target}/{below}" if below else target)
+    kept = [row["path"] for row in plan if row["bin"] is None]
+    return kept + [r["path"] for r in files_of(spark, target).select("path").collect()] if packed else kept
+
+
+# Rows that a size estimate encodes.
+SAMPLED_ROWS = 50_000
+
+
+def bytes_per_row(df: DataFrame, rows: int | None = None) -> float:
+    """Stored bytes of a row, from a random sample that is written and measured.
+
+    ``rows`` is the row count where it is known. Columns that repeat values take less in larger files.
+    """
+    rows = df.count() if rows is None else rows
+    if not rows:
+        return 1.0
+    drawn = df if rows <= SAMPLED_ROWS else df.sample(SAMPLED_ROWS / rows, seed=11)
+    path = scratch_path(df.sparkSession, "row-sample")
+    drawn.repartition(1).write.parquet(path)
+    stored = file_summary(df.sparkSession, path).first()["bytes"]
+    return stored / max(1, df.sparkSession.read.parquet(path).count())
+
+
+def rows_within(df: DataFrame, size: int, rows: int | None = None) -> int:
+    """Rows that take about ``size`` stored bytes; for ``task_rows`` of ``surrogate_key`` and rows per file."""
+    return max(1, int(size / bytes_per_row(df, rows)))
+
+
+def write_files(df: DataFrame, path: str, file_bytes: int = TARGET_FILE_BYTES, rows: int | None = None) -> None:
+    """Write parquet files of about ``file_bytes``, by a row count that comes from the size of encoded rows."""
+    rows = df.count() if rows is None else rows
+    each = rows_within(df, file_bytes, rows)
+    df.repartition(max(1, -(-rows // each))).write.option("maxRecordsPerFile", each * 5 // 4).parquet(path)
+
+
 # Values of a text column that its bucket bounds are taken from.
 SAMPLED_TEXTS = 10_000
 

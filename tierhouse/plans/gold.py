@@ -9,16 +9,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import prefer
+from ..operators.key_maps import KeyMap
 from ..operators.merging import scd2_merge
 from ..operators.numbering import fill_keys, surrogate_key
 from ..operators.staging import materialize
 from ..operators.star import conform, with_dimension_keys
-from ..operators.versions import current_rows, latest_version
+from ..operators.versions import current_rows, latest_version, with_open_version
 from . import labels
 
 
-def dim_customers(customers: DataFrame, erp_customers: DataFrame, erp_locations: DataFrame) -> DataFrame:
-    """CRM customers enriched from ERP; the CRM gender wins unless it is missing."""
+def dim_customers(
+    customers: DataFrame, erp_customers: DataFrame, erp_locations: DataFrame, key_map: KeyMap | None = None
+) -> DataFrame:
+    """CRM customers enriched from ERP; the CRM gender wins unless it is missing.
+
+    With a ``key_map`` a customer keeps the number it once got, otherwise all are numbered anew by id.
+    """
     joined = conform(
         customers,
         [
@@ -37,18 +43,28 @@ def dim_customers(customers: DataFrame, erp_customers: DataFrame, erp_locations:
         "birthdate",
         F.col("created_date").alias("create_date"),
     )
-    return surrogate_key(materialize(shaped), ["customer_id", "customer_number"], "customer_key")
+    return _numbered(materialize(shaped), ["customer_id", "customer_number"], "customer_key", key_map)
+
+
+def _numbered(rows: DataFrame, order: Sequence[str], name: str, key_map: KeyMap | None) -> DataFrame:
+    if key_map is None:
+        return surrogate_key(rows, order, name)
+    key_map.extend(rows, order)
+    return key_map.number(rows)
 
 
 def dim_products(
-    products: DataFrame, categories: DataFrame, versions: str = "latest", extra: tuple[str, ...] = ()
+    products: DataFrame, categories: DataFrame, versions: str = "latest", extra: tuple[str, ...] = (),
+    key_map: KeyMap | None = None,
 ) -> DataFrame:
     """Products with their category.
 
     ``versions``: ``latest`` keeps the newest version per product, ``open`` those without an end
     date, ``all`` every version (facts then join once per version). ``extra`` names further silver
-    columns to carry along.
+    columns to carry along. With a ``key_map`` (latest versions only) a product keeps its number.
     """
+    if key_map is not None and versions != "latest":
+        raise ValueError("a key map needs one row per product")
     if versions == "latest":
         products = latest_version(products, ["product_number"], ["start_date", "product_id"])
     elif versions == "open":
@@ -69,7 +85,7 @@ def dim_products(
         "product_line",
         "start_date",
     )
-    return surrogate_key(materialize(shaped), ["start_date", "product_number", "product_id"], "product_key")
+    return _numbered(materialize(shaped), ["start_date", "product_number", "product_id"], "product_key", key_map)
 
 
 def product_history(
@@ -85,6 +101,17 @@ def product_history(
     return fill_keys(merged, number, [*keys])
 
 
+def product_batch(products: DataFrame) -> DataFrame:
+    """The newest row of each product, as a batch for its history."""
+    newest = latest_version(products, ["product_number"], ["start_date", "product_id"])
+    return newest.select("product_number", "product_id", "category_id", "product_name", "product_cost", "product_line")
+
+
+def first_history(products: DataFrame, effective: dt.date, number: str = "product_key") -> DataFrame:
+    """The versioned product dimension from a first batch: one open version per product."""
+    return surrogate_key(materialize(with_open_version(products, effective)), ["product_number"], number)
+
+
 def fact_sales(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
     """Sales lines with surrogate keys; a line without a matching dimension row keeps NULL.
 

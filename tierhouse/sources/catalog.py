@@ -46,14 +46,18 @@ def write_table(
     partition_by: Sequence[str] = (),
     bucket_by: tuple[int, Sequence[str]] | None = None,
     sized: bool = False,
+    bloom: Sequence[str] = (),
 ) -> None:
     """Write a managed table, or an external one if ``path`` is given.
 
     ``bucket_by`` (number, columns) lets later joins on those columns skip the shuffle. ``sized``
-    balances the output files. A table cannot be overwritten from itself: write the new rows under
+    balances the output files. ``bloom`` names columns that get Bloom filters, so that a lookup of a
+    value that a row group lacks does not read it, also where its range holds the value. A table cannot be overwritten from itself: write the new rows under
     another name or as a new snapshot.
     """
     writer = (sized_for_write(df, *partition_by) if sized else df).write.mode(mode).format(format)
+    for column in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if path:
         writer = writer.option("path", path)
     if partition_by:

@@ -195,6 +195,46 @@ def scd2_refresh(spark, folder):
     return gold.product_history(known, source, _DAY, ["p_partkey"], ["p_name", "cost"], "product_sk")
 
 
+@query(
+    """WITH stays AS (SELECT o_custkey, CAST(o_orderdate AS date) AS low, CASE WHEN o_orderkey % 60 <> 7 THEN
+      CAST(o_orderdate AS date) + CAST(o_orderkey % 91 - 3 AS int) END AS high, o_orderkey FROM orders),
+  swept AS (SELECT *, max(coalesce(high, DATE '9999-12-31')) OVER (PARTITION BY o_custkey
+      ORDER BY low, high IS NULL, high, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest
+    FROM stays WHERE high IS NULL OR high > low),
+  told AS (SELECT o_custkey, 'overlap' AS conflict, low, least(coalesce(high, DATE '9999-12-31'), latest) AS high
+    FROM swept WHERE low < latest
+    UNION ALL SELECT o_custkey, 'gap', latest, low FROM swept WHERE low > latest
+    UNION ALL SELECT o_custkey, 'inverted', high, low FROM stays WHERE high < low)
+  SELECT o_custkey, conflict, low, CASE WHEN high < DATE '9999-12-31' THEN high END AS high FROM told"""
+)
+def scd2_overlaps(spark, folder):
+    """Orders as ranges of days per customer, some open and some inverted: where they overlap or leave a gap."""
+    orders = table(spark, folder, "orders")
+    day = F.col("o_orderdate").cast("date")
+    length = (F.col("o_orderkey") % 91 - 3).cast("int")
+    ranges = orders.select(
+        "o_custkey", day.alias("start_date"), F.when(F.col("o_orderkey") % 60 != 7, F.date_add(day, length)).alias("end_date")
+    )
+    return op.range_conflicts(ranges, ["o_custkey"])
+
+
+@query(
+    """WITH numbered AS (SELECT *, row_number() OVER (ORDER BY c_custkey % 3 <> 1, c_custkey) AS customer_key FROM customer)
+  SELECT customer_key, c_custkey, c_name, TRUE AS kept FROM numbered"""
+)
+def stable_keys(spark, folder):
+    """Customers numbered in two loads; the second one adds customers in front of the known ones, which keep their number."""
+    keys = op.KeyMap(spark, ["c_custkey"], "customer_key", path=op.scratch_path(spark, "customer-keys"))
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name")
+    first = customers.where("c_custkey % 3 = 1")
+    keys.extend(first)
+    before = op.materialize(keys.number(first).select("c_custkey", F.col("customer_key").alias("before")), "before")
+    keys.extend(customers)
+    after = op.lookup(keys.number(customers), before, ["c_custkey"], ["before"])
+    kept = F.coalesce(F.col("before") == F.col("customer_key"), F.lit(True))
+    return after.select("customer_key", "c_custkey", "c_name", kept.alias("kept"))
+
+
 @query(
     _PARTS
     + """SELECT p_partkey, count(*) AS current_versions FROM (

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import operators as op
 from ..functions import clean_keys
 from ..operators import (current_rows, group_counts, lookup, orphans, sales_summary, surrogate_key, table_counts,
                          without_orphans)
@@ -235,6 +236,19 @@ def star_sales_views(spark, folder):
     )
 
 
+@query(
+    with_layers(
+        """SELECT CAST(year(order_date) AS int) AS year, CAST(month(order_date) AS int) AS month,
+    count(DISTINCT customer_key) AS customers, CAST(sum(quantity) AS bigint) AS pieces FROM gold_sales GROUP BY ALL"""
+    )
+)
+def distinct_by_bitmap(spark, folder):
+    """Customers per month by merged bitmaps of their numbers."""
+    facts = gold.fact_sales(sales_of(spark, folder), products_of(spark, folder), customers_of(spark, folder))
+    dated = facts.select(F.year("order_date").alias("year"), F.month("order_date").alias("month"), "customer_key", "quantity")
+    return op.distinct_by_bitmap(dated, ["year", "month"], "customer_key", "customers", {"quantity": "pieces"})
+
+
 @query(
     with_layers(
         "SELECT country, count(*) AS customers FROM gold_customers GROUP BY country ORDER BY customers DESC, country"

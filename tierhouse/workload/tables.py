@@ -139,6 +139,23 @@ def compacted(spark, folder):
     return spark.read.parquet(large).select(*orders.columns, F.lit(after < before / 8).alias("fewer_files"))
 
 
+@query("SELECT *, o_orderkey % 2 = 0 AS left_alone, TRUE AS fewer_files FROM orders")
+def compacted_selectively(spark, folder):
+    """Orders in partition folders, half of them in a large file each and half in many small ones: only these are packed."""
+    source, packed = op.scratch_path(spark, "mixed"), op.scratch_path(spark, "packed")
+    orders = table(spark, folder, "orders")
+    for rows, files in ((orders.where("o_orderkey % 2 = 0"), 1), (orders.where("o_orderkey % 2 = 1"), 12)):
+        rows.repartition(files).write.mode("append").partitionBy("o_orderstatus").parquet(source)
+    sizes = [r["length"] for r in op.files_of(spark, source).orderBy("length").collect()]
+    # Three folders with one large file each.
+    live = op.compact_small(spark, source, packed, file_bytes=sizes[-1] * 2, small_below=sizes[-3])
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(*live)
+    file = F.col("_metadata.file_path")
+    told = rows.select("*", F.regexp_extract(file, "o_orderstatus=([^/]*)", 1).alias("o_orderstatus"),
+                       (~file.contains("/packed-")).alias("left_alone"))
+    return told.select(*orders.columns, "left_alone", F.lit(len(live) == 6).alias("fewer_files"))
+
+
 @query("SELECT c_custkey, c_name, TRUE AS narrow FROM customer")
 def clustered_text(spark, folder):
     """Customers laid out by name, whose values share a long beginning: no two files overlap."""
@@ -161,6 +178,18 @@ def clustered(spark, folder):
     return spark.read.parquet(path)
 
 
+@query("SELECT l_orderkey, l_partkey, l_extendedprice, TRUE AS even FROM lineitem")
+def sized_files(spark, folder):
+    """Line items in files of a wanted size, which comes from the size of encoded rows."""
+    path = op.scratch_path(spark, "sized-files")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
+    wanted = int(op.bytes_per_row(lines) * lines.count() / 5)
+    op.write_files(lines, path, wanted)
+    found = op.file_summary(spark, path).first()
+    even = found["smallest"] > wanted / 2 and found["largest"] < wanted * 2
+    return spark.read.parquet(path).withColumn("even", F.lit(even))
+
+
 @query("SELECT * FROM lineitem")
 def sized_write(spark, folder):
     """Line items partitioned by flag, written with balanced tasks."""
