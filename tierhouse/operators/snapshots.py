@@ -1,9 +1,9 @@
-"""Versioned tables: every version is a full snapshot in its own folder, listed in a small log.
+"""Versioned tables: an ordinary parquet table with one partition per version.
 
-The log (``_log`` below the table's path) has one row per commit: version number, commit time, operation, the version
-whose files hold the rows, and their number. Finding a version reads the log alone, and restoring one adds a row that
-points to the old files. An empty table is a version like any other. One writer at a time is assumed: there is no
-commit protocol beyond the one of the file writer.
+Every row carries the commit time and operation of its version, which cost next to nothing in columnar files, and each
+version has one row more that stands for the version itself (``_is_row`` is false), so that an empty table is a version
+like any other. Versions are listed by grouping, found by filtering, and restored by appending the old rows again. One
+writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from .staging import folder_exists
 
 VERSION, COMMITTED, OPERATION = "_version", "_committed_at", "_operation"
-_STORED, _ROWS = "_stored_in", "row_count"
-_LOG = f"{VERSION} BIGINT, {COMMITTED} TIMESTAMP_NTZ, {OPERATION} STRING, {_STORED} BIGINT, {_ROWS} BIGINT"
+_IS_ROW = "_is_row"
+_OWN = f"{COMMITTED} TIMESTAMP_NTZ, {OPERATION} STRING, {_IS_ROW} BOOLEAN"
 # Fixed value: default number of hours a replaced version is kept.
 RETENTION_HOURS = 168
 
@@ -26,44 +26,18 @@ def _moment(value: dt.datetime | str) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
-def _log(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.schema(_LOG).parquet(f"{path}/_log") if folder_exists(spark, f"{path}/_log") else None
+def _rows(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of all versions, without the data: columns of the versions alone are read."""
+    return spark.read.schema(f"{_OWN}, {VERSION} BIGINT").parquet(path)
 
 
-def _files(path: str, version: int) -> str:
-    return f"{path}/{VERSION}={version}"
+def versions(spark: SparkSession, path: str) -> DataFrame:
+    """Version numbers and commit times. Row groups of data are skipped by their statistics."""
+    return _rows(spark, path).where(f"NOT {_IS_ROW}").select(VERSION, COMMITTED)
 
 
 def _last(spark: SparkSession, path: str):
-    known = _log(spark, path)
-    return known.orderBy(F.desc(VERSION)).first() if known is not None else None
-
-
-def _commit(spark: SparkSession, path: str, lines: DataFrame) -> None:
-    lines.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in _LOG.split(", ")]).coalesce(1).write.mode(
-        "append"
-    ).parquet(f"{path}/_log")
-
-
-def _entry(
-    spark: SparkSession, path: str, committed_at: dt.datetime, operation: str, stored: int | None = None,
-    df: DataFrame | None = None,
-) -> int:
-    last = _last(spark, path)
-    if last and committed_at <= last[COMMITTED]:
-        raise ValueError(f"version {last[VERSION]} was committed at {last[COMMITTED]}, not before {committed_at}")
-    version = last[VERSION] + 1 if last else 0
-    if df is not None:
-        df.write.parquet(_files(path, version))
-        stored = version
-    rows = spark.read.parquet(_files(path, stored)).count()  # from file footers
-    _commit(spark, path, spark.createDataFrame([(version, committed_at, operation, stored, rows)], _LOG))
-    return version
-
-
-def versions(spark: SparkSession, path: str) -> DataFrame:
-    """Version numbers and commit times."""
-    return spark.read.schema(_LOG).parquet(f"{path}/_log").select(VERSION, COMMITTED)
+    return versions(spark, path).orderBy(F.desc(VERSION)).first() if folder_exists(spark, path) else None
 
 
 def latest_number(spark: SparkSession, path: str) -> int | None:
@@ -77,19 +51,28 @@ def append_snapshot(df: DataFrame, path: str, committed_at: dt.datetime, operati
 
     A commit time that is not later than that of the newest version is refused.
     """
-    return _entry(df.sparkSession, path, committed_at, operation, df=df)
+    spark = df.sparkSession
+    last = _last(spark, path)
+    if last and committed_at <= last[COMMITTED]:
+        raise ValueError(f"version {last[VERSION]} was committed at {last[COMMITTED]}, not before {committed_at}")
+    version = last[VERSION] + 1 if last else 0
+    own = {COMMITTED: _moment(committed_at), OPERATION: F.lit(operation)}
+    itself = spark.range(1).select(*[c.alias(n) for n, c in own.items()], F.lit(False).alias(_IS_ROW))
+    rows = df.withColumns({**own, _IS_ROW: F.lit(True)}).unionByName(itself, allowMissingColumns=True)
+    # A try that failed before it was committed is replaced.
+    rows.write.mode("overwrite").parquet(f"{path}/{VERSION}={version}")
+    return version
 
 
 def append_snapshots(df: DataFrame, path: str, operation: str = "WRITE") -> None:
     """Write rows that carry their version number and commit time as versions of a new table."""
     spark = df.sparkSession
-    if _log(spark, path) is not None:
+    if _last(spark, path):
         raise ValueError(f"{path} already has versions")
-    df.write.partitionBy(VERSION).parquet(path)
-    found = spark.read.parquet(path).groupBy(VERSION).agg(
-        F.min(COMMITTED).alias(COMMITTED), F.count("*").alias(_ROWS)
-    )
-    _commit(spark, path, found.withColumns({OPERATION: F.lit(operation), _STORED: F.col(VERSION)}))
+    own = {OPERATION: F.lit(operation), _IS_ROW: F.lit(True)}
+    known = df.groupBy(VERSION).agg(F.min(COMMITTED).alias(COMMITTED)).withColumns({**own, _IS_ROW: F.lit(False)})
+    rows = df.withColumns(own).unionByName(known, allowMissingColumns=True)
+    rows.write.partitionBy(VERSION).parquet(path)
 
 
 def version_as_of(spark: SparkSession, path: str, moment: dt.datetime | str) -> int:
@@ -102,13 +85,12 @@ def version_as_of(spark: SparkSession, path: str, moment: dt.datetime | str) ->
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """One version of the table, the newest unless a number is given."""
-    known = spark.read.schema(_LOG).parquet(f"{path}/_log")
-    chosen = known if version is None else known.where(F.col(VERSION) == version)
-    entry = chosen.orderBy(F.desc(VERSION)).first()
-    if entry is None:
-        raise LookupError(f"no version {version}")
-    return spark.read.parquet(_files(path, entry[_STORED])).drop(COMMITTED)
+    """One version of the table, with its own columns; the newest unless a number is given."""
+    number = latest_number(spark, path) if version is None else version
+    folder = f"{path}/{VERSION}={number}"
+    if number is None or not folder_exists(spark, folder):
+        raise LookupError(f"no version {number}")
+    return spark.read.parquet(folder).where(_IS_ROW).drop(COMMITTED, OPERATION, _IS_ROW)
 
 
 def read_as_of(spark: SparkSession, path: str, moment: dt.datetime | str) -> DataFrame:
@@ -118,16 +100,15 @@ def read_as_of(spark: SparkSession, path: str, moment: dt.datetime | str) -> Dat
 
 def history(spark: SparkSession, path: str) -> DataFrame:
     """Versions with commit time, operation and row count, newest first."""
-    known = spark.read.schema(_LOG).parquet(f"{path}/_log")
-    return known.select(VERSION, COMMITTED, OPERATION, _ROWS).orderBy(F.desc(VERSION))
+    grouped = _rows(spark, path).groupBy(VERSION).agg(
+        F.min(COMMITTED).alias(COMMITTED), F.min(OPERATION).alias(OPERATION), F.count_if(_IS_ROW).alias("row_count")
+    )
+    return grouped.orderBy(F.desc(VERSION))
 
 
 def restore(spark: SparkSession, path: str, version: int, committed_at: dt.datetime) -> int:
-    """Make an old version the current one: a new version that points to the old files."""
-    known = spark.read.schema(_LOG).parquet(f"{path}/_log").where(F.col(VERSION) == version).first()
-    if known is None:
-        raise LookupError(f"no version {version}")
-    return _entry(spark, path, committed_at, "RESTORE", stored=known[_STORED])
+    """Make an old version the current one: its rows are appended as a new version."""
+    return append_snapshot(read_version(spark, path, version), path, committed_at, "RESTORE")
 
 
 def expired_versions(
@@ -135,16 +116,10 @@ def expired_versions(
 ) -> DataFrame:
     """Versions a clean-up would remove; lists them and deletes nothing.
 
-    A version expires when it was replaced more than ``retention_hours`` ago; the newest never does, nor does one whose
-    files a version that stays points to.
+    A version expires when it was replaced more than ``retention_hours`` ago; the newest never does.
     """
     cutoff = _moment(now) - F.expr(f"INTERVAL '{int(retention_hours)}' HOUR")
     # One row per version: small whatever the size of the table.
-    by_number = Window.orderBy(VERSION)
-    known = spark.read.schema(_LOG).parquet(f"{path}/_log")
-    marked = known.withColumn("replaced_at", F.lead(COMMITTED).over(by_number)).withColumn(
-        "old", F.coalesce(F.col("replaced_at") < cutoff, F.lit(False))
-    )
-    needed = marked.where(~F.col("old")).select(F.col(_STORED).alias("needed")).distinct()
-    gone = marked.where("old").join(needed, F.col(VERSION) == F.col("needed"), "left_anti")
-    return gone.select(VERSION, COMMITTED, "replaced_at")
+    replaced = F.lead(COMMITTED).over(Window.orderBy(VERSION))
+    known = versions(spark, path).withColumn("replaced_at", replaced)
+    return known.where(F.col("replaced_at") < cutoff).select(VERSION, COMMITTED, "replaced_at")
