@@ -24,12 +24,12 @@ def sales_with_hot_key(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("limit", [None, 0])
-def test_lookup_equals_join(spark, how, limit):
+@pytest.mark.parametrize("min_rows", [None, 1000])
+def test_lookup_equals_join(spark, how, min_rows):
     facts = sales_with_hot_key(spark)
     dimension = spark.range(0, 400).select(F.col("id").alias("natural"), (F.col("id") * 10).alias("surrogate"))
     take = ["surrogate"] if how in ("left", "inner") else []
-    got = op.lookup(facts, dimension, {"key": "natural"}, take, how, limit=limit, min_rows=1000)
+    got = op.lookup(facts, dimension, {"key": "natural"}, take, how, min_rows)
     expected = facts.join(dimension, facts["key"] == dimension["natural"], how).select("id", "key", *take)
     assert got.columns == expected.columns
     assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
@@ -38,7 +38,7 @@ def test_lookup_equals_join(spark, how, limit):
 def test_lookup_with_duplicates_on_the_right(spark):
     facts = sales_with_hot_key(spark)
     doubled = spark.createDataFrame([(7, "a"), (7, "b"), (8, "c"), (None, "d")], "key INT, label STRING")
-    got = op.lookup(facts, doubled, ["key"], {"label": "l"}, limit=0, min_rows=1000)
+    got = op.lookup(facts, doubled, ["key"], {"label": "l"}, min_rows=1000)
     assert got.where("key = 7").count() == 2 * facts.where("key = 7").count()
     assert got.where("key IS NULL AND l IS NOT NULL").isEmpty()
 
@@ -81,21 +81,25 @@ def test_lookup_all_equals_joins(spark):
     steps = [(big, {"key": "natural"}, ["surrogate"]), (small, {"other": "o"}, ["label"])]
     expected = facts.join(big, facts["key"] == big["natural"], "left").join(small, F.col("other") == F.col("o"), "left")
     expected = expected.select("id", "key", "other", "surrogate", "label")
-    for limit in (None, 0):
-        got = op.lookup_all(facts, steps, limit=limit, min_rows=1000)
+    for min_rows in (None, 1000):
+        got = op.lookup_all(facts, steps, min_rows)
         assert got.exceptAll(expected).isEmpty() and got.count() == 30_000
     with pytest.raises(ValueError):
         op.lookup_all(facts, [steps[0], steps[0]])
 
 
-def test_fits_broadcast(spark):
-    df = spark.range(1000)
-    assert op.fits_broadcast(df) and not op.fits_broadcast(df, 1000) and not op.fits_broadcast(df, 0)
-    wide = spark.range(10).select(F.repeat(F.lit("x"), 100_000).alias("text"))
-    assert not op.fits_broadcast(wide, 500_000) and op.fits_broadcast(wide, 2_000_000)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20MB")
-    assert op.broadcast_limit(spark) == 20 << 20
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_lookup_leaves_broadcasts_to_spark(spark, tmp_path):
+    """A small side is broadcast, also one that is spread; a large one is not."""
+    facts = sales_with_hot_key(spark)
+    small = spark.createDataFrame([(7, "a")], "natural INT, label STRING")
+    for min_rows in (None, 1000):
+        got = op.lookup(facts, small, {"key": "natural"}, ["label"], min_rows=min_rows)
+        got.collect()
+        assert "BroadcastHashJoin" in plan_text(got, "simple")
+    spark.range(3_000_000).write.parquet(str(tmp_path / "large"))
+    large = spark.read.parquet(str(tmp_path / "large")).withColumn("label", F.col("id") * 2)
+    got = op.lookup(facts, large, {"key": "id"}, ["label"])
+    assert "SortMergeJoin" in plan_text(got, "simple")
 
 
 # --- numbering -----------------------------------------------------------------------------

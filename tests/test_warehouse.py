@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 import pathlib
 
@@ -186,6 +187,32 @@ def test_checked_refresh(spark, shop, rows):
     assert spark.table("chk_gold.dim_products").where("is_current").count() == 3
 
 
+def test_refresh_with_stable_keys_and_history(spark, shop, rows):
+    """A product that sorts first and a changed cost arrive: numbers stay, the change becomes a version."""
+    day = dt.date(2026, 1, 1)
+    warehouse.refresh(spark, shop, prefix="stable_", stable_keys=True, effective=day)
+    gold_tables = "stable_gold"
+    first = dict(rows(spark.table(f"{gold_tables}.dim_products"), "product_number", "product_key"))
+    assert sorted(first.values()) == [1, 2, 3]
+    assert rows(spark.table(f"{gold_tables}.product_history"), "product_number", "start_date", "is_current") == [
+        (n, day, True) for n in sorted(first)
+    ]
+    path = pathlib.Path(shop["crm"]) / "prd_info.csv"
+    path.write_text(path.read_text() + "9,AC-HE-AA-0000,Visor,3,S,1999-01-01,\n10,AC-HE-HL-U509-R,Helmet,77,S,2014-07-01,\n")
+    for _ in range(2):
+        warehouse.refresh(spark, shop, prefix="stable_", stable_keys=True, effective=day + dt.timedelta(days=30))
+    again = dict(rows(spark.table(f"{gold_tables}.dim_products"), "product_number", "product_key"))
+    assert again == first | {"AA-0000": 4}
+    history = spark.table(f"{gold_tables}.product_history").where("product_number = 'HL-U509-R'")
+    assert rows(history, "start_date", "end_date", "is_current", "product_cost") == [
+        (day, dt.date(2026, 1, 30), False, 14), (dt.date(2026, 1, 31), None, True, 77),
+    ]
+    numbers = [r["product_key"] for r in spark.table(f"{gold_tables}.product_history").collect()]
+    assert sorted(numbers) == [1, 2, 3, 4, 5]
+    facts = spark.table(f"{gold_tables}.fact_sales").where("product_key IS NOT NULL")
+    assert {r["product_key"] for r in facts.collect()} <= set(first.values())
+
+
 def test_a_refresh_leaves_no_scratch_files(spark, shop):
     scratch = pathlib.Path(spark.conf.get("spark.checkpoint.dir")) / "tierhouse"
     before = set(scratch.iterdir()) if scratch.exists() else set()

@@ -3,7 +3,7 @@
 from .key_maps import KeyMap
 from .layout import (bytes_per_row, cluster, compact, compact_small, compaction_plan, file_summary, files_of,
                      rows_within, sized_for_write, with_curve_key, write_files)
-from .lookups import broadcast_limit, fits_broadcast, hot_keys, lookup, lookup_all
+from .lookups import HOT_ROWS, hot_keys, lookup, lookup_all
 from .merging import delete_where, paired, scd1_upsert, scd2_apply_changes, scd2_merge, snapshot_diff
 from .numbering import fill_keys, neighbours, next_value, surrogate_key
 from .quality import (Rule, RuleViolation, amount_mismatches, apply_rules, dates_in_order, duplicate_keys, enforce,

@@ -1,82 +1,30 @@
 """Key lookups that stay balanced when one key, or NULL, holds a large share of the rows.
 
-The looked-up side is broadcast only after its size has been measured. Beyond the limit both
-sides are shuffled, and the few keys that hold very many rows are spread over several
-partitions, with the matching rows of the other side copied once per partition.
+How two sides meet is left to Spark: it broadcasts a side that its statistics show to be small, also at
+run time, and splits skewed partitions of a sort-merge join. Where the rows of single keys are too many even
+so, a sketch finds these keys first; they are spread over several partitions, with the matching rows of the
+other side copied once per partition.
 """
 
 from __future__ import annotations
 
 import functools
 import math
-import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .staging import materialize
-
 # A key with more rows than this is split into parts of about this size.
 HOT_ROWS = 2_000_000
 # Keys that the frequency sketch reports, and keys it tracks while it runs: with these every key
 # with at least a thousandth of the rows is found.
 TOP_KEYS, TRACKED_KEYS = 1000, 10_000
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's own broadcast threshold in bytes (-1 switches broadcasting off)."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    number, unit = re.fullmatch(r"(-?\d+)\s*([a-zA-Z]*)", text.strip()).groups()
-    return int(number) * _UNITS[unit.lower()]
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Upper estimate of the bytes of one row: measured for text, fixed for flat types."""
-    total = F.lit(16)
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            total = total + 8 + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
-        else:
-            total = total + 16
-    return total
-
-
-def _looks_small(df: DataFrame, limit: int) -> bool:
-    """Whether the files and frames that ``df`` is made from stay below ``limit`` bytes together."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())) <= limit
-
-
-def _steps(df: DataFrame) -> set[str]:
-    """Names of the operations that the optimized plan of ``df`` consists of."""
-    return set(re.findall(r"^[\s:+-]*(\w+)", df._jdf.queryExecution().optimizedPlan().toString(), re.MULTILINE))
-
-
-def is_computed(df: DataFrame) -> bool:
-    """Whether evaluating ``df`` takes more than reading, filtering and projecting one input."""
-    return bool(_steps(df) & {"Join", "Aggregate", "Window", "Generate", "Sort", "Distinct", "Union", "Deduplicate",
-                              "RepartitionByExpression", "Repartition", "Expand", "MapInArrow", "MapInPandas"})
-
-
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """Measure whether all rows of ``df`` fit into ``limit`` bytes.
-
-    An input of large files that is read as it is does not, by their sizes. Anything else is summed up on the
-    executors in one pass.
-    """
-    limit = broadcast_limit(df.sparkSession) if limit is None else limit
-    if limit <= 0 or any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in df.schema.fields):
-        return False
-    if not _looks_small(df, limit) and not is_computed(df) and not _steps(df) & {"Filter", "GlobalLimit", "Sample"}:
-        return False
-    return (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= limit
-
-
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows in which none of the columns is NULL (NaN is a value and stays)."""
     return df.where(functools.reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
@@ -134,7 +82,7 @@ def _same_type(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]])
 class _Side:
     """The looked-up rows, cut down to keys and wanted columns, and how they meet the left rows."""
 
-    def __init__(self, left: DataFrame, right: DataFrame, on, take, how: str, limit: int | None):
+    def __init__(self, left: DataFrame, right: DataFrame, on, take, how: str):
         pairs = list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
         take = dict(take) if isinstance(take, Mapping) else {c: c for c in take}
         self.how = how
@@ -144,11 +92,7 @@ class _Side:
         rows = right.select(
             *[k.alias(n) for k, n in zip(right_keys, self.names)], *[F.col(c).alias(n) for c, n in take.items()]
         )
-        rows = not_null(rows, self.names)
-        limit = broadcast_limit(left.sparkSession) if limit is None else limit
-        # Joins and aggregates are not run twice, for measuring and for the join.
-        self.rows = materialize(rows, "looked-up") if limit > 0 and is_computed(rows) else rows
-        self.small = fits_broadcast(self.rows, limit)
+        self.rows = not_null(rows, self.names)
 
     def match(self) -> Column:
         return functools.reduce(Column.__and__, [k == F.col(n) for k, n in zip(self.left_keys, self.names)])
@@ -158,12 +102,11 @@ class _Side:
         return F.when(~_any_null(self.left_keys), key_hash(self.left_keys))
 
     def join(
-        self, left: DataFrame, hot: dict[int | None, int], min_rows: int, spread_by: Sequence[Column]
+        self, left: DataFrame, hot: dict[int | None, int], min_rows: int | None, spread_by: Sequence[Column]
     ) -> DataFrame:
         result = left.columns + self.added
-        if self.small or not hot:
-            rows = F.broadcast(self.rows) if self.small else self.rows
-            return left.join(rows, self.match(), self.how).select(*result)
+        if not hot:
+            return left.join(self.rows, self.match(), self.how).select(*result)
         parts = {h: math.ceil(n / min_rows) for h, n in hot.items()}
         without_key = parts.pop(None, 1)
         keyed, rows, number = left, self.rows, F.lit(1)
@@ -185,30 +128,26 @@ class _Side:
 def lookup_all(
     left: DataFrame,
     steps: Sequence[tuple],
-    limit: int | None = None,
-    min_rows: int = HOT_ROWS,
+    min_rows: int | None = None,
     spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Several lookups into one frame; each step is (right, on, take) or (right, on, take, how).
 
-    All keys are columns of ``left``, so frequent keys of all steps are found in one pass over its key
-    columns (and in none if every looked-up side can be broadcast). A ``left`` that is itself joined or
-    aggregated is then written first, as it would otherwise run twice. Rows of a frequent key are spread by
-    their input partition, the keys of all steps and the ``spread_by`` columns; further columns
-    would have to be read for nothing where the result does not use them.
+    All keys are columns of ``left``. With ``min_rows``, keys with more rows than that are found first, for all steps in
+    one pass over the key columns of ``left``, and spread; so are rows without a key. Give it for large facts that are
+    stored, as a computed ``left`` would run twice (``materialize`` stores one). Rows of a frequent key are spread by
+    their input partition, the keys of all steps and the ``spread_by`` columns; further columns would have to be read
+    for nothing where the result does not use them.
     """
-    sides = [_Side(left, step[0], step[1], step[2], step[3] if len(step) > 3 else "left", limit) for step in steps]
+    sides = [_Side(left, step[0], step[1], step[2], step[3] if len(step) > 3 else "left") for step in steps]
     names = [*left.columns, *[c for side in sides for c in side.added]]
     clash = {n for n in names if names.count(n) > 1}
     if clash:
         raise ValueError(f"columns would occur twice: {sorted(clash)}")
-    large = [side for side in sides if not side.small]
-    if large and is_computed(left):
-        left = materialize(left, "left")  # the sketch then reads the key columns alone
-    found = iter(frequent(left, [side.hash() for side in large], min_rows) if large else [])
+    hot = frequent(left, [side.hash() for side in sides], min_rows) if min_rows else [{} for _ in sides]
     columns = [k for side in sides for k in side.left_keys] + [F.col(c) for c in spread_by]
-    for side in sides:
-        left = side.join(left, {} if side.small else next(found), min_rows, columns)
+    for side, found in zip(sides, hot, strict=True):
+        left = side.join(left, found, min_rows, columns)
     return left
 
 
@@ -218,13 +157,12 @@ def lookup(
     on: Mapping[str, str] | Sequence[str],
     take: Mapping[str, str] | Sequence[str] = (),
     how: str = "left",
-    limit: int | None = None,
-    min_rows: int = HOT_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Join ``right`` to ``left`` on equal keys and add the ``take`` columns.
 
     ``on`` maps left to right key names, ``take`` maps right names to result names. ``how`` is
     left, inner, left_semi or left_anti. A right key that occurs more than once gives one row each,
-    as in any join.
+    as in any join. ``min_rows`` as in ``lookup_all``.
     """
-    return lookup_all(left, [(right, on, take, how)], limit, min_rows)
+    return lookup_all(left, [(right, on, take, how)], min_rows)

@@ -7,22 +7,26 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookups import lookup, lookup_all
+from .lookups import HOT_ROWS, lookup, lookup_all
 
 
-def conform(master: DataFrame, enrichments: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]]) -> DataFrame:
+def conform(
+    master: DataFrame, enrichments: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]],
+    min_rows: int | None = None,
+) -> DataFrame:
     """Master rows with columns of other sources: one left lookup per (source, on, take)."""
-    return lookup_all(master, enrichments)
+    return lookup_all(master, enrichments, min_rows)
 
 
 def with_dimension_keys(
-    facts: DataFrame, dimensions: Sequence[tuple[DataFrame, Mapping[str, str], str]]
+    facts: DataFrame, dimensions: Sequence[tuple[DataFrame, Mapping[str, str], str]], min_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Add the surrogate key of each (dimension, on, key) to the facts; misses stay NULL.
 
-    Only the join columns and the key of a dimension take part.
+    Only the join columns and the key of a dimension take part. Keys with more than ``min_rows`` facts, and facts without
+    a key, are spread; that reads the key columns of the facts once more, so ``facts`` should be stored.
     """
-    return conform(facts, [(dimension, on, {key: key}) for dimension, on, key in dimensions])
+    return conform(facts, [(dimension, on, {key: key}) for dimension, on, key in dimensions], min_rows)
 
 
 def without_orphans(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -76,10 +80,14 @@ def sales_summary(
     order_date: str = "order_date",
     sales: str = "sales_amount",
     order_number: str = "order_number",
+    min_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Sales by country, category, year and month: total, distinct orders, average; largest first."""
+    """Sales by country, category, year and month: total, distinct orders, average; largest first.
+
+    Frequent and missing keys are spread as in ``with_dimension_keys``.
+    """
     joined = lookup_all(
-        facts, [(customers, [customer_key], ["country"]), (products, [product_key], ["category"])]
+        facts, [(customers, [customer_key], ["country"]), (products, [product_key], ["category"])], min_rows
     )
     return top_groups(
         joined,

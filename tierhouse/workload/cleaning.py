@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -256,14 +255,19 @@ def fact_revenue(spark, folder):
 
 @query(
     """SELECT p_partkey, CAST(p_partkey AS varchar) AS text_key, CAST(p_retailprice AS decimal(10, 2)) AS money,
-    CAST(p_size > 25 AS int) AS large, CAST(floor(p_retailprice) AS int) AS whole FROM part"""
+    CAST(p_size > 25 AS int) AS large, CASE WHEN p_size % 4 = 1 THEN 0 ELSE p_size END AS whole,
+    CAST(CASE WHEN p_size % 3 = 2 THEN 0 ELSE p_size END AS decimal(10, 2)) AS price FROM part"""
 )
 def casts(spark, folder):
+    """Numbers from text that is not always one, and casts between types."""
+    size = F.col("p_size")
+    shown = F.when(size % 4 == 1, "none").otherwise(size.cast("string"))
+    priced = F.when(size % 3 == 2, F.lit("n/a")).otherwise(F.concat(size, F.lit(".00")))
     return table(spark, folder, "part").select(
         "p_partkey",
         F.col("p_partkey").cast("string").alias("text_key"),
-        F.coalesce(F.col("p_retailprice").try_cast("decimal(10,2)"), F.lit(Decimal("0.00"))).cast("decimal(10,2)")
-        .alias("money"),
-        (F.col("p_size") > 25).cast("int").alias("large"),
-        F.floor("p_retailprice").cast("int").alias("whole"),
+        fn.to_money(F.col("p_retailprice")).alias("money"),
+        (size > 25).cast("int").alias("large"),
+        fn.to_int(shown).alias("whole"),
+        fn.to_money(priced).alias("price"),
     )
