@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pyspark.sql.functions as F
 import pytest
+from conftest import DATA
 
-from tierhouse.llm import surrogates
+from tierhouse.llm import queries, surrogates  # noqa: F401
+from tierhouse.llm.registry import QUERIES
 from tierhouse.llm.surrogates import assign, pseudonymize
 
 SCHEMA = "doc_id long, text string"
@@ -140,3 +143,70 @@ def test_a_name_again_is_the_same_person(spark):
     known = re.match(r"Frau (\w+) kam. Dann ging (\w+), und Mr. (\w+)'s Hund. (\w+)!$", found[1].text)
     assert known and known[1] == known[2] != "Müller" and known[3] == known[4]
     assert found[2].text == texts[2] and found[2].n_entities == 0
+
+
+def replaced(spark, *texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    return [r.text for r in sorted(pseudonymize(docs, "k").collect(), key=lambda r: r.doc_id)]
+
+
+def test_stacked_and_foreign_titles(spark):
+    texts = ["Prof. Dr. Müller met us. Later Müller left.", "Herr Dr. Weber rief an.", "Frau Prof. Dr. Anna Groß kam.",
+             "Sr. García y Sra. López.", "M. Dupont, Mme Curie et Mlle Petit.", "Frau Dr. med. und M Dupond", "Dear Mr. Dr."]
+    got = replaced(spark, *texts)
+    assert re.fullmatch(r"Prof\. Dr\. (\w+) met us\. Later \1 left\.", got[0])
+    assert re.fullmatch(r"Herr Dr\. \w+tor rief an\.", got[1])
+    assert re.fullmatch(r"Frau Prof\. Dr\. \w+lina \w+ kam\.", got[2])
+    assert re.fullmatch(r"Sr\. \w+tor y Sra\. \w+lina\.", got[3])
+    assert re.fullmatch(r"M\. \w+tor, Mme \w+lina et Mlle \w+lina\.", got[4])
+    assert got[5:] == texts[5:]
+    assert not [n for n in ("Müller", "Weber", "Groß", "Garc", "Dupont", "Curie", "Petit") if n in " ".join(got[:5])]
+
+
+def test_words_that_are_also_in_lower_case_stay(spark):
+    (got,) = replaced(spark, "Mrs. Will Long spoke. A long day: will it rain? Long ago it did. Will Long knew, Mr Long too.")
+    assert re.fullmatch(r"Mrs\. (\w+lina \w+) spoke\. A long day: will it rain\? Long ago it did\. \1 knew, Mr \w+ too\.", got)
+
+
+def test_distinct_words_of_names_stay_distinct(spark):
+    """1,500 people with different surnames: every word of their surrogates is one person's."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    people = [f"{letters[i % 26].upper()}{letters[i // 26 % 26]}u {letters[i // 26 % 26].upper()}{letters[i % 26]}{letters[i // 676]}x"
+              for i in range(1500)]
+    texts = replaced(spark, *[f"Mr {p} came. Mr {p.split(' ')[1]} left" for p in people])
+    told = [re.fullmatch(r"Mr (\w+) (\w+) came\. Mr (\w+) left", t).groups() for t in texts]
+    assert all(last == again for _, last, again in told)
+    assert len({last for _, last, _ in told}) == len({p.split(" ")[1] for p in people}) == 1500
+    assert len({first for first, _, _ in told}) == 1500
+
+
+LONG = {
+    "labels": "a@b" + ".c" * 300_000, "letters": "x" * 1_000_000, "titled": "Mr A" + "b" * 400_000, "hyphens": "Mr " + "A-b" * 100_000,
+    "host": "a@" + "b" * 500_000, "digits": "1" * 500_000, "groups": "1-" * 300_000, "keys": "password=" * 60_000,
+    "marks": "=;" * 300_000 + " token=", "colons": "a:" * 300_000, "capitals": "ABCDEFGH " * 100_000,
+}
+
+
+
+def test_texts_of_a_megabyte(spark):
+    """Unbroken runs of every kind neither end the JVM nor take more than seconds."""
+    docs = spark.createDataFrame(list(enumerate(LONG.values())), SCHEMA).repartition(8)
+    begin = time.monotonic()
+    got = {list(LONG)[r.doc_id]: r for r in pseudonymize(docs, "k").collect()}
+    assert time.monotonic() - begin < 120
+    assert {k for k, r in got.items() if r.n_entities} == {"labels", "titled", "hyphens", "keys"}
+    assert "b" * 50 not in got["titled"].text and "A-b" not in got["hyphens"].text and ".c.c" not in got["labels"].text
+    assert all(got[k].text == LONG[k] for k in ("letters", "host", "digits", "groups", "marks", "colons", "capitals"))
+
+
+def test_query_of_personal_data(spark):
+    """Every row comes back, with the same text wherever nothing was found."""
+    folder = str(DATA / "sf0.001")
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = QUERIES["op7_pii"](spark, folder)
+    assert got.dtypes == [("doc_id", "bigint"), ("text", "string"), ("n_entities", "int"), ("kinds", "array<string>")]
+    rows = {r.doc_id: r for r in got.collect()}
+    assert rows.keys() == docs.keys() and any(r.n_entities for r in rows.values())
+    for key, row in rows.items():
+        assert (row.text == docs[key]) == (row.n_entities == 0 and not row.kinds)
+        assert len(re.findall(r"\w+", row.text)) == len(re.findall(r"\w+", docs[key])) or row.n_entities

@@ -17,10 +17,13 @@ from .common import all_equal, bound, packed, text_hash, unpacked
 
 # Forms of address with the gender they tell (f, m or x for neither).
 TITLES = {
-    "Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Sir": "m", "Madam": "f", "Herr": "m", "Frau": "f", "Monsieur": "m",
-    "Madame": "f", "Mademoiselle": "f", "Señor": "m", "Señora": "f", "Señorita": "f", "Dr": "x", "Prof": "x",
-    "Г-н": "m", "Г-жа": "f",
+    "Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Sir": "m", "Madam": "f", "Herr": "m", "Herrn": "m", "Frau": "f",
+    "Monsieur": "m", "Madame": "f", "Mademoiselle": "f", "Mme": "f", "Mlle": "f", "Señor": "m", "Señora": "f",
+    "Señorita": "f", "Sr": "m", "Sra": "f", "Srta": "f", "Dr": "x", "Dra": "f", "Prof": "x", "Г-н": "m", "Г-жа": "f",
 }
+# One of a single letter, which needs its full stop.
+LETTER_TITLE = {"M": "m"}
+KNOWN = TITLES | LETTER_TITLE
 # Syllables of made-up names by script, and endings by gender.
 SYLLABLES = {
     "latin": "ba be bo da de do fa fi ga go ha he ka ke ko la le li lo ma me mi mo na ne no pa pe ra re ri ro sa se".split(),
@@ -33,9 +36,11 @@ ENDINGS = {
     "greek": {"f": "λινα", "m": "τωρ", "x": "ρεν"},
 }
 
-_TITLE = "(?:" + "|".join(sorted(TITLES, key=len, reverse=True)) + ")"
-# A name without the 's of a possessive.
-_WORD = r"\p{Lu}(?:\p{L}|['’-](?=\p{L})(?!s(?!\p{L})))+"
+# Repeated groups are possessive throughout: Java then runs them in a loop and not by recursion, whatever their length.
+_TITLE = "(?:(?:" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")(?!\p{L})\.?|" + "|".join(LETTER_TITLE) + r"\.)"
+# A name, no title itself, without the 's of a possessive.
+_WORD = rf"(?!{_TITLE}(?!\p{{L}}))\p{{Lu}}(?:\p{{L}}++|['’-](?=\p{{L}})(?!s(?!\p{{L}})))++"
+_TITLED = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE} )++"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _HEXES = r"[0-9A-Fa-f]{1,4}"
 # A key, quoted or not, and what follows it up to white space or a quote, without closing punctuation.
@@ -54,7 +59,8 @@ _PHONES = [
 ]
 # In order: where several fit at one place, the first one holds. Every pattern is a whole entity.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    # The local part begins where its run of characters does, so that a long run is read once.
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "secret": rf"{_KEYED}(?:[\"'](?=[^\s\"']{{6}}){_LETTERS}{_HELD}[\"']?|(?=[^\s\"']{{8}}){_LETTERS}{_HELD})",
     "access_key": r"\bAKIA[0-9A-Z]{16}\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
@@ -65,10 +71,10 @@ PATTERNS = {
             rf"|(?<!\d\.)(?:\d{{13,19}}|\d{{4}}[ -]\d{{6}}[ -]\d{{4,5}}|\d{{4}}(?:[ -]\d{{3}}){{3}})){_TO}",
     "social": rf"{_FROM}\d{{3}}-\d{{2}}-\d{{4}}{_TO}",
     "phone": rf"(?<![\p{{L}}\d])(?<!\d-)(?:{'|'.join(_PHONES)}){_TO}",
-    "name": rf"\b{_TITLE}\.? {_WORD}(?: {_WORD})?",
+    "name": rf"{_TITLED}{_WORD}(?: {_WORD})?+",
 }
 # Every text with an entity has a place that fits this.
-HINT = rf"[0-9@=:]|AKIA|\b{_TITLE}\.? \p{{Lu}}"
+HINT = rf"[0-9@=:]|AKIA|{_TITLED}\p{{Lu}}"
 EVERY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 HEX, DIGITS, UPPER, LOWER = "0123456789abcdef", "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MOST_DRAWS = 20
@@ -83,7 +89,7 @@ def type_of(entity: Column) -> Column:
 
 
 def untitled(mention: Column) -> Column:
-    return F.regexp_replace(mention, rf"^{_TITLE}\.? ", "")
+    return F.regexp_replace(mention, f"^{_TITLED}", "")
 
 
 def normal_form(entity: Column, kind: Column) -> Column:
@@ -151,10 +157,11 @@ def _name(gender: Column, script: Column, numbers: Column, parts: Column, draw:
 
 
 def gender_of(mention: Column) -> Column:
-    told = F.lit("x")
-    for title, gender in TITLES.items():
-        told = F.when(mention.rlike(rf"^{title}\.? "), gender).otherwise(told)
-    return told
+    """The gender that the form of address tells; the first one that tells any counts."""
+    titles = F.split(F.regexp_replace(F.regexp_extract(mention, f"^{_TITLED}", 0), r"\.", ""), " ")
+    told = F.filter(titles, lambda t: t.isin(*[t for t, g in KNOWN.items() if g != "x"]))
+    genders = F.create_map(*[F.lit(x) for t, g in KNOWN.items() for x in (t, g)])
+    return F.coalesce(F.element_at(genders, F.get(told, F.lit(0))), F.lit("x"))
 
 
 def script_of(mention: Column) -> Column:
@@ -206,7 +213,7 @@ def rendered(mention: Column, kind: Column, normal: Column, new: Column, part: C
         )
         return state["out"]
 
-    title = F.regexp_extract(mention, rf"^({_TITLE}\.? )", 1)
+    title = F.regexp_extract(mention, f"^{_TITLED}", 0)
     held = untitled(mention)
     shouted = (F.upper(held) == held) & (F.lower(held) != held)
     new = F.when(part == "first", F.substring_index(new, " ", 1)).when(part == "last", F.substring_index(new, " ", -1)).otherwise(new)
@@ -230,11 +237,16 @@ def every_with(names: Column) -> Column:
     return F.when(F.size(names) > 0, known).otherwise(F.lit(EVERY))
 
 
-def _names_of(held: Column) -> Column:
-    """The ways a document may repeat its titled names: whole, in capitals, and each of their words."""
+def _names_of(held: Column, text: Column) -> Column:
+    """The ways a document may repeat its titled names: whole, in capitals, and each of their words.
+
+    A word that the document also has in lower case is no name where it stands alone.
+    """
     whole = F.transform(F.filter(held, lambda m: m.rlike(f"^(?:{PATTERNS['name']})$")), untitled)
     loud = F.transform(F.filter(whole, lambda n: n.contains(" ")), F.upper)
-    return F.array_distinct(F.concat(whole, loud, F.flatten(F.transform(whole, lambda n: F.split(n, " ")))))
+    each = F.array_distinct(F.concat(whole, loud, F.flatten(F.transform(whole, lambda n: F.split(n, " ")))))
+    plain = F.when(F.size(whole) > 0, F.array_distinct(F.split(text, r"[^\p{L}'’-]+")))
+    return F.filter(each, lambda n: n.contains(" ") | ~F.coalesce(F.array_contains(plain, F.lower(n)), F.lit(False)))
 
 
 def _whole_names(held: Column) -> Column:
@@ -272,7 +284,7 @@ def mentions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.col(id_col).alias("id"), text_hash(text).alias("hash"), text.alias("text"),
         F.array_distinct(F.regexp_extract_all(text, F.lit(EVERY), F.lit(0))).alias("held"),
     ).filter(F.size("held") > 0)
-    named = held.withColumn("names", _names_of(F.col("held"))).withColumn("whole", _whole_names(F.col("held")))
+    named = held.withColumn("names", _names_of(F.col("held"), F.col("text"))).withColumn("whole", _whole_names(F.col("held")))
     again = F.array_distinct(F.regexp_extract_all("text", every_with(F.col("names")), F.lit(0)))
     each = named.select(
         "id", "hash", "whole", F.explode(F.when(F.size("names") > 0, again).otherwise(F.col("held"))).alias("mention")
@@ -299,31 +311,41 @@ def entities(found: DataFrame) -> DataFrame:
     )
 
 
+def _claims(kind: Column, name: Column) -> Column:
+    """What no other entity may have: the whole surrogate, and each word of a name, as it may be mentioned alone."""
+    lowered = F.lower(name)
+    words = F.when(kind == "name", F.split(lowered, " ")).otherwise(F.array().cast("array<string>"))
+    return F.explode(F.array_distinct(F.concat(F.array(lowered), words))).alias("claim")
+
+
 def assign(found: DataFrame, key: str) -> DataFrame:
-    """Entities with surrogates that are all different and none of which is an entity itself."""
+    """Entities with surrogates that are all different, also in each word of names, and none of which is an entity."""
     args = F.col("kind"), F.col("normal"), F.col("gender"), F.col("script"), key
     known = materialize(found.withColumn("new", surrogate(*args, F.lit(0))), "entities")
     done = []
     for draw in range(1, MOST_DRAWS + 1):
         settled = functools.reduce(DataFrame.unionByName, done) if done else known.limit(0)
-        taken = settled.select("kind", F.lower("new").alias("name"), F.lit(0).alias("rank"), F.lit("").alias("by"))
-        real = found.select("kind", F.lower("normal").alias("name"), F.lit(0).alias("rank"), F.lit("").alias("by"))
-        claims = known.select("kind", F.lower("new").alias("name"), F.lit(1).alias("rank"), F.col("normal").alias("by"))
-        winners = materialize(
-            claims.unionByName(taken).unionByName(real).groupBy("kind", "name")
-            .agg(F.min(F.struct("rank", "by")).alias("first"))
-            .select(F.col("kind").alias("of"), "name", F.col("first.rank").alias("rank"), F.col("first.by").alias("by")),
+        taken = settled.select("kind", _claims(F.col("kind"), F.col("new")), F.lit(0).alias("rank"), F.lit("").alias("by"))
+        real = found.select("kind", _claims(F.col("kind"), F.col("normal")), F.lit(0).alias("rank"), F.lit("").alias("by"))
+        claims = known.select("kind", _claims(F.col("kind"), F.col("new")), F.lit(1).alias("rank"), F.col("normal").alias("by"))
+        # A claim is lost to an earlier holder, and else to the smallest entity.
+        contested = materialize(
+            claims.unionByName(taken).unionByName(real).groupBy("kind", "claim")
+            .agg(F.min(F.struct("rank", "by")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+            .select(F.col("kind").alias("of"), F.col("claim").alias("what"), "first"),
             "claims",
         )
-        judged = known.join(
-            winners, (F.col("kind") == F.col("of")) & (F.lower("new") == F.col("name"))
-        ).withColumn("wins", (F.col("rank") == 1) & (F.col("by") == F.col("normal")))
-        judged = materialize(judged.select("kind", "normal", "gender", "script", "new", "wins"), "draws")
+        met = claims.join(contested, (F.col("kind") == F.col("of")) & (F.col("claim") == F.col("what")))
+        losers = met.filter((F.col("first.rank") == 0) | (F.col("first.by") != F.col("by")))
+        losers = losers.select(F.col("kind").alias("of"), F.col("by").alias("loser")).distinct()
+        is_loser = (F.col("kind") == F.col("of")) & (F.col("normal") == F.col("loser"))
+        judged = materialize(
+            known.join(losers, is_loser, "left").withColumn("wins", F.col("loser").isNull()).drop("of", "loser"), "draws")
         done.append(judged.filter("wins").drop("wins"))
-        lost = judged.filter("not wins").drop("wins", "new")
-        if lost.isEmpty():
+        again = judged.filter("not wins").drop("wins", "new")
+        if again.isEmpty():
             return functools.reduce(DataFrame.unionByName, done)
-        known = materialize(lost.withColumn("new", surrogate(*args, F.lit(draw))), "entities")
+        known = materialize(again.withColumn("new", surrogate(*args, F.lit(draw))), "entities")
     raise ValueError(f"entities without a surrogate of their own after {MOST_DRAWS} draws")
 
 
@@ -333,9 +355,10 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     Emails, passwords and tokens, access keys, IBANs, IPv4 and IPv6 addresses, numbers of 13 to 19 digits (cards),
     social security and phone numbers (with separators, or 10 digits and more) and names after a form of address are
     entities, and so are further mentions of such a name in its document, whole or one of its words, without a form of
-    address; they get the same surrogate or its part. A surrogate has its entity's type, length of digits and
-    separators, and, for names, gender and script; titles stay. Distinct entities get distinct surrogates, one entity
-    the same everywhere. A NULL text stays NULL with no entities. Rows equal in id and text get the same result. Columns
+    address; they get the same surrogate or its part (a single word only if the document does not have it in lower
+    case, too). A surrogate has its entity's type, length of digits and
+    separators, and, for names, gender and script; titles stay. Distinct entities get distinct surrogates, no two
+    names share a word of theirs, and one entity has the same everywhere. A NULL text stays NULL with no entities. Rows equal in id and text get the same result. Columns
     of these names are replaced; an empty table gives an empty result. Without the key nothing leads back to an entity.
     """
     rows = materialize(mentions(docs, id_col, text_col), "mentions")
