@@ -5,6 +5,7 @@ import random
 import pytest
 from test_pipeline import plain_line_dedup
 
+from tierhouse.llm import line_dedup
 from tierhouse.llm.line_dedup import dedup_lines
 
 SCHEMA = "doc_id long, text string"
@@ -21,6 +22,24 @@ def test_long_lines_go_alone_and_short_ones_in_runs(spark):
     assert found == {1: rows[0][1], 2: "x\ny", 3: "a\nb\nq", 4: "z\n"}
 
 
+def test_every_earlier_place_counts(spark):
+    """A run is looked for at all its earlier places, not only where its first line stands first."""
+    tail = f"{LONG}\nshort tail"
+    assert deduped(spark, [(1, LONG), (2, tail), (3, tail)]) == {1: LONG, 2: "short tail", 3: ""}
+    rows = [(1, f"{LONG}\nx"), (2, f"{LONG}\ny\nz"), (3, f"w\n{LONG}\ny\nz\nv"), (4, f"y\nz\nv\n{LONG}\nx")]
+    assert deduped(spark, rows) == {1: rows[0][1], 2: "y\nz", 3: "w\nv", 4: ""}
+
+
+def test_only_runs_around_repeated_fingerprints_go_on(spark, monkeypatch):
+    """Lines that stand once are dropped by the selected positions alone."""
+    written = {}
+    whole = line_dedup.materialize
+    monkeypatch.setattr(line_dedup, "materialize", lambda df, label: written.setdefault(label, whole(df, label)))
+    rows = [(k, "\n".join(f"{LONG} {k} {n}" for n in range(50))) for k in range(40)] + [(99, f"{LONG} 7 7\nend")]
+    assert deduped(spark, rows)[99] == "end"
+    assert written["fingerprints"].count() == 1 and written["runs"].count() < 40
+
+
 def test_repeats_within_a_document(spark):
     assert deduped(spark, [(1, "\n".join([LONG] * 5)), (2, "a\nb\nc\na\nb\nc\na\nb\nc")]) == {1: LONG, 2: "a\nb\nc"}
 

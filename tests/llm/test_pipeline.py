@@ -19,29 +19,20 @@ SF = str(DATA / "sf0.001")
 
 
 def plain_line_dedup(docs):
-    """(doc_id, text) in order -> doc_id: text, by looking up every window of lines among all earlier ones."""
-    first, out, lines_of = {}, {}, {}
+    """(doc_id, text) in order -> doc_id: text, without the lines of any run that stands earlier."""
+    seen, out = set(), {}
     for key, text in sorted(docs):
         lines = text.split("\n")
         full = [n for n, x in enumerate(lines) if x.strip(" ")]
         held = [lines[n] for n in full]
-        lines_of[key] = held
         gone = set()
         for i in range(len(held)):
-            n = next((n for n in range(1, MIN_LINES + 1) if n == MIN_LINES or sum(map(len, held[i : i + n])) >= MIN_CHARS))
-            if i + n > len(held):
-                continue
-            window = tuple(held[i : i + n])
-            if window not in first:
-                first[window] = (key, i)
-                continue
-            other, j = first[window]
-            theirs, low, high = lines_of[other], 0, 0
-            while low < MIN_LINES - 1 and i - low > 0 and j - low > 0 and held[i - low - 1] == theirs[j - low - 1]:
-                low += 1
-            while high < MIN_LINES - 1 and i + n + high < len(held) and j + n + high < len(theirs) and held[i + n + high] == theirs[j + n + high]:
-                high += 1
-            gone.update(range(i - low, i + n + high))
+            for n in range(1, MIN_LINES + 1):
+                run = tuple(held[i : i + n])
+                if len(run) == n and (n == MIN_LINES or sum(map(len, run)) >= MIN_CHARS):
+                    if run in seen:
+                        gone.update(range(i, i + n))
+                    seen.add(run)
         out[key] = "\n".join(x for n, x in enumerate(lines) if n not in {full[g] for g in gone})
     return out
 

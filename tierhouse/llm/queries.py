@@ -38,28 +38,15 @@ WITH parts AS (
 ), filled AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS i
   FROM parts WHERE trim(line, ' ') <> ''
-), near AS (
-  SELECT *, lead(line, 1) OVER w AS a1, lead(line, 2) OVER w AS a2, lead(line, 3) OVER w AS a3,
-    lead(line, 4) OVER w AS a4, lag(line, 1) OVER w AS b1, lag(line, 2) OVER w AS b2
-  FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY i)
-), sized AS (
-  SELECT *, CASE WHEN length(line) >= {line_dedup.MIN_CHARS} THEN 1
-    WHEN a1 IS NOT NULL AND length(line) + length(a1) >= {line_dedup.MIN_CHARS} THEN 2
-    WHEN a2 IS NOT NULL THEN 3 END AS n
-  FROM near
-), windows AS (
-  SELECT doc_id, i, n, CASE n WHEN 1 THEN [line] WHEN 2 THEN [line, a1] ELSE [line, a1, a2] END AS content, b1, b2,
-    CASE n WHEN 1 THEN a1 WHEN 2 THEN a2 ELSE a3 END AS x1, CASE n WHEN 1 THEN a2 WHEN 2 THEN a3 ELSE a4 END AS x2
-  FROM sized WHERE n IS NOT NULL
-), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, i) AS k FROM windows
 ), runs AS (
-  SELECT r.doc_id,
-    r.i - CASE WHEN r.b1 = f.b1 AND r.b2 = f.b2 THEN 2 WHEN r.b1 = f.b1 THEN 1 ELSE 0 END AS first_line,
-    r.i + r.n - 1 + CASE WHEN r.x1 = f.x1 AND r.x2 = f.x2 THEN 2 WHEN r.x1 = f.x1 THEN 1 ELSE 0 END AS last_line
-  FROM ranked r JOIN ranked f ON r.content = f.content AND f.k = 1 AND r.k > 1
+  SELECT f.doc_id, f.i, n, list(line) OVER w AS content, sum(length(line)) OVER w AS chars, count(*) OVER w AS held
+  FROM filled f, range(1, {line_dedup.MIN_LINES + 1}) AS r(n)
+  WINDOW w AS (PARTITION BY f.doc_id, n ORDER BY f.i ROWS BETWEEN CURRENT ROW AND n - 1 FOLLOWING)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, i) AS k
+  FROM runs WHERE held = n AND (n = {line_dedup.MIN_LINES} OR chars >= {line_dedup.MIN_CHARS})
 ), gone AS (
-  SELECT DISTINCT doc_id, unnest(range(first_line, last_line + 1)) AS i FROM runs
+  SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS i FROM ranked WHERE k > 1
 ), rest AS (
   SELECT p.doc_id, string_agg(CASE WHEN g.i IS NULL THEN p.line END, chr(10) ORDER BY p.pos) AS kept,
     count(*) AS n_lines, count(g.i) AS n_removed
