@@ -4,8 +4,9 @@ import numpy as np
 import pyspark.sql.functions as F
 import pytest
 
-from tierhouse.llm import cover_tree
+from tierhouse.llm import cover_tree, queries  # noqa: F401
 from tierhouse.llm.cover_tree import Best, Tree, nearest
+from tierhouse.llm.registry import QUERIES
 
 SCHEMA = "vec_id long, vector array<long>"
 
@@ -74,5 +75,44 @@ def test_odd_rows(spark):
     assert found == {(0, 1, 4, 11), (0, 2, 4, 11), (0, 3, 50, 0), (50, 1, 0, 0), (50, 2, 4, 0), (50, 3, 4, 0)}
     assert nearest(spark.createDataFrame([], SCHEMA), 5, F.lit(True)).collect() == []
     assert nearest(spark.createDataFrame(rows, SCHEMA), 5, F.lit(False)).collect() == []
-    with pytest.raises(ValueError, match="one length"):
-        nearest(spark.createDataFrame([(1, [1]), (2, [1, 2])], SCHEMA), 5, F.lit(True))
+
+
+def brute_force_any(rows, k, asks):
+    """Exact, for vectors of any size and length; results end at the ends of a long."""
+    found = set()
+    for q, v in rows:
+        if asks(q):
+            products = [(sum(a * b for a, b in zip(v, w)), i) for i, w in rows if i != q and len(w) == len(v)]
+            scored = sorted((-min(max(p, -(2**63)), 2**63 - 1), i) for p, i in products)
+            found |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])}
+    return found
+
+
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.integers(-50, 50, 3 + (i % 3)).tolist()) for i in range(200)] + [(300, [7])]
+    got = {tuple(r) for r in nearest(spark.createDataFrame(rows, SCHEMA), 4, F.col("vec_id") % 10 == 0).collect()}
+    assert got == brute_force_any(rows, 4, lambda q: q % 10 == 0)
+
+
+@pytest.mark.parametrize("size", [2**27, 2**31, 2**45, 2**62])
+def test_large_components_are_exact(spark, monkeypatch, size):
+    """Products beyond what doubles hold, next to small vectors in the same blocks, with ties that a rounding would break."""
+    monkeypatch.setattr(cover_tree, "BLOCK_ROWS", 60)
+    monkeypatch.setattr(cover_tree, "QUERY_ROWS", 20)
+    monkeypatch.setattr(cover_tree, "RUN", 2)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.integers(-size, size, 4).tolist()) for i in range(100)]
+    rows += [(100 + i, [size - 1, size - 2 - i % 3, 5, i % 2]) for i in range(60)]
+    rows += [(200 + i, rng.integers(-9, 9, 4).tolist()) for i in range(100)]
+    got = {tuple(r) for r in nearest(spark.createDataFrame(rows, SCHEMA), 5, F.col("vec_id") % 7 == 0).collect()}
+    assert got == brute_force_any(rows, 5, lambda q: q % 7 == 0)
+
+
+def test_query_with_one_large_and_one_short_vector(spark, tmp_path):
+    """Every query of the table gets its results, whatever single vectors hold."""
+    spark.createDataFrame([(i, [float(i % 9), 1.0]) for i in range(100)] + [(100, [1e30, 2.0]), (101, [3.0])],
+                          "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = QUERIES["op3_top_k"](spark, str(tmp_path))
+    assert {r["query_id"]: r["n"] for r in got.groupBy("query_id").agg(F.count("*").alias("n")).collect()} == {0: 5, 50: 5, 100: 5}
+    assert got.filter("query_id = 50 AND rank = 1").first()["vec_id"] == 100

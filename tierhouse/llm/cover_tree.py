@@ -24,8 +24,10 @@ BLOCK_ROWS, QUERY_ROWS = 4096, 1024
 RUN = 64
 # A node is not divided if it is small or needs more balls of half its radius than this.
 LEAF, MOST_CHILDREN = 64, 32
-# Beyond this inner products are not exact as doubles.
+# Beyond this inner products are not exact as doubles; whole numbers decide then, after bounds by doubles.
 EXACT = 2.0**52
+# Ends of the range of a result.
+LEAST, MOST = -(2**63), 2**63 - 1
 
 
 @dataclass
@@ -41,17 +43,21 @@ class Node:
 
 @dataclass
 class Tree:
-    """Rows in the order of the tree, with ids and the place of each id among those of the block."""
+    """Rows in the order of the tree, with ids and the place of each id among those of the block.
+
+    ``points`` are doubles, ``whole`` the same components as whole numbers.
+    """
 
     ids: np.ndarray
     rank: np.ndarray
     points: np.ndarray
     norms: np.ndarray
     root: Node
+    whole: np.ndarray
 
     @classmethod
     def build(cls, ids: np.ndarray, points: np.ndarray) -> Tree:
-        points = points.astype(np.float64)
+        whole, points = points, points.astype(np.float64)
         order: list[int] = []
 
         def place(rows: np.ndarray, centre: int) -> Node:
@@ -75,7 +81,7 @@ class Tree:
 
         renumber(root)
         rank = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
-        return cls(ids[took], rank[took], points[took], np.sqrt((points[took] ** 2).sum(axis=1)), root)
+        return cls(ids[took], rank[took], points[took], np.sqrt((points[took] ** 2).sum(axis=1)), root, whole[took])
 
 
 def _balls(points: np.ndarray, rows: np.ndarray, centre: int, away: np.ndarray, radius: float) -> list:
@@ -93,15 +99,25 @@ def _balls(points: np.ndarray, rows: np.ndarray, centre: int, away: np.ndarray,
 
 
 class Best:
-    """The k best of each query so far."""
+    """The k best of each query so far.
+
+    Once inner products may be too large for doubles, ``exact`` holds them as whole numbers, and ``scores`` no more than
+    bounds of the worst ones.
+    """
 
     def __init__(self, queries: Tree, k: int) -> None:
         self.queries, self.k = queries, k
         self.scores = np.full((len(queries.ids), k), -np.inf)
         self.ids = np.full((len(queries.ids), k), np.iinfo(np.int64).max)
+        self.exact: list[list[tuple[int, int]]] | None = None
 
     def meet(self, vectors: Tree) -> None:
         """Walk both trees, the most promising pairs of nodes first."""
+        if self.exact is None and self.queries.norms.max() * vectors.norms.max() > EXACT:
+            self.exact = [
+                [(-int(s), int(i)) for s, i in zip(*row, strict=True) if np.isfinite(s)]
+                for row in zip(self.scores, self.ids, strict=True)
+            ]
         waiting = [(self.queries.root, vectors.root)]
         while waiting:
             mine, theirs = waiting.pop()
@@ -119,9 +135,34 @@ class Best:
         product = float(q @ v) + mine.radius * vectors.norms[theirs.centre] + theirs.radius * (
             self.queries.norms[mine.centre] + mine.radius
         )
-        return product + 1e-9 * (1.0 + abs(product))  # rounding of the radii must not lose a tie
+        # Rounding must not lose a tie.
+        rounding = 1e-9 * (1.0 + abs(product)) + 1e-12 * self.queries.norms[mine.centre] * vectors.norms[theirs.centre]
+        return min(product + rounding, float(MOST))
+
+    def _compare_whole(self, vectors: Tree, mine: Node, theirs: Node) -> None:
+        """Doubles with the bound of their error choose the candidates, whole numbers their order."""
+        at, to = slice(mine.low, mine.high), slice(theirs.low, theirs.high)
+        scores = self.queries.points[at] @ vectors.points[to].T
+        error = (scores.shape[1] + vectors.points.shape[1] + 8) * 2.0**-52 * np.outer(self.queries.norms[at], vectors.norms[to])
+        high, low = (np.clip(scores + e, LEAST, MOST) for e in (error, -error))
+        other = self.queries.ids[at, None] != vectors.ids[None, to]
+        for i in range(mine.high - mine.low):
+            able = np.nonzero(other[i] & (high[i] >= self.scores[mine.low + i, -1]))[0]
+            if len(able) > self.k:
+                able = able[high[i, able] >= np.partition(low[i, able], -self.k)[-self.k]]
+            if len(able):
+                query = self.queries.whole[mine.low + i].astype(object)
+                products = vectors.whole[to][able].astype(object) @ query
+                found = [(-min(max(int(p), LEAST), MOST), int(v)) for p, v in zip(products, vectors.ids[to][able], strict=True)]
+                best = self.exact[mine.low + i] = sorted(self.exact[mine.low + i] + found)[: self.k]
+                if len(best) == self.k:
+                    worst = float(-best[-1][0])
+                    self.scores[mine.low + i, -1] = worst - abs(worst) * 2.0**-50
 
     def _compare(self, vectors: Tree, mine: Node, theirs: Node) -> None:
+        if self.exact is not None:
+            self._compare_whole(vectors, mine, theirs)
+            return
         at, to = slice(mine.low, mine.high), slice(theirs.low, theirs.high)
         scores = self.queries.points[at] @ vectors.points[to].T
         scores[self.queries.ids[at, None] == vectors.ids[None, to]] = -np.inf
@@ -150,6 +191,9 @@ class Best:
         self.ids[rows] = np.take_along_axis(ids, best, axis=1)
 
     def rows(self) -> pd.DataFrame:
+        if self.exact is not None:
+            rows = [(int(q), i, -s) for q, best in zip(self.queries.ids, self.exact, strict=True) for s, i in best]
+            return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"], dtype=np.int64)
         at, column = np.nonzero(np.isfinite(self.scores))
         return pd.DataFrame(
             {"query_id": self.queries.ids[at], "vec_id": self.ids[at, column],
@@ -160,15 +204,13 @@ class Best:
 def _tree(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("id", kind="stable")
     tree = Tree.build(rows["id"].to_numpy(), np.stack(rows["vector"].to_list()))
-    if tree.norms.max() ** 2 > EXACT:
-        raise ValueError("components are too large for exact inner products")
-    state = (tree.ids, tree.rank, tree.points.astype(_narrow(tree.points)), _plain(tree.root))
-    return pd.DataFrame({"block": [int(rows["block"].iloc[0])], "tree": [pickle.dumps(state)]})
+    state = (tree.ids, tree.rank, tree.whole.astype(_narrow(tree.whole)), _plain(tree.root))
+    known = {name: [int(rows[name].iloc[0])] for name in ("size", "block")}
+    return pd.DataFrame(known | {"tree": [pickle.dumps(state)]})
 
 
-def _narrow(points: np.ndarray) -> type:
-    most = np.abs(points).max(initial=0)
-    return np.int16 if most < 2**15 else np.int32 if most < 2**31 else np.int64
+def _narrow(whole: np.ndarray) -> type:
+    return next(t for t in (np.int16, np.int32, np.int64) if np.iinfo(t).min <= whole.min() and whole.max() <= np.iinfo(t).max)
 
 
 def _plain(node: Node) -> tuple:
@@ -176,13 +218,13 @@ def _plain(node: Node) -> tuple:
 
 
 def _read(blob: bytes) -> Tree:
-    ids, rank, points, root = pickle.loads(blob)
-    points = points.astype(np.float64)
+    ids, rank, whole, root = pickle.loads(blob)
+    points = whole.astype(np.float64)
 
     def node(plain: tuple) -> Node:
         return Node(*plain[:4], [node(c) for c in plain[4]])
 
-    return Tree(ids, rank, points, np.sqrt((points**2).sum(axis=1)), node(root))
+    return Tree(ids, rank, points, np.sqrt((points**2).sum(axis=1)), node(root), whole)
 
 
 def _searched(k: int):
@@ -215,12 +257,12 @@ def batches_of(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
-def _trees(rows: DataFrame, block_rows: int, label: str) -> tuple[DataFrame, int]:
-    """One row per block, and the number of blocks. Rows of different length go to different blocks."""
-    count = max(1, -(-rows.count() // block_rows))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("place"), F.lit(count)).cast("int"))
-    built = dealt.groupBy("block").applyInPandas(_tree, "block int, tree binary")
-    return materialize(built, label), count
+def _trees(rows: DataFrame, block_rows: int, label: str) -> DataFrame:
+    """One row per block. Vectors of different length are in different blocks."""
+    sizes = rows.groupBy("size").agg(F.ceil(F.count("*") / block_rows).alias("blocks"))
+    dealt = rows.join(sizes, "size").withColumn("block", F.pmod(F.xxhash64("place"), F.col("blocks")).cast("int"))
+    built = dealt.drop("blocks").groupBy("size", "block").applyInPandas(_tree, "size int, block int, tree binary")
+    return materialize(built, label)
 
 
 def nearest(vectors: DataFrame, k: int, is_query: Column, id_col: str = "vec_id", vector_col: str = "vector"
@@ -228,9 +270,10 @@ def nearest(vectors: DataFrame, k: int, is_query: Column, id_col: str = "vec_id"
     """The ``k`` largest inner products of each query with the rows of other ids: ``query_id, rank, vec_id, score``.
 
     Vectors are arrays of whole numbers. Ties go to the smaller id; a query with fewer than ``k`` other rows gets all.
-    Vectors that are NULL, empty or hold a NULL, and rows without an id, take no part; all others must have one length.
-    Rows of one id count as that many rows, and none is a result of a query of the same id. Inner products beyond 2^52
-    are refused. An empty table gives an empty result.
+    Vectors that are NULL, empty or hold a NULL, and rows without an id, take no part; a query meets the vectors of its
+    own length. Rows of one id count as that many rows, and none is a result of a query of the same id. Inner products
+    are exact, whatever their size; beyond the range of a long they count as its ends. An empty table gives an empty
+    result.
     """
     spark = vectors.sparkSession
     vector = F.col(vector_col)
@@ -239,23 +282,20 @@ def nearest(vectors: DataFrame, k: int, is_query: Column, id_col: str = "vec_id"
                        F.coalesce(is_query, F.lit(False)).alias("asks"), F.monotonically_increasing_id().alias("place"))
         .filter(F.col("id").isNotNull() & (F.size("vector") > 0) & ~F.exists("vector", F.isnull)), "vectors",
     )
-    lengths = whole.agg(F.min(F.size("vector")), F.max(F.size("vector"))).first()
-    if lengths[0] != lengths[1]:
-        raise ValueError("vectors must have one length")
-    data, blocks = _trees(whole.select("id", "vector", "place"), BLOCK_ROWS, "vector-trees")
-    asked, query_blocks = _trees(whole.filter("asks").select("id", "vector", "place"), QUERY_ROWS, "query-trees")
-    runs = -(-blocks // RUN)
-    every_query = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("asker")
-    every_run = F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run")
-    theirs = data.select(every_query, F.floor(F.col("block") / RUN).cast("int").alias("run"), "block", "tree")
-    mine = asked.select(F.col("block").alias("asker"), every_run, F.lit(-1).alias("block"), "tree")
-    askers = mine.select("asker", "run")
-    wanted = theirs.join(askers.withColumnsRenamed({"asker": "a", "run": "r"}),
-                         (F.col("asker") == F.col("a")) & (F.col("run") == F.col("r")), "left_semi")
-    meetings = mine.unionByName(wanted).repartition(max(1, query_blocks * runs), "asker", "run")
+    sized = whole.withColumn("size", F.size("vector"))
+    data = _trees(sized.select("size", "id", "vector", "place"), BLOCK_ROWS, "vector-trees")
+    asked = _trees(sized.filter("asks").select("size", "id", "vector", "place"), QUERY_ROWS, "query-trees")
+    runs = data.select("size", F.floor(F.col("block") / RUN).cast("int").alias("run"), "block", "tree")
+    askers = asked.select("size", F.col("block").alias("asker"))
+    theirs = runs.join(askers, "size").select("size", "asker", "run", "block", "tree")
+    mine = asked.withColumnRenamed("block", "asker").join(runs.select("size", "run").distinct(), "size").select(
+        "size", "asker", "run", F.lit(-1).alias("block"), "tree"
+    )
+    tasks = askers.join(runs.select("size", "run").distinct(), "size").count()
+    meetings = mine.unionByName(theirs).repartition(max(1, tasks), "size", "asker", "run")
     with batches_of(spark, 8):
         found = materialize(
-            meetings.sortWithinPartitions("asker", "run", "block").select("block", "tree")
+            meetings.sortWithinPartitions("size", "asker", "run", "block").select("block", "tree")
             .mapInPandas(_searched(k), "query_id long, vec_id long, score long"), "found",
         )
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
