@@ -24,8 +24,8 @@ WIDTH, CONTAINMENT = 5, 80
 BINS, SPARE = 8, 8
 # Items with fewer shingles are searched in all shingles of a document.
 SMALL = 10
-# Search shingles that are broadcast at most (8 MB); more are joined.
-MOST_KEYS = 1_000_000
+# Bits of the filter of search shingles that every task gets (8 MB, whatever their number), and bits of one of its pages.
+FILTER_BITS, _PAGE = 1 << 26, 32_768
 
 
 def in_signature(items: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -40,23 +40,32 @@ def in_signature(items: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return kept[chosen]
 
 
-def _traces(keys: np.ndarray, small: np.ndarray):
-    """Rows of document and search shingle; ``small`` marks shingles of small items."""
-    mask = np.uint64((1 << 20) - 1)
-    likely = np.zeros(int(mask) + 1, dtype=bool)
-    likely[keys & mask] = True
+def _filter_of(keys: DataFrame) -> np.ndarray:
+    """Bits at the lowest places of hashed shingles; the executors make pages of it."""
+    place = F.col("key").bitwiseAND(F.lit(FILTER_BITS - 1))
+    pages = keys.select(place.alias("place")).groupBy(F.floor(F.col("place") / _PAGE).alias("page")).agg(
+        F.bitmap_construct_agg(F.pmod("place", F.lit(_PAGE))).alias("bits"))
+    held = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for row in pages.collect():
+        held[row["page"] * _PAGE // 8 : (row["page"] + 1) * _PAGE // 8] = np.frombuffer(row["bits"], dtype=np.uint8)
+    return held
+
+
+def _traces(wanted: np.ndarray, small: np.ndarray):
+    """Rows of document and shingle that may be a search shingle, of its signature or of a small item."""
+
+    def likely(held: np.ndarray, items: np.ndarray) -> np.ndarray:
+        place = items & np.uint64(FILTER_BITS - 1)
+        return (held[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("items")
             ends = lists.offsets.to_numpy()
             items = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            at = ends[0] + np.nonzero(likely[items[ends[0] : ends[-1]] & mask])[0]
-            spot = np.minimum(np.searchsorted(keys, items[at]), len(keys) - 1)
-            hit = keys[spot] == items[at]
-            at, spot = at[hit], spot[hit]
+            at = ends[0] + np.nonzero(likely(wanted, items[ends[0] : ends[-1]]))[0]
             doc = np.searchsorted(ends, at, "right") - 1
-            keep = small[spot].copy()
+            keep = likely(small, items[at])
             for k in np.unique(doc):
                 here = doc == k
                 keep[here] |= in_signature(items[ends[k] : ends[k + 1]], at[here] - ends[k])
@@ -105,15 +114,10 @@ def contained_items(
     keys = materialize(few_files(_search_keys(sets, containment), listed, TASK_DOCUMENTS), "item-keys")
     texts = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("hash"), F.col(text_col).alias("text"))
     found = texts.select("id", "hash", shingles(F.col("text"), width).alias("items"))
-    distinct = keys.groupBy("key").agg(F.max("small").alias("small"))
-    held = distinct.limit(MOST_KEYS + 1).count()
-    if 0 < held <= MOST_KEYS:
-        known = distinct.toPandas().sort_values("key", key=lambda k: k.to_numpy().view(np.uint64))
-        find = _traces(known["key"].to_numpy().view(np.uint64), known["small"].to_numpy(dtype=bool))
-        id_type = texts.schema["id"].dataType.simpleString()
-        traces = found.mapInArrow(find, f"id {id_type}, hash long, key long")
-    else:
-        traces = found.select("id", "hash", F.explode("items").alias("key"))
+    find = _traces(_filter_of(keys), _filter_of(keys.filter("small")))
+    id_type = texts.schema["id"].dataType.simpleString()
+    # What passes the filter by chance is left out by the join with the search shingles.
+    traces = found.mapInArrow(find, f"id {id_type}, hash long, key long")
     met = traces.join(keys.select(F.col("key").alias("of"), "item"), F.col("key") == F.col("of"))
     pairs = met.select(
         F.col("id").alias("own_id"), F.col("hash").alias("own_hash"), F.col("item").alias("own_item")
