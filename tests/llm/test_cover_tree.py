@@ -53,6 +53,23 @@ def test_pairs_of_nodes_are_left_out(monkeypatch):
     assert 0 < sum(compared) < 0.7 * 4000 * 200
 
 
+def test_pairs_of_blocks_are_left_out(spark, monkeypatch):
+    """Groups in different directions: most pairs of blocks never meet, and the results are those of all pairs."""
+    monkeypatch.setattr(cover_tree, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(cover_tree, "QUERY_ROWS", 20)
+    written = {}
+    whole = cover_tree.materialize
+    monkeypatch.setattr(cover_tree, "materialize", lambda df, label: written.setdefault(label, whole(df, label)) if label in ("pairs", "meetings") else whole(df, label))
+    rng = np.random.default_rng(3)
+    centres = 400 * np.eye(12, dtype=int)
+    points = centres[rng.integers(0, 12, 2400)] + rng.integers(-9, 9, (2400, 12))
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    found = {tuple(r) for r in nearest(spark.createDataFrame(rows, SCHEMA), 5, F.col("vec_id") % 20 == 0).collect()}
+    assert found == brute_force(rows, 5, lambda q: q % 20 == 0)
+    pairs, met = written["pairs"].count(), written["meetings"].count()
+    assert pairs >= 12 * 24 and met < 0.25 * pairs
+
+
 def test_radii_cover_every_row():
     tree = Tree.build(np.arange(900), clustered(np.random.default_rng(2), 900, 5))
 

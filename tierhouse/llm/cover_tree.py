@@ -1,8 +1,11 @@
 """Exact search for the largest inner products with cover trees over queries and vectors.
 
-Vectors and queries are dealt into blocks, and each block gets a cover tree once. A task takes one block of queries
-and a run of vector blocks and walks both trees together. A pair of nodes is left out if no inner product between
-their balls, bounded by centres and covering radii, reaches the worst kth score within the query group.
+Vectors and queries are dealt into blocks around places that a bounded sample chooses as the top of a cover tree, and
+each block gets a cover tree once. Every query block first meets the block whose centre promises most. After that a pair
+of blocks meets only if their balls may hold a product that reaches the worst kth score of the query block; the others
+are left out before any tree is copied. A task takes one block of queries and a run of vector blocks and walks both
+trees together. A pair of nodes is left out if no inner product between their balls, bounded by centres and covering
+radii, reaches the worst kth score within the query group.
 """
 
 from __future__ import annotations
@@ -22,6 +25,11 @@ from ..operators.staging import materialize
 BLOCK_ROWS, QUERY_ROWS = 4096, 1024
 # Vector blocks that one task compares with one query block, one after the other.
 RUN = 64
+# Vectors of a length that choose the places of blocks, and their bytes, at most; places; lengths that have any (the most
+# frequent ones, the others are dealt by hash alone). Results do not depend on them.
+SAMPLE_ROWS, SAMPLE_BYTES, MOST_PLACES, MOST_LENGTHS = 4096, 1 << 23, 256, 16
+# Parts that a place may have.
+_PART_BITS = 22
 # A node is not divided if it is small or needs more balls of half its radius than this.
 LEAF, MOST_CHILDREN = 64, 32
 # Beyond this inner products are not exact as doubles; whole numbers decide then, after bounds by doubles.
@@ -69,7 +77,8 @@ class Tree:
             children = [place(held, c) for c, held in groups]
             return Node(centre, radius, low, len(order), children)
 
-        root = place(np.arange(len(ids)), 0)
+        middle = int(((points - points.mean(axis=0)) ** 2).sum(axis=1).argmin())
+        root = place(np.arange(len(ids)), middle)
         took = np.array(order)
         where = np.empty_like(took)
         where[took] = np.arange(len(took))
@@ -105,8 +114,9 @@ class Best:
     bounds of the worst ones.
     """
 
-    def __init__(self, queries: Tree, k: int) -> None:
-        self.queries, self.k = queries, k
+    def __init__(self, queries: Tree, k: int, floor: float = -np.inf) -> None:
+        """``floor``: the worst kth score that is known already; lower ones are of no use."""
+        self.queries, self.k, self.floor = queries, k, floor
         self.scores = np.full((len(queries.ids), k), -np.inf)
         self.ids = np.full((len(queries.ids), k), np.iinfo(np.int64).max)
         self.exact: list[list[tuple[int, int]]] | None = None
@@ -121,7 +131,7 @@ class Best:
         waiting = [(self.queries.root, vectors.root)]
         while waiting:
             mine, theirs = waiting.pop()
-            if self._bound(vectors, mine, theirs) < self.scores[mine.low : mine.high, -1].min():
+            if self._bound(vectors, mine, theirs) < max(self.floor, self.scores[mine.low : mine.high, -1].min()):
                 continue
             if not mine.children and not theirs.children:
                 self._compare(vectors, mine, theirs)
@@ -147,7 +157,7 @@ class Best:
         high, low = (np.clip(scores + e, LEAST, MOST) for e in (error, -error))
         other = self.queries.ids[at, None] != vectors.ids[None, to]
         for i in range(mine.high - mine.low):
-            able = np.nonzero(other[i] & (high[i] >= self.scores[mine.low + i, -1]))[0]
+            able = np.nonzero(other[i] & (high[i] >= max(self.floor, self.scores[mine.low + i, -1])))[0]
             if len(able) > self.k:
                 able = able[high[i, able] >= np.partition(low[i, able], -self.k)[-self.k]]
             if len(able):
@@ -166,7 +176,7 @@ class Best:
         at, to = slice(mine.low, mine.high), slice(theirs.low, theirs.high)
         scores = self.queries.points[at] @ vectors.points[to].T
         scores[self.queries.ids[at, None] == vectors.ids[None, to]] = -np.inf
-        able = np.nonzero(scores.max(axis=1) >= self.scores[at, -1])[0]
+        able = np.nonzero(scores.max(axis=1) >= np.maximum(self.scores[at, -1], self.floor))[0]
         if not len(able):
             return
         scores = scores[able]
@@ -191,14 +201,14 @@ class Best:
         self.ids[rows] = np.take_along_axis(ids, best, axis=1)
 
     def rows(self) -> pd.DataFrame:
+        """The best of each query row, and the number of that row in its block."""
+        names = ["row", "query_id", "vec_id", "score"]
         if self.exact is not None:
-            rows = [(int(q), i, -s) for q, best in zip(self.queries.ids, self.exact, strict=True) for s, i in best]
-            return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"], dtype=np.int64)
+            found = [(r, int(self.queries.ids[r]), i, -s) for r, best in enumerate(self.exact) for s, i in best]
+            return pd.DataFrame(found, columns=names, dtype=np.int64)
         at, column = np.nonzero(np.isfinite(self.scores))
-        return pd.DataFrame(
-            {"query_id": self.queries.ids[at], "vec_id": self.ids[at, column],
-             "score": self.scores[at, column].astype(np.int64)}
-        )
+        held = at, self.queries.ids[at], self.ids[at, column], self.scores[at, column].astype(np.int64)
+        return pd.DataFrame(dict(zip(names, held, strict=True)))
 
 
 def _tree(rows: pd.DataFrame) -> pd.DataFrame:
@@ -206,7 +216,9 @@ def _tree(rows: pd.DataFrame) -> pd.DataFrame:
     tree = Tree.build(rows["id"].to_numpy(), np.stack(rows["vector"].to_list()))
     state = (tree.ids, tree.rank, tree.whole.astype(_narrow(tree.whole)), _plain(tree.root))
     known = {name: [int(rows[name].iloc[0])] for name in ("size", "block")}
-    return pd.DataFrame(known | {"tree": [pickle.dumps(state)]})
+    centre = tree.points[tree.root.centre]
+    ball = {"centre": [centre], "radius": [tree.root.radius], "norm": [float(np.sqrt((centre**2).sum()))], "n": [len(tree.ids)]}
+    return pd.DataFrame(known | ball | {"tree": [pickle.dumps(state)]})
 
 
 def _narrow(whole: np.ndarray) -> type:
@@ -230,17 +242,18 @@ def _read(blob: bytes) -> Tree:
 def _searched(k: int):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted: the tree of a query block, then the vector trees of its run."""
-        best = None
+        best, known = None, {}
         for batch in batches:
-            for block, blob in zip(batch["block"], batch["tree"], strict=True):
-                if block < 0:
+            for row in batch.itertuples(index=False):
+                if row.block < 0:
                     if best is not None:
-                        yield best.rows()
-                    best = Best(_read(blob), k)
+                        yield best.rows().assign(**known)
+                    floor = -np.inf if row.floor is None or np.isnan(row.floor) else float(row.floor)
+                    best, known = Best(_read(row.tree), k, floor), {"size": row.size, "asker": row.asker}
                 else:
-                    best.meet(_read(blob))
+                    best.meet(_read(row.tree))
         if best is not None:
-            yield best.rows()
+            yield best.rows().assign(**known)
 
     return search
 
@@ -257,12 +270,81 @@ def batches_of(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
+def places_of(sample: np.ndarray, wanted: int) -> np.ndarray:
+    """Centres far from each other: the one in the middle, then again and again the vector farthest from all."""
+    sample = sample.astype(np.float64)
+    chosen = [int(((sample - sample.mean(axis=0)) ** 2).sum(axis=1).argmin())]
+    away = ((sample - sample[chosen[0]]) ** 2).sum(axis=1)
+    while len(chosen) < wanted and away.max() > 0:
+        chosen.append(int(away.argmax()))
+        away = np.minimum(away, ((sample - sample[chosen[-1]]) ** 2).sum(axis=1))
+    return sample[chosen]
+
+
+def _places(rows: DataFrame) -> dict[int, np.ndarray]:
+    """Places by length, from a sample of the vectors of the most frequent lengths."""
+    counted = rows.groupBy("size").count().filter(F.col("count") > BLOCK_ROWS)
+    found = {}
+    for size, count in counted.orderBy(F.desc("count"), "size").limit(MOST_LENGTHS).collect():
+        most = max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * size)))
+        mine = rows.filter(F.col("size") == size)
+        share = min(1.0, most / count)
+        early = F.pmod(F.xxhash64("place"), F.lit(1 << 30)) < int(share * (1 << 30))
+        drawn = mine.filter(early).select("place", "vector").toArrow().sort_by("place").column("vector").combine_chunks()
+        sample = drawn.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+        if len(sample):
+            found[size] = places_of(sample, min(MOST_PLACES, -(-count // BLOCK_ROWS)))
+    return found
+
+
+def _nearest_place(places: dict[int, np.ndarray]):
+    def spots(sizes: pd.Series, vectors: pd.Series) -> pd.Series:
+        out = np.zeros(len(sizes), dtype=np.int32)
+        for size, centres in places.items():
+            here = np.nonzero(sizes.to_numpy() == size)[0]
+            if len(here):
+                mine = np.stack(vectors.iloc[here].to_list()).astype(np.float64)
+                out[here] = ((centres**2).sum(axis=1)[None] - 2 * (mine @ centres.T)).argmin(axis=1)
+        return pd.Series(out)
+
+    return spots
+
+
 def _trees(rows: DataFrame, block_rows: int, label: str) -> DataFrame:
-    """One row per block. Vectors of different length are in different blocks."""
-    sizes = rows.groupBy("size").agg(F.ceil(F.count("*") / block_rows).alias("blocks"))
-    dealt = rows.join(sizes, "size").withColumn("block", F.pmod(F.xxhash64("place"), F.col("blocks")).cast("int"))
-    built = dealt.drop("blocks").groupBy("size", "block").applyInPandas(_tree, "size int, block int, tree binary")
-    return materialize(built, label)
+    """One row per block, with its ball. Vectors of different length or place are in different blocks."""
+    sizes = rows.groupBy("size", "spot").agg(F.ceil(F.count("*") / block_rows).alias("parts"))
+    part = F.pmod(F.xxhash64("place"), F.col("parts")).cast("int")
+    dealt = rows.join(sizes, ["size", "spot"]).withColumn("block", F.shiftleft("spot", _PART_BITS) + part)
+    kinds = "size int, block int, centre array<double>, radius double, norm double, n long, tree binary"
+    return materialize(dealt.drop("parts", "spot").groupBy("size", "block").applyInPandas(_tree, kinds), label)
+
+
+def _bounds(askers: DataFrame, data: DataFrame) -> DataFrame:
+    """Pairs of blocks of one length, without trees: what their balls may reach, and the product of their centres."""
+    balls = [F.col(c) for c in ("centre", "radius", "norm")]
+    mine = askers.select("size", F.col("block").alias("asker"), *(c.alias(f"q{i}") for i, c in enumerate(balls)))
+    theirs = data.select("size", "block", *(c.alias(f"v{i}") for i, c in enumerate(balls)))
+    middle = F.aggregate(F.zip_with("q0", "v0", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    reach = F.col("q1") * F.col("v2") + F.col("v1") * (F.col("q2") + F.col("q1"))
+    # Rounding must not lose a tie.
+    slack = 1e-9 * (1.0 + F.abs("middle") + F.col("q2") * F.col("v2"))
+    met = mine.join(theirs, "size").withColumn("middle", middle)
+    return met.select("size", "asker", "block", "middle", F.least(F.col("middle") + reach + slack, F.lit(float(MOST))).alias("bound"))
+
+
+def _met(pairs: DataFrame, asked: DataFrame, data: DataFrame, k: int) -> DataFrame:
+    """The best of the pairs ``size, asker, block, bound, floor``, in runs of blocks, the most promising first."""
+    turn = F.row_number().over(Window.partitionBy("size", "asker").orderBy(F.desc("bound"), "block")) - 1
+    runs = pairs.withColumn("turn", turn).withColumn("run", F.floor(F.col("turn") / RUN).cast("int"))
+    theirs = runs.join(data, ["size", "block"]).select("size", "asker", "run", "turn", "block", "tree")
+    tasks = runs.select("size", "asker", "run", "floor").distinct()
+    mine = tasks.join(asked.withColumnRenamed("block", "asker"), ["size", "asker"]).select(
+        "size", "asker", "run", F.lit(-1).alias("turn"), F.lit(-1).alias("block"), "tree", "floor")
+    meetings = mine.unionByName(theirs, allowMissingColumns=True).repartition(max(1, tasks.count()), "size", "asker", "run")
+    ordered = meetings.sortWithinPartitions("size", "asker", "run", "turn").select("size", "asker", "block", "tree", "floor")
+    kinds = "row long, query_id long, vec_id long, score long, size int, asker int"
+    with batches_of(data.sparkSession, 8):
+        return materialize(ordered.mapInPandas(_searched(k), kinds), "found")
 
 
 def nearest(vectors: DataFrame, k: int, is_query: Column, id_col: str = "vec_id", vector_col: str = "vector"
@@ -283,20 +365,26 @@ def nearest(vectors: DataFrame, k: int, is_query: Column, id_col: str = "vec_id"
         .filter(F.col("id").isNotNull() & (F.size("vector") > 0) & ~F.exists("vector", F.isnull)), "vectors",
     )
     sized = whole.withColumn("size", F.size("vector"))
-    data = _trees(sized.select("size", "id", "vector", "place"), BLOCK_ROWS, "vector-trees")
-    asked = _trees(sized.filter("asks").select("size", "id", "vector", "place"), QUERY_ROWS, "query-trees")
-    runs = data.select("size", F.floor(F.col("block") / RUN).cast("int").alias("run"), "block", "tree")
-    askers = asked.select("size", F.col("block").alias("asker"))
-    theirs = runs.join(askers, "size").select("size", "asker", "run", "block", "tree")
-    mine = asked.withColumnRenamed("block", "asker").join(runs.select("size", "run").distinct(), "size").select(
-        "size", "asker", "run", F.lit(-1).alias("block"), "tree"
-    )
-    tasks = askers.join(runs.select("size", "run").distinct(), "size").count()
-    meetings = mine.unionByName(theirs).repartition(max(1, tasks), "size", "asker", "run")
-    with batches_of(spark, 8):
-        found = materialize(
-            meetings.sortWithinPartitions("size", "asker", "run", "block").select("block", "tree")
-            .mapInPandas(_searched(k), "query_id long, vec_id long, score long"), "found",
-        )
+    spot = F.pandas_udf(_nearest_place(_places(sized)), "int")
+    with batches_of(spark, 1000):
+        dealt = materialize(sized.withColumn("spot", spot("size", "vector")), "placed").select(
+            "size", "spot", "id", "vector", "place", "asks")
+    data = _trees(dealt.drop("asks"), BLOCK_ROWS, "vector-trees")
+    asked = _trees(dealt.filter("asks").drop("asks"), QUERY_ROWS, "query-trees")
+    pairs = materialize(_bounds(asked, data), "pairs")
+    promise = F.row_number().over(Window.partitionBy("size", "asker").orderBy(F.desc("middle"), "block"))
+    ranked = pairs.withColumn("promise", promise)
+    first = _met(ranked.filter("promise = 1").withColumn("floor", F.lit(None).cast("double")), asked, data, k)
+    # The worst kth score of each query block, if every query has k of them.
+    worst = first.groupBy("size", "asker", "row").agg(F.count("*").alias("held"), F.min("score").alias("least"))
+    worst = worst.filter(F.col("held") == k).groupBy("size", "asker").agg(F.count("*").alias("full"), F.min("least").alias("least"))
+    sizes = asked.select("size", F.col("block").alias("asker"), "n")
+    floors = sizes.join(worst, ["size", "asker"]).filter(F.col("full") == F.col("n"))
+    # As a double it must not be above the score.
+    floor = F.col("least").cast("double") - F.abs(F.col("least").cast("double")) * 2.0**-50
+    floors = floors.select("size", "asker", floor.alias("floor"))
+    rest = ranked.filter("promise > 1").join(floors, ["size", "asker"], "left")
+    left = materialize(rest.filter("floor IS NULL OR bound >= floor").drop("middle", "promise"), "meetings")
+    found = first.unionByName(_met(left, asked, data, k)).select("query_id", "vec_id", "score")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
