@@ -213,6 +213,28 @@ def test_refresh_with_stable_keys_and_history(spark, shop, rows):
     assert {r["product_key"] for r in facts.collect()} <= set(first.values())
 
 
+def test_refresh_from_new_files_alone(spark, shop, rows, tmp_path):
+    """A second delivery, with columns in another order, is added to what the first one brought."""
+    for system in ("crm", "erp"):
+        (tmp_path / "in" / system).mkdir(parents=True)
+        pathlib.Path(shop[system]).rename(tmp_path / "in" / system / "first")
+    folders = {s: str(tmp_path / "in" / s / "*") for s in ("crm", "erp")}
+
+    def load():
+        warehouse.refresh(spark, folders, prefix="added_", checkpoints=str(tmp_path / "checkpoints"))
+        return rows(spark.table("added_gold.dim_customers"), "customer_id", "first_name", "customer_key")
+
+    first = [(11000, "Jon", 1), (11001, "Eugene", 2), (11003, "Chris", 3)]
+    assert load() == first
+    write_csv(
+        tmp_path / "in" / "crm" / "second", "cust_info.csv",
+        "cst_key,cst_id,cst_lastname,cst_firstname,cst_gndr,cst_marital_status,cst_create_date\n"
+        "AW00011005,11005,New,Ana,F,S,2025-10-07\n",
+    )
+    assert load() == [*first, (11005, "Ana", 4)] == load()
+    assert spark.table("added_bronze.crm_cust_info").count() == 5 and spark.table("added_gold.fact_sales").count() == 3
+
+
 def test_a_refresh_leaves_no_scratch_files(spark, shop):
     scratch = pathlib.Path(spark.conf.get("spark.checkpoint.dir")) / "tierhouse"
     before = set(scratch.iterdir()) if scratch.exists() else set()

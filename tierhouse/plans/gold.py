@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import prefer
 from ..operators.key_maps import KeyMap
-from ..operators.merging import scd2_merge
+from ..operators.merging import scd2_apply_changes, scd2_merge
 from ..operators.numbering import fill_keys, surrogate_key
 from ..operators.staging import materialize
 from ..operators.star import conform, with_dimension_keys
@@ -101,6 +101,21 @@ def product_history(
     return fill_keys(merged, number, [*keys])
 
 
+def apply_product_changes(
+    dimension: DataFrame, changes: DataFrame, number: str = "product_key", sequence: str = "start_date",
+    delete: str | None = None,
+) -> DataFrame:
+    """The versioned product dimension after rows that carry the day they hold from, in whatever order they arrive.
+
+    Late rows are spliced in between known versions; new versions are numbered after the highest number in use.
+    """
+    rows = changes.select("product_number", *[c for c in changes.columns if c in dimension.columns and c not in (
+        "product_number", number, "start_date", "end_date", "is_current")], F.col(sequence).alias("__from"),
+        *([F.expr(delete).alias("__gone")] if delete else []))
+    applied = scd2_apply_changes(dimension, rows, ["product_number"], "__from", "__gone" if delete else None)
+    return fill_keys(materialize(applied, "versions"), number, ["product_number", "start_date"])
+
+
 def product_batch(products: DataFrame) -> DataFrame:
     """The newest row of each product, as a batch for its history."""
     newest = latest_version(products, ["product_number"], ["start_date", "product_id"])

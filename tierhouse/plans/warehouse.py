@@ -12,6 +12,7 @@ from ..operators.staging import materialize, removed_afterwards
 from ..sources.catalog import LAYERS, init_layers, write_table
 from ..sources.files import BAD_RECORD, ingest_all
 from ..sources.schemas import SOURCES
+from ..streaming.ingest import BATCH, ingest_sources
 from . import gold, silver
 
 
@@ -29,9 +30,17 @@ def refresh_bronze(spark: SparkSession, folders: dict[str, str], bronze: str = "
     return ingest_all(spark, ingestion_items(folders), bronze)
 
 
+def load_bronze(spark: SparkSession, folders: dict[str, str], checkpoints: str, bronze: str = "bronze") -> None:
+    """Append the source files that are not loaded yet, each by its own header, one partition per batch.
+
+    ``checkpoints`` is the folder that remembers them. ``folders`` may hold patterns for folders of deliveries.
+    """
+    ingest_sources(spark, folders, bronze, checkpoints, [s for s in SOURCES if s.system in folders])
+
+
 def refresh_silver(spark: SparkSession, bronze: str = "bronze", silver_schema: str = "silver") -> None:
     for table, (source, build) in silver.BUILDERS.items():
-        rows = spark.table(f"{bronze}.{source}").drop(BAD_RECORD)
+        rows = spark.table(f"{bronze}.{source}").drop(BAD_RECORD, BATCH, "_ingest_timestamp", "_source_file")
         write_table(build(rows), f"{silver_schema}.{table}", sized=True)
 
 
@@ -84,11 +93,17 @@ def refresh_history(
 
 def refresh(
     spark: SparkSession, folders: dict[str, str], prefix: str = "", stable_keys: bool = False,
-    effective: dt.date | None = None,
+    effective: dt.date | None = None, checkpoints: str | None = None,
 ) -> None:
-    """Create the layers and rebuild all tables; ``prefix`` goes before the schema names (see ``refresh_gold``)."""
+    """Create the layers and rebuild all tables; ``prefix`` goes before the schema names (see ``refresh_gold``).
+
+    With ``checkpoints`` only new source files are loaded, in addition to those of earlier runs (``load_bronze``).
+    """
     init_layers(spark, {prefix + name: comment for name, comment in LAYERS.items()})
-    refresh_bronze(spark, folders, f"{prefix}bronze")
+    if checkpoints:
+        load_bronze(spark, folders, checkpoints, f"{prefix}bronze")
+    else:
+        refresh_bronze(spark, folders, f"{prefix}bronze")
     with removed_afterwards(spark):
         refresh_silver(spark, f"{prefix}bronze", f"{prefix}silver")
         refresh_gold(spark, f"{prefix}silver", f"{prefix}gold", stable_keys=stable_keys, effective=effective)

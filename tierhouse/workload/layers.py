@@ -97,6 +97,26 @@ def silver_erp_categories(spark, folder):
     return silver.erp_categories(bronze(spark, folder, "erp_px_cat_g1v2"))
 
 
+@query(
+    with_layers(
+        """SELECT product_number, product_name, product_cost, product_line, start_date,
+    lead(start_date) OVER w AS end_date, lead(start_date) OVER w IS NULL AS is_current, count(*) OVER () AS numbers
+  FROM silver_products WINDOW w AS (PARTITION BY product_number ORDER BY start_date)"""
+    )
+)
+def product_changes(spark, folder):
+    """The history of all products from their rows in two batches, the newest first: late rows are spliced in."""
+    rows = op.materialize(silver.crm_products(bronze(spark, folder, "crm_prd_info")), "products")
+    known = spark.createDataFrame(
+        [], "product_key BIGINT, product_number STRING, product_name STRING, product_cost INT, product_line STRING,"
+        " start_date DATE, end_date DATE, is_current BOOLEAN"
+    )
+    for batch in ("product_id % 3 = 2", "product_id % 3 < 2"):
+        known = gold.apply_product_changes(known, rows.where(batch))
+    known = op.materialize(known, "history")
+    return known.drop("product_key").withColumn("numbers", F.lit(known.select("product_key").distinct().count()))
+
+
 @query(with_layers("SELECT * FROM gold_customers"))
 def dim_customers(spark, folder):
     return customers_of(spark, folder)
