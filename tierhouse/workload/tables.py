@@ -148,7 +148,7 @@ def compacted_selectively(spark, folder):
         rows.repartition(files).write.mode("append").partitionBy("o_orderstatus").parquet(source)
     sizes = [r["length"] for r in op.files_of(spark, source).orderBy("length").collect()]
     # Three folders with one large file each.
-    live = op.compact_small(spark, source, packed, file_bytes=sizes[-1] * 2, small_below=sizes[-3])
+    live = op.compact_small(spark, source, packed, file_bytes=sum(sizes), small_below=sizes[-3])
     rows = spark.read.option("recursiveFileLookup", "true").parquet(*live)
     file = F.col("_metadata.file_path")
     told = rows.select("*", F.regexp_extract(file, "o_orderstatus=([^/]*)", 1).alias("o_orderstatus"),
