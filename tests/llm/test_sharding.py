@@ -54,3 +54,11 @@ def test_empty_and_few_rows(spark):
     assert shuffle_into_shards(spark.createDataFrame([], SCHEMA), 4).collect() == []
     found = shuffle_into_shards(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), 16).collect()
     assert {r.slot for r in found} == {0} and len({r.shard for r in found}) == 2
+
+
+def test_columns_of_the_same_names_are_replaced(spark):
+    docs = spark.createDataFrame([(k, 77, 88, 99, "p") for k in range(20)], "doc_id long, slot int, shard int, place int, part string")
+    found = shuffle_into_shards(docs, 4, seed=3)
+    assert found.columns == ["doc_id", "place", "part", "shard", "slot"]
+    rows = found.collect()
+    assert {r.place for r in rows} == {99} and sorted(r.slot for r in rows) == sorted(list(range(5)) * 4)
