@@ -5,8 +5,8 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from . import (bpe, conversation_repair, cover_tree, decontamination, language_id, line_dedup, merkle, near_dedup, posting_lists, sharding,
-               surrogates, toxicity, url_filter)
+from . import (bpe, conversation_repair, cover_tree, decontamination, language_id, line_dedup, merkle, near_dedup,
+               posting_lists, sharding, surrogates, toxicity, url_filter)
 from .common import ascii_lower
 from .registry import query, table
 
