@@ -34,6 +34,8 @@ def test_odd_texts(spark):
     found = model.predict(spark.createDataFrame(rows, "score long, text string")).collect()
     assert sorted((r.lang_pred, r.ambiguous) for r in found) == [("bb", False)] * 2 + [("und", True)] * 4
     assert model.predict(spark.createDataFrame([], "text string")).collect() == []
+    clash = spark.createDataFrame([(1, "x", text(rng, "bb"))], "__told int, told____ string, text string")
+    assert [(r["__told"], r["told____"], r.lang_pred) for r in model.predict(clash).collect()] == [(1, "x", "bb")]
     none = fit(spark.createDataFrame([], "text string, lang string"))
     assert none.tell("abc") == ("und", 0.0, True)
 

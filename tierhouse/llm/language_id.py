@@ -99,10 +99,11 @@ class Model:
         no language was learned. Columns of these names are replaced. Each text counts whole.
         """
         small_batches(docs.sparkSession)
-        told = docs.withColumn("__told", self.column(F.col(text_col)))
-        kept = [c for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
-        return told.select(*kept, F.col("__told.lang").alias("lang_pred"), F.col("__told.score").alias("score"),
-                           F.col("__told.ambiguous").alias("ambiguous"))
+        own = "told" + "_" * max(map(len, docs.columns), default=0)  # longer than any name of the rows
+        told = docs.withColumn(own, self.column(F.col(text_col)))
+        kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
+        return told.select(*kept, F.col(f"{own}.lang").alias("lang_pred"), F.col(f"{own}.score").alias("score"),
+                           F.col(f"{own}.ambiguous").alias("ambiguous"))
 
     def column(self, text: Column) -> Column:
         model = self
