@@ -211,6 +211,19 @@ def test_table_life(spark, folder):
     assert spark.read.parquet(f"{folder}/ext").count() == 10
 
 
+def test_a_sized_table_is_written_without_a_shuffle(spark, folder, monkeypatch):
+    monkeypatch.setattr(sources.catalog, "FILE_ROWS", 100)
+    sources.init_layers(spark, {"sized": "x"})
+    spark.range(1000).repartition(1).write.parquet(f"{folder}/to-size")
+    sources.write_table(spark.read.parquet(f"{folder}/to-size"), "sized.t", sized=True)
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+    written = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p and "sized.db/t" in p]
+    assert written and not any("Exchange" in p for p in written)
+    assert sources.detail(spark, "sized.t").first()["num_files"] == 10
+    assert spark.table("sized.t").distinct().count() == 1000
+
+
 def test_bucketed_tables_join_without_shuffle(spark):
     sources.init_layers(spark, {"buckets": "x"})
     for name in ("a", "b"):

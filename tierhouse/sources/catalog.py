@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from ..operators.layout import file_summary, sized_for_write
 
+# Rows at which a sized table starts the next file.
+FILE_ROWS = 10_000_000
+
 LAYERS = {
     "bronze": "Source rows as they were delivered",
     "silver": "One cleaned table per source table",
@@ -51,11 +54,15 @@ def write_table(
     """Write a managed table, or an external one if ``path`` is given.
 
     ``bucket_by`` (number, columns) lets later joins on those columns skip the shuffle. ``sized``
-    balances the output files. ``bloom`` names columns that get Bloom filters, so that a lookup of a
+    balances the output files: with ``partition_by`` the rows of a folder are brought together by size;
+    without, no row is shuffled for it, as the tasks of a scan and of an adaptive shuffle have been sized
+    already, and files are cut at ``FILE_ROWS`` rows. ``bloom`` names columns that get Bloom filters, so that a lookup of a
     value that a row group lacks does not read it, also where its range holds the value. A table cannot be overwritten from itself: write the new rows under
     another name or as a new snapshot.
     """
-    writer = (sized_for_write(df, *partition_by) if sized else df).write.mode(mode).format(format)
+    writer = (sized_for_write(df, *partition_by) if sized and partition_by else df).write.mode(mode).format(format)
+    if sized:
+        writer = writer.option("maxRecordsPerFile", FILE_ROWS)
     for column in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if path:
