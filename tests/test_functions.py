@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierhouse import functions as fn
+from tierhouse import sources
 from tierhouse.plans import labels
 
 
@@ -88,6 +89,24 @@ def test_parse_yyyymmdd_text(spark):
     assert column(spark, "STRING", values, fn.lenient_date) == [day, None, None, day] + [None] * 6
 
 
+WHOLE = [
+    20101229, 20240229, 20230229, 19000229, 20000229, 20100631, 20100600, 20100001, 20101301, 99991231, 10000101, 9999999,
+    100000000, 2010, 1000, 999, 99999, 0, 7, -2010, -20101229, 2**31 - 1, -(2**31), None,
+]
+
+
+@pytest.mark.parametrize("make", [fn.parse_yyyymmdd, fn.lenient_date])
+def test_dates_of_numbers_need_no_pattern_and_equal_those_of_their_text(spark, make):
+    df = spark.createDataFrame([(n,) for n in WHOLE], "n INT").select("n", F.col("n").cast("string").alias("t"))
+    df = df.withColumn("long", F.col("n").cast("bigint"))
+    got = df.select(make(F.col("n")), make(F.col("long")), make(F.col("t"))).collect()
+    assert [(r[0], r[1]) for r in got] == [(r[2], r[2]) for r in got] and sum(r[0] is not None for r in got) >= 5
+    lines = spark.range(9).select(F.col("id").cast("int").alias("n"))
+    assert "regexp" not in sources.plan_text(lines.select(make(F.col("n")).alias("day")), "simple")
+    far = spark.range(2**62, 2**62 + 2).select(make(F.col("id")), make(-F.col("id")))
+    assert [tuple(r) for r in far.collect()] == [(None, None)] * 2
+
+
 def test_lenient_date_keeps_dates(spark):
     assert column(spark, "DATE", [dt.date(1971, 10, 6), None], fn.lenient_date) == [dt.date(1971, 10, 6), None]
 

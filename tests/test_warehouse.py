@@ -258,3 +258,18 @@ def test_a_failed_rule_leaves_the_table(spark):
     with pytest.raises(Exception, match="rule few violated"):
         checked.publish(spark.range(9), "kept.t", [expect_or_fail("few", "id < 3")])
     assert spark.table("kept.t").count() == 3
+
+
+def test_rows_under_a_fail_rule_are_written_once(spark):
+    init_layers(spark, {"once": ""})
+    for rows in (3, 2):  # the second one takes the place of the first
+        scratch = pathlib.Path(spark.conf.get("spark.checkpoint.dir")) / "tierhouse"
+        before = set(scratch.iterdir()) if scratch.exists() else set()
+        counts = checked.publish(spark.range(rows), "once.t", [expect_or_fail("few", "id < 3")], comment="some rows")
+        assert counts == {"rows": rows, "few": 0} and spark.table("once.t").count() == rows
+        assert (set(scratch.iterdir()) if scratch.exists() else set()) == before
+        lines = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE EXTENDED once.t").collect()}
+        assert lines["Type"] == "MANAGED" and lines["Comment"] == "some rows"
+    assert [t.name for t in spark.catalog.listTables("once")] == ["t"]
+    folder = pathlib.Path(lines["Location"].removeprefix("file:"))
+    assert folder.name == "t" and [p.name for p in folder.parent.iterdir()] == ["t"]

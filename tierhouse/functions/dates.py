@@ -16,9 +16,26 @@ _LENIENT = r"(?s)^(?:(\d{4})(\d{2})(\d{2})|[+-].*|\d{5,}.*)$"
 _ISO = "$1-$2-$3"
 
 
+# Whole numbers take no pattern: in their text only eight digits can become an ISO date, and four a year. The expression
+# stays small, as a projection with several dates is no longer compiled beyond a certain size.
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _by_type(column: Column, whole: Column, text: Column) -> Column:
+    """``whole`` if the column's type is a whole number, else ``text``; the planner keeps one of them."""
+    return F.when(F.typeof(column).isin(*_WHOLE), whole).otherwise(text).try_cast("date")
+
+
+def _iso(digits: Column) -> Column:
+    """``20101229`` -> ``2010-12-29``; NULL unless there are eight characters."""
+    dashed = F.overlay(F.overlay(digits, F.lit("-"), F.lit(5), F.lit(0)), F.lit("-"), F.lit(8), F.lit(0))
+    return F.when(F.length(digits) == 8, dashed)
+
+
 def parse_yyyymmdd(column: Column) -> Column:
     """YYYYMMDD number or text to date; 0, other lengths and impossible days give NULL."""
-    return F.regexp_replace(column.cast("string"), _STRICT, _ISO).try_cast("date")
+    text = column.cast("string")
+    return _by_type(column, _iso(text), F.regexp_replace(text, _STRICT, _ISO))
 
 
 def lenient_date(column: Column) -> Column:
@@ -26,7 +43,8 @@ def lenient_date(column: Column) -> Column:
 
     Signed numbers and years beyond 9999 give NULL.
     """
-    return F.regexp_replace(column.cast("string"), _LENIENT, _ISO).try_cast("date")
+    text = column.cast("string")
+    return _by_type(column, _iso(text).when(F.length(text) == 4, text), F.regexp_replace(text, _LENIENT, _ISO))
 
 
 def future_to_null(column: Column, today: dt.date | Column | None = None) -> Column:

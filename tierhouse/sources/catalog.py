@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,6 +81,22 @@ def write_table(
         set_properties(spark, name, properties)
 
 
+def replace_table(df: DataFrame, name: str, comment: str | None = None) -> None:
+    """Write a managed table that takes the place of ``name`` when all its rows are written.
+
+    The rows are written once, to a table of their own, which gets the name of the old one; the old one stays if that
+    write fails. Between the removal of the old table and the renaming there is none for a moment.
+    """
+    spark, aside = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    try:
+        write_table(df, aside, comment=comment)
+    except BaseException:
+        drop_table(spark, aside)
+        raise
+    drop_table(spark, name)
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
