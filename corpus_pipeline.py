@@ -44,11 +44,10 @@ def drop_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed token ids of every document, their number and the digest of what they decode to."""
     codec = bpe.Codec(spark, tokenizer_path())
-    ids = docs.select("doc_id", "lang", "source", codec.encode(F.col("text")).alias("ids"))
-    decoded = ids.withColumn("decoded", codec.decode(F.col("ids")))
-    return decoded.select(
-        "doc_id", "lang", "source", bpe.n_tokens(F.col("ids")).alias("n_tokens"), "ids",
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    coded = docs.select("doc_id", "lang", "source", codec.encode_and_decode(F.col("text")).alias("coded"))
+    return coded.select(
+        "doc_id", "lang", "source", bpe.n_tokens(F.col("coded.ids")).alias("n_tokens"), "coded.ids",
+        F.sha2(F.col("coded.decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -8,8 +8,11 @@ import pyspark.sql.functions as F
 import pytest
 from tokenizers import Tokenizer as Library
 
+import corpus_pipeline
 from tierhouse.llm import bpe
 from tierhouse.llm.queries import tokenizer_path
+from tierhouse.llm.registry import QUERIES as LLM_QUERIES
+from tierhouse.sources import plan_text
 
 
 @pytest.fixture(scope="module")
@@ -85,6 +88,15 @@ def test_columns(spark, spec, library, monkeypatch):
         ids = library.encode(r.text or "", add_special_tokens=False).ids
         assert (bytes(r.ids), r.back, r.n) == (array("I", ids).tobytes(), library.decode(ids, skip_special_tokens=False), len(ids))
     assert coded.limit(0).collect() == []
+    both = docs.select("doc_id", "text", codec.encode_and_decode(F.col("text")).alias("c")).select("doc_id", "text", "c.*")
+    assert sorted(map(tuple, both.collect()), key=str) == sorted(map(tuple, coded.collect()), key=str)
+    assert both.limit(0).collect() == []
+
+
+def test_a_task_needs_one_python_worker(spark):
+    docs = spark.createDataFrame([(1, "a b", "en", "x", 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    for coded in (corpus_pipeline.encode_tokens(spark, docs, ""), LLM_QUERIES["op5_bpe"](spark, "/root/testdata/sf0.001")):
+        assert plan_text(coded, "simple").count("ArrowEvalPython ") == 1
 
 
 def test_ambiguous_merges_are_refused():

@@ -242,6 +242,24 @@ class Codec:
 
         return label_text(packed)
 
+    def encode_and_decode(self, text: Column) -> Column:
+        """``ids`` as ``encode`` makes them and ``decoded`` as ``decode`` makes them of these, as one struct.
+
+        Both run in one Python worker. Calling the two in turn takes two workers for every task, each with its own
+        memory.
+        """
+        shared, labels = self._shared, self._labels
+
+        @F.pandas_udf("ids binary, decoded string")
+        def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            tokenizer = _compiled(shared.value)
+            for texts in batches:
+                ids = [tokenizer.encode(t) if t else b"" for t in texts]
+                decoded = [decode_ids(labels.value, p) if p else "" for p in ids]
+                yield pd.DataFrame({"ids": ids, "decoded": decoded}, dtype=object)
+
+        return coded(text)
+
 
 def n_tokens(packed: Column) -> Column:
     return (F.octet_length(packed) / 4).cast("bigint")
