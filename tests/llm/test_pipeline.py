@@ -12,8 +12,10 @@ from test_near_dedup import brute_force, shingle_set
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
+from tierhouse.llm import near_dedup
 from tierhouse.llm.line_dedup import MIN_CHARS, MIN_LINES
 from tierhouse.llm.queries import tokenizer_path
+from tierhouse.sources import plan_text
 
 SF = str(DATA / "sf0.001")
 
@@ -87,3 +89,13 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted(r.doc_id or 0 for r in kept if r.text) == [0, 1, 2, 5, 6, 9]
     assert sorted(r.text.split(" ")[0] for r in kept if r.text) == [f"w{g}x0" for g in range(6)]
     assert len([r for r in kept if not r.text]) == 4 and {tuple(r) for r in kept} <= set(rows)
+
+
+def test_filters_on_results_of_python_take_no_second_worker(spark):
+    docs = spark.createDataFrame([(1, "the cat", "en", "x", 7)], "doc_id long, text string, lang string, source string, n_chars long")
+    pairs = spark.createDataFrame([(1, 2, bytearray(b"abc"), bytearray(b"abd"))], "a long, b long, x binary, y binary")
+    near = near_dedup._agreeing(pairs).filter("agreeing >= 2").select("a", "b", "agreeing")
+    for told in (cp.identify_language(spark, docs, SF), near):
+        assert plan_text(told, "simple").count("ArrowEvalPython ") == 1
+    assert [tuple(r) for r in near.collect()] == [(1, 2, 2)]
+    assert near_dedup._agreeing(pairs).filter("agreeing >= 3").count() == 0

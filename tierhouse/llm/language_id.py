@@ -106,6 +106,11 @@ class Model:
                            F.col(f"{own}.ambiguous").alias("ambiguous"))
 
     def column(self, text: Column) -> Column:
+        """Struct of what ``tell`` returns. Filters on it read what was told and do not tell it again.
+
+        Spark copies functions that it takes as deterministic into filters on their results; each copy takes a Python
+        worker of its own for every task.
+        """
         model = self
 
         @F.pandas_udf("lang string, score double, ambiguous boolean")
@@ -116,7 +121,7 @@ class Model:
                     {"lang": object, "score": float, "ambiguous": bool}
                 )
 
-        return told(text)
+        return told.asNondeterministic()(text)
 
     def tell(self, text: str | None) -> tuple[str, float, bool]:
         if not text or not self.languages or not any(map(str.isalpha, text)):

@@ -102,7 +102,11 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _agreeing(first: DataFrame) -> DataFrame:
-    """Pairs with the number of registers that agree in their sketches, ``x`` and ``y``."""
+    """Pairs with the number of registers that agree in their sketches, ``x`` and ``y``.
+
+    The function is marked as nondeterministic, or Spark would copy it into filters on the number, each copy with a
+    Python worker of its own for every task.
+    """
 
     @F.pandas_udf("int")
     def agree(x, y):
@@ -114,7 +118,7 @@ def _agreeing(first: DataFrame) -> DataFrame:
         right = np.frombuffer(b"".join(y), dtype=np.uint8).reshape(len(y), -1)
         return pd.Series((left == right).sum(axis=1).astype(np.int32))
 
-    return first.withColumn("agreeing", agree("x", "y"))
+    return first.withColumn("agreeing", agree.asNondeterministic()("x", "y"))
 
 
 def _close(a: str, b: str, similarity: int):
